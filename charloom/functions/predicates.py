@@ -22,8 +22,23 @@ def non_blank(text: Column) -> Column:
 
 
 def min_chars(text: Column, n: int) -> Column:
-    """Stripped length of at least ``n`` code points."""
-    return F.coalesce(F.length(strip_ws(text)) >= n, F.lit(False))
+    """Stripped length of at least ``n`` code points.
+
+    Looks for a character that is not whitespace ``n - 1`` or more places after the first such one, so it
+    reads only as much of the text as it needs.
+    """
+    if n <= 1:
+        return non_blank(text) if n == 1 else text.isNotNull()
+    ink = f"[^{WS_RANGES}]"
+    found = text.rlike(rf"(?s)\A[{WS_RANGES}]*+{ink}.{{{n - 2},}}?{ink}")
+    return F.coalesce(found, F.lit(False))
+
+
+def min_collapsed_chars(text: Column, n: int) -> Column:
+    """At least ``n`` (one or more) code points once whitespace is collapsed, read the same way."""
+    ink, gap = f"[^{WS_RANGES}]", f"[{WS_RANGES}]"
+    unit = f"(?:{ink}|{gap}++(?={ink}))"
+    return F.coalesce(text.rlike(rf"\A{gap}*+{ink}{unit}{{{n - 1}}}"), F.lit(False))
 
 
 def is_conversational(

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -29,9 +30,12 @@ WS_RANGES = (
     r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
-# A single U+0020 is already in its final form, so the collapse pattern does not match it.
+# A single U+0020 is already in its final form, so the collapse pattern does not match it. The look-ahead
+# turns most characters away with one range test.
 _WS_TO_COLLAPSE = (
-    rf"[{WS_RANGES}&&[^\x{{20}}]][{WS_RANGES}]*+|\x{{20}}[{WS_RANGES}]++"
+    r"(?![!-~])[\x{9}-\x{d}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    rf"[{WS_RANGES}]*+|\x{{20}}[{WS_RANGES}]++"
 )
 
 # Characters that NFC never changes and that never join the character before them.
@@ -56,12 +60,16 @@ def collapse_ws(text: Column) -> Column:
 
 @F.arrow_udf(StringType())
 def _nfc_batch(text: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(text, form="NFC")
+    # Not Arrow's own utf8_normalize: its NFC form leaves the letters taken apart.
+    composed = [None if t is None else unicodedata.normalize("NFC", t) for t in text.to_pylist()]
+    return pa.array(composed, pa.string())
 
 
 def nfc(text: Column) -> Column:
     """Unicode NFC. Only values with a character that NFC could change travel to Python."""
-    needs = F.when(text.rlike(f"[^{NFC_STABLE_RANGES}]"), text)
+    # Most Latin text ends at the first, cheap test.
+    beyond_latin = text.rlike(r"[^\x{0}-\x{2ff}]")
+    needs = F.when(beyond_latin & text.rlike(f"[^{NFC_STABLE_RANGES}]"), text)
     return F.coalesce(_nfc_batch(needs), text)
 
 

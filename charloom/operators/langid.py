@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from charloom.functions.text import strip_ws
-from charloom.operators.ngrams import _windows, topk_per_row
+from charloom.operators.ngrams import topk_per_row, windows
 
 GRAM = 3
 SCALE = 1000
@@ -30,10 +30,6 @@ class LanguageProfiles:
     floors: dict[str, int]
 
 
-def _text_for_detection(text: Column) -> Column:
-    return F.lower(strip_ws(text))
-
-
 def _weight(count: Column, total: Column, distinct: Column) -> Column:
     return F.round(F.log((count + 1) / (total + distinct)) * SCALE).cast("bigint")
 
@@ -49,7 +45,7 @@ def train_language_profiles(
     counts = (
         df.where(F.col(lang).isin(list(langs)))
         .select(
-            F.col(lang).alias("lang"), F.explode(_windows(_text_for_detection(F.col(text)), GRAM)).alias("g")
+            F.col(lang).alias("lang"), F.explode(windows(strip_ws(F.col(text)), GRAM)).alias("g")
         )
         .groupBy("lang", "g")
         .agg(F.count(F.lit(1)).alias("cnt"))
@@ -88,7 +84,7 @@ def detect_language(
     A text's trigrams meet the broadcast profile where they are and fold to one row per text before the
     shuffle, so the exploded grams never move.
     """
-    grams = df.select(key, F.explode(_windows(_text_for_detection(F.col(text)), GRAM)).alias("g"))
+    grams = df.select(key, F.explode(windows(strip_ws(F.col(text)), GRAM)).alias("g"))
     sums = [F.coalesce(F.sum(f"w{i}"), F.lit(0)).alias(f"w{i}") for i in range(len(profiles.langs))]
     folded = (
         grams.join(F.broadcast(profiles.table), "g", "left")

@@ -21,7 +21,7 @@ BACKOFF = 0.4
 INTERPOLATION = 0.7
 
 
-def _windows(text: Column, n: int) -> Column:
+def windows(text: Column, n: int) -> Column:
     """All runs of ``n`` characters. The look-ahead makes the matches overlap in one regex pass; the
     second look-ahead keeps a match from starting inside a surrogate pair."""
     return F.regexp_extract_all(
@@ -31,16 +31,16 @@ def _windows(text: Column, n: int) -> Column:
 
 def _full_grams(text: Column, n: int) -> Column:
     if n == 1:
-        return _windows(text, 1)
+        return windows(text, 1)
     heads = F.array(
         *[F.when(F.length(text) >= k, F.substring(text, 1, k)) for k in range(1, n)]
     )
-    return F.concat(F.array_compact(heads), _windows(text, n))
+    return F.concat(F.array_compact(heads), windows(text, n))
 
 
 def next_char_pairs(df: DataFrame, n: int, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """Training pairs ``(ctx, ch)``: ``n - 1`` characters and the one after them, a row per position."""
-    grams = df.select(*keep, F.explode(_windows(F.col(text), n)).alias("g"))
+    grams = df.select(*keep, F.explode(windows(F.col(text), n)).alias("g"))
     return grams.select(
         *keep, F.substring("g", 1, n - 1).alias("ctx"), F.substring("g", n, 1).alias("ch")
     )
@@ -49,7 +49,7 @@ def next_char_pairs(df: DataFrame, n: int, text: str = "text", keep: Sequence[st
 def ngram_counts(df: DataFrame, n: int, text: str = "text", by: Sequence[str] = ()) -> DataFrame:
     """``(by, ctx, ch, cnt)``. Frequent grams collapse before the shuffle."""
     counted = (
-        df.select(*by, F.explode(_windows(F.col(text), n)).alias("g"))
+        df.select(*by, F.explode(windows(F.col(text), n)).alias("g"))
         .groupBy(*by, "g")
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
@@ -67,15 +67,15 @@ def full_gram_counts(df: DataFrame, n: int, text: str = "text", by: Sequence[str
     )
 
 
-def order_counts(full: DataFrame, n: int) -> DataFrame:
-    """``(g, cnt)`` for the grams of all orders ``1..n`` from full-gram counts."""
+def order_counts(full: DataFrame, n: int, by: Sequence[str] = ()) -> DataFrame:
+    """``(by, g, cnt)`` for the grams of all orders ``1..n`` from full-gram counts."""
     suffixes = F.transform(
         F.sequence(F.lit(1), F.least(F.length("g"), F.lit(n))),
         lambda k: F.substr(F.col("g"), -k, k),
     )
     return (
-        full.select(F.explode(suffixes).alias("g"), "cnt")
-        .groupBy("g")
+        full.select(*by, F.explode(suffixes).alias("g"), "cnt")
+        .groupBy(*by, "g")
         .agg(F.sum("cnt").alias("cnt"))
     )
 
@@ -264,39 +264,37 @@ def ngram_backoff_lookup(
 ) -> DataFrame:
     """``(key, guesses)``: candidates of the longest known suffix first, then of shorter ones.
 
-    ``keys`` holds distinct suffixes of at most ``max_n - 1`` characters, so frequent text does not make
-    a hot key. Each key goes out once per suffix and meets the table in one equi-join without a hint:
-    the runtime size of the table decides between broadcast and shuffle. The empty context, which every
-    key shares, is one row and comes in as a scalar.
+    The keys, suffixes of at most ``max_n - 1`` characters, are made distinct, so frequent text does not
+    make a hot key. Each key goes out once per suffix of two or more characters and meets the table in one
+    equi-join without a hint: the runtime size of the table decides between broadcast and shuffle.
+    Contexts of one character are the hot ones and are bounded by Unicode, so they are broadcast; the
+    empty context, which every key shares, is one row and comes in as a scalar.
     """
-    known = keys.select(key).distinct()
-
-    def matches(low: int, high: int, table: DataFrame) -> DataFrame:
-        top = F.least(F.length(key), F.lit(high))
-        return (
-            known.where(F.length(key) >= low)
-            .select(key, F.explode(F.sequence(F.lit(low), top)).alias("o"))
-            .select(key, "o", F.substr(F.col(key), -F.col("o"), F.col("o")).alias("ctx"))
-            .join(table, "ctx")
-            .select(key, "o", "tops")
-        )
-
     none = F.array().cast("array<string>")
-    base = F.coalesce(topk.where(F.col("ctx") == "").select("tops").limit(1).scalar(), none)
-    if max_n == 1:
-        return known.select(key, F.slice(base, 1, k).alias("guesses"))
-    # Contexts of one character are bounded by Unicode and are the hot keys.
-    parts = matches(1, 1, F.broadcast(topk.where(F.length("ctx") == 1)))
+    found = keys.select(key).distinct().withColumn("longer", none)
     if max_n > 2:
-        parts = parts.unionByName(
-            matches(2, max_n - 1, topk.where(F.length("ctx").between(2, max_n - 1)))
+        lengths = F.sequence(F.lit(2), F.greatest(F.lit(2), F.least(F.length(key), F.lit(max_n - 1))))
+        long = topk.where(F.length("ctx").between(2, max_n - 1))
+        parts = found.select(key, F.explode(lengths).alias("o")).withColumn(
+            "ctx", F.substr(F.col(key), -F.col("o"), F.col("o"))
         )
-    hits = parts.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("o")).alias("o"), "tops"))).alias("found")
-    )
-    longest_first = F.coalesce(F.flatten(F.transform("found", lambda e: e["tops"])), none)
-    guesses = F.slice(F.array_distinct(F.concat(longest_first, base)), 1, k)
-    return known.join(hits, key, "left").select(key, guesses.alias("guesses"))
+        tops = F.collect_list(
+            F.when(F.col("tops").isNotNull(), F.struct((-F.col("o")).alias("o"), "tops"))
+        )
+        found = (
+            parts.join(long, "ctx", "left")
+            .groupBy(key)
+            .agg(F.flatten(F.transform(F.array_sort(tops), lambda e: e["tops"])).alias("longer"))
+        )
+    base = F.coalesce(topk.where(F.col("ctx") == "").select("tops").limit(1).scalar(), none)
+    if max_n > 1:
+        short = topk.where(F.length("ctx") == 1).select(F.col("ctx").alias("last"), "tops")
+        found = found.withColumn("last", F.right(F.col(key), F.lit(1))).join(
+            F.broadcast(short), "last", "left"
+        )
+        base = F.concat(F.coalesce("tops", none), base)
+    guesses = F.slice(F.array_distinct(F.concat("longer", base)), 1, k)
+    return found.select(key, guesses.alias("guesses"))
 
 
 def marginalise_first_char(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from charloom.functions.predicates import is_english
+from charloom.functions.predicates import is_english, min_collapsed_chars
 from charloom.functions.text import collapse_ws
 from charloom.operators.holdout import random_holdout
 from charloom.operators.langid import LanguageProfiles, with_detected_language
@@ -31,9 +33,13 @@ FALLBACK = " .eta"
 
 
 def evaluation_lines(docs: DataFrame, key: str = "doc_id", shortest: int = MIN_CHARS) -> DataFrame:
-    """Collapsed documents long enough to be cut, with their held-out flag."""
-    lines = docs.select(key, "lang", collapse_ws(F.col("text")).alias("text"))
-    return random_holdout(lines.where(F.length("text") >= shortest), key)
+    """Collapsed documents long enough to be cut, with their held-out flag.
+
+    The length rule is decided on the raw text, so that counting for the hold-out does not normalise it.
+    """
+    rows = spread(docs.select(key, "lang", "text"), key)
+    split = random_holdout(rows.where(min_collapsed_chars(F.col("text"), shortest)), key)
+    return split.withColumn("text", collapse_ws(F.col("text")))
 
 
 def cut_length(key: Column, text: Column) -> Column:
@@ -52,9 +58,12 @@ def prompts(lines: DataFrame, key: str = "doc_id") -> DataFrame:
     )
 
 
-def train_counts(lines: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
+def train_counts(
+    lines: DataFrame, n: int, key: str = "doc_id", by: Sequence[str] = ()
+) -> DataFrame:
     """Staged counts of all orders up to ``n``. One pass over the text; the table is read many times."""
-    return stage(order_counts(full_gram_counts(spread(lines, key), n), n), "grams")
+    full = full_gram_counts(spread(lines, key), n, by=by)
+    return stage(order_counts(full, n, by), "grams")
 
 
 def heldout_success(docs: DataFrame, n: int = 3, key: str = "doc_id") -> DataFrame:
@@ -120,8 +129,11 @@ def job_predict_grade(
     """
     lines = evaluation_lines(docs, key)
     train = lines.where(F.col("split") == "train")
-    english = train_counts(train.where(F.col("lang") == "en"), n, key)
-    others = train_counts(train.where(F.col("lang") != "en"), n, key)
+    sides = train_counts(
+        train.withColumn("english", F.col("lang") == "en"), n, key, by=["english"]
+    )
+    english = sides.where("english").drop("english")
+    others = sides.where("not english").drop("english")
     inputs = prompts(lines.where(F.col("split") == "test"), key)
     routed = with_detected_language(inputs, profiles, "pos").withColumn(
         "is_english", is_english(F.col("text"), F.col("detected"))

@@ -135,15 +135,13 @@ def answers(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def document_prompts(spark: SparkSession, sf: str) -> DataFrame:
-    rows = docs(spark, sf).select("doc_id", "lang", T.collapse_ws(F.col("text")).alias("text"))
-    return modelling.prompts(rows.where(F.length("text") >= modelling.MIN_CHARS))
+    rows = spread(docs(spark, sf).select("doc_id", "lang", "text"), "doc_id")
+    rows = rows.where(P.min_collapsed_chars(F.col("text"), modelling.MIN_CHARS))
+    return modelling.prompts(rows.withColumn("text", T.collapse_ws(F.col("text"))))
 
 
-def model_counts(spark: SparkSession, sf: str, n: int, english: bool | None = None) -> DataFrame:
-    rows = docs(spark, sf)
-    if english is not None:
-        rows = rows.where((F.col("lang") == "en") == F.lit(english))
-    return modelling.train_counts(rows, n)
+def model_counts(spark: SparkSession, sf: str, n: int) -> DataFrame:
+    return modelling.train_counts(docs(spark, sf), n)
 
 
 def profiles(spark: SparkSession, sf: str) -> langid.LanguageProfiles:
@@ -467,8 +465,10 @@ def align_pairs(spark, sf):
 @query
 def route_predict(spark, sf):
     inputs = document_prompts(spark, sf).withColumn("is_english", P.is_english_ascii(F.col("text")))
-    english = predict.byte_model(model_counts(spark, sf, 3, True), 3)
-    others = predict.token_model(model_counts(spark, sf, 3, False), 3)
+    rows = docs(spark, sf).withColumn("english", F.col("lang") == "en")
+    sides = modelling.train_counts(rows, 3, by=["english"])
+    english = predict.byte_model(sides.where("english"), 3)
+    others = predict.token_model(sides.where("not english"), 3)
     return predict.route_predict(inputs, english, others).select("pos", "is_english", "pred")
 
 
@@ -526,7 +526,8 @@ def marginalise_first_char(spark, sf):
     counts = model_counts(spark, sf, 4)
     cands = predict.token_candidates(counts, 2, 2)
     rows = ngrams.marginalise_first_char(cands, ["ctx"])
-    return rows.select("ctx", "ch", F.round("logprob", 6).alias("logprob"))
+    # Adding zero turns a rounded -0.0 into 0.0.
+    return rows.select("ctx", "ch", (F.round("logprob", 6) + F.lit(0.0)).alias("logprob"))
 
 
 @query
