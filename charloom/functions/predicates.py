@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from charloom.functions.text import WS_RANGES, strip_ws, words
+from charloom.functions.text import NFC_STABLE_RANGES, WS_RANGES, nfc, strip_ws, words
 
 # Register keys of interactive text, and the score that keeps a document.
 CONVERSATIONAL_KEYS = ("ID", "IP", "IN")
@@ -41,6 +41,18 @@ def min_collapsed_chars(text: Column, n: int) -> Column:
     return F.coalesce(text.rlike(rf"\A{gap}*+{ink}{unit}{{{n - 1}}}"), F.lit(False))
 
 
+def min_nfc_chars(text: Column, n: int) -> Column:
+    """Stripped NFC length of at least ``n`` code points.
+
+    A character that NFC leaves alone stays a character, so ``n`` of those settle the question inside the
+    JVM; only the remaining texts are normalised.
+    """
+    s = strip_ws(text)
+    settled = s.rlike(rf"\A(?:[^{NFC_STABLE_RANGES}]*+[{NFC_STABLE_RANGES}]){{{n}}}")
+    open_case = F.length(nfc(F.when(~settled, s))) >= n
+    return F.coalesce(settled | open_case, F.lit(False))
+
+
 def is_conversational(
     register: Column,
     threshold: float = CONVERSATIONAL_THRESHOLD,

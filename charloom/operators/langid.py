@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from charloom.functions.text import strip_ws
-from charloom.operators.ngrams import topk_per_row, windows
+from charloom.operators.ngrams import char_windows, joined, topk_per_row
 
 GRAM = 3
 SCALE = 1000
@@ -42,11 +42,10 @@ def train_language_profiles(
     Counting is one shuffle of aggregated trigrams. The profiles, at most ``grams`` rows per language,
     are collected and become a small local table, so a job that uses them does not train again.
     """
+    labelled = df.where(F.col(lang).isin(list(langs))).withColumn("lang", F.col(lang))
+    runs = char_windows(labelled, GRAM, strip_ws(F.col(text)), ["lang"])
     counts = (
-        df.where(F.col(lang).isin(list(langs)))
-        .select(
-            F.col(lang).alias("lang"), F.explode(windows(strip_ws(F.col(text)), GRAM)).alias("g")
-        )
+        runs.select("lang", joined(0, GRAM).alias("g"))
         .groupBy("lang", "g")
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
@@ -84,7 +83,8 @@ def detect_language(
     A text's trigrams meet the broadcast profile where they are and fold to one row per text before the
     shuffle, so the exploded grams never move.
     """
-    grams = df.select(key, F.explode(windows(strip_ws(F.col(text)), GRAM)).alias("g"))
+    runs = char_windows(df, GRAM, strip_ws(F.col(text)), [key])
+    grams = runs.select(key, joined(0, GRAM).alias("g"))
     sums = [F.coalesce(F.sum(f"w{i}"), F.lit(0)).alias(f"w{i}") for i in range(len(profiles.langs))]
     folded = (
         grams.join(F.broadcast(profiles.table), "g", "left")

@@ -21,49 +21,49 @@ BACKOFF = 0.4
 INTERPOLATION = 0.7
 
 
-def windows(text: Column, n: int) -> Column:
-    """All runs of ``n`` characters. The look-ahead makes the matches overlap in one regex pass; the
-    second look-ahead keeps a match from starting inside a surrogate pair."""
-    return F.regexp_extract_all(
-        text, F.lit(rf"(?s)(?=(.{{{n}}}))(?![\x{{dc00}}-\x{{dfff}}])"), F.lit(1)
-    )
+def char_windows(
+    df: DataFrame, n: int, text: Column, keep: Sequence[str] = (), heads: bool = False
+) -> DataFrame:
+    """One row per run of ``n`` characters, as columns ``c0 .. c{n-1}``.
 
+    The text is split into characters once; shifted slices of that array, zipped, give the runs without
+    scanning the text again per position. ``heads`` pads the front with empty strings, so that the first
+    characters also end a run, with the shorter context they have.
+    """
+    rows = df.where(text != "").select(*keep, F.split(text, "").alias("_chars"))
+    runs = F.size("_chars")
+    if heads:
+        padded = F.concat(F.array(*[F.lit("")] * (n - 1)), "_chars") if n > 1 else F.col("_chars")
+    else:
+        padded, runs = F.col("_chars"), F.greatest(F.lit(0), runs - F.lit(n - 1))
+    rows = rows.select(*keep, padded.alias("_chars"), runs.alias("_runs"))
+    shifted = [F.slice("_chars", i + 1, F.col("_runs")).alias(f"c{i}") for i in range(n)]
+    return rows.select(*keep, F.inline(F.arrays_zip(*shifted)))
 
-def _full_grams(text: Column, n: int) -> Column:
-    if n == 1:
-        return windows(text, 1)
-    heads = F.array(
-        *[F.when(F.length(text) >= k, F.substring(text, 1, k)) for k in range(1, n)]
-    )
-    return F.concat(F.array_compact(heads), windows(text, n))
+
+def joined(first: int, last: int) -> Column:
+    """Columns ``c{first} .. c{last - 1}`` as one string."""
+    return F.concat(*[F.col(f"c{i}") for i in range(first, last)]) if last > first else F.lit("")
 
 
 def next_char_pairs(df: DataFrame, n: int, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """Training pairs ``(ctx, ch)``: ``n - 1`` characters and the one after them, a row per position."""
-    grams = df.select(*keep, F.explode(windows(F.col(text), n)).alias("g"))
-    return grams.select(
-        *keep, F.substring("g", 1, n - 1).alias("ctx"), F.substring("g", n, 1).alias("ch")
-    )
+    runs = char_windows(df, n, F.col(text), keep)
+    return runs.select(*keep, joined(0, n - 1).alias("ctx"), F.col(f"c{n - 1}").alias("ch"))
 
 
 def ngram_counts(df: DataFrame, n: int, text: str = "text", by: Sequence[str] = ()) -> DataFrame:
     """``(by, ctx, ch, cnt)``. Frequent grams collapse before the shuffle."""
-    counted = (
-        df.select(*by, F.explode(windows(F.col(text), n)).alias("g"))
-        .groupBy(*by, "g")
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
-    return counted.select(
-        *by, F.substring("g", 1, n - 1).alias("ctx"), F.substring("g", n, 1).alias("ch"), "cnt"
+    return next_char_pairs(df, n, text, by).groupBy(*by, "ctx", "ch").agg(
+        F.count(F.lit(1)).alias("cnt")
     )
 
 
 def full_gram_counts(df: DataFrame, n: int, text: str = "text", by: Sequence[str] = ()) -> DataFrame:
     """``(by, g, cnt)``: each position once, with as much context as it has, up to ``n - 1``."""
+    runs = char_windows(df, n, F.col(text), by, heads=True)
     return (
-        df.select(*by, F.explode(_full_grams(F.col(text), n)).alias("g"))
-        .groupBy(*by, "g")
-        .agg(F.count(F.lit(1)).alias("cnt"))
+        runs.select(*by, joined(0, n).alias("g")).groupBy(*by, "g").agg(F.count(F.lit(1)).alias("cnt"))
     )
 
 

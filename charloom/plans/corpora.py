@@ -11,7 +11,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from charloom.functions.predicates import is_conversational, is_english, min_chars, non_blank
+from charloom.functions.predicates import (
+    is_conversational,
+    is_english,
+    min_chars,
+    min_nfc_chars,
+    non_blank,
+)
 from charloom.functions.text import (
     cap_chars,
     collapse_ws,
@@ -32,6 +38,7 @@ from charloom.operators.quotas import (
     slice_non_blank,
     trim_from_top,
 )
+from charloom.session import stage
 
 WEB_MIN_CHARS = 10
 ENCYCLOPEDIA_MIN_CHARS = 20
@@ -64,16 +71,18 @@ def job_encyclopedia_corpus(
 
 
 def min_chars_after_nfc(df: DataFrame, n: int = CLEAN_MIN_CHARS) -> DataFrame:
-    """Stripped NFC text of at least ``n`` code points; blank rows go before the costly step."""
-    rows = _with_text(df.where(non_blank(F.col("text"))), lambda t: nfc(strip_ws(t)))
-    return rows.where(F.length("text") >= n)
+    """Stripped NFC text of at least ``n`` code points."""
+    rows = df.where(min_nfc_chars(F.col("text"), n))
+    return _with_text(rows, lambda t: nfc(strip_ws(t)))
 
 
 def job_clean_corpus(
     df: DataFrame, lang_order: Sequence[str], max_total: int = 200_000
 ) -> DataFrame:
-    """Length rule after NFC, no length cap."""
-    return _with_text(quota_and_cut(min_chars_after_nfc(df), lang_order, max_total), collapse_ws)
+    """Length rule after NFC, no length cap. The cut is counted without normalising."""
+    rows = df.where(min_nfc_chars(F.col("text"), CLEAN_MIN_CHARS))
+    kept = quota_and_cut(rows, lang_order, max_total)
+    return _with_text(kept, lambda t: collapse_ws(nfc(strip_ws(t))))
 
 
 def job_register_corpus(
@@ -86,16 +95,18 @@ def job_register_corpus(
 
     ``docs`` has ``lang, shard_rank, pos, text, register``. The budget is spent on parsed rows before the
     register filter, so a language may end below its quota. The cut goes by language order, then shard,
-    then position.
+    then position. The few chosen shards are staged once, so they are not decompressed and parsed again
+    for every count.
     """
     q = quota_per_language(max_total, len(lang_order))
-    parsed = _with_text(docs.where(non_blank(F.col("text"))), strip_ws)
-    normal = _with_text(parsed, nfc)
-    keep = is_conversational(F.col("register")) & (F.length(strip_ws(F.col("text"))) >= CLEAN_MIN_CHARS)
-    kept = shard_budget_quota(normal.where(F.col("lang").isin(list(lang_order))), q, shards, keep)
+    parsed = docs.where(F.col("lang").isin(list(lang_order)) & (F.col("shard_rank") <= shards))
+    parsed = stage(_with_text(parsed.where(non_blank(F.col("text"))), strip_ws), "shards")
+    keep = is_conversational(F.col("register")) & min_nfc_chars(F.col("text"), CLEAN_MIN_CHARS)
+    kept = shard_budget_quota(parsed, q, shards, keep)
     unit = F.concat_ws("\x1f", "lang", F.col("shard_rank").cast("string"))
     order = [f"{lang}\x1f{s}" for lang in lang_order for s in range(1, shards + 1)]
-    return global_cut(kept.withColumn("_unit", unit), order, max_total, lang="_unit").drop("_unit")
+    final = global_cut(kept.withColumn("_unit", unit), order, max_total, lang="_unit")
+    return _with_text(final.drop("_unit"), nfc)
 
 
 def job_instruction_corpus(df: DataFrame, offset: int = 0, n: int = 20_000) -> DataFrame:

@@ -52,6 +52,10 @@ def docs(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
 
 
+def spread_docs(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(docs(spark, sf), "doc_id")
+
+
 def corpus_rows(spark: SparkSession, sf: str) -> DataFrame:
     return docs(spark, sf).select(F.col("doc_id").alias("pos"), "lang", "source", "text")
 
@@ -60,7 +64,7 @@ def decomposed(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with some accented letters taken apart, so that NFC has work to do."""
     text = F.replace(F.col("text"), F.lit("\u00e9"), F.lit("e\u0301"))
     text = F.replace(text, F.lit("\u00fc"), F.lit("u\u0308"))
-    return docs(spark, sf).withColumn("text", text)
+    return spread_docs(spark, sf).withColumn("text", text)
 
 
 def pair_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -145,7 +149,7 @@ def model_counts(spark: SparkSession, sf: str, n: int) -> DataFrame:
 
 
 def profiles(spark: SparkSession, sf: str) -> langid.LanguageProfiles:
-    return langid.train_language_profiles(spread(docs(spark, sf), "doc_id"), LANGS)
+    return langid.train_language_profiles(spread_docs(spark, sf), LANGS)
 
 
 # --- sources --------------------------------------------------------------------------------------
@@ -278,7 +282,7 @@ def strip_ws(spark, sf):
 
 @query
 def collapse_ws(spark, sf):
-    return docs(spark, sf).select("doc_id", T.collapse_ws(F.col("text")).alias("text"))
+    return spread_docs(spark, sf).select("doc_id", T.collapse_ws(F.col("text")).alias("text"))
 
 
 @query
@@ -288,7 +292,7 @@ def nfc(spark, sf):
 
 @query
 def cap_chars(spark, sf):
-    return docs(spark, sf).select(
+    return spread_docs(spark, sf).select(
         "doc_id", T.cap_chars(T.collapse_ws(F.col("text")), 8000).alias("text")
     )
 
@@ -307,14 +311,14 @@ def concat_instruction_output(spark, sf):
 
 @query
 def byte_tokens(spark, sf):
-    rows = spread(docs(spark, sf), "doc_id")
+    rows = spread_docs(spark, sf)
     tokens = rows.select(F.explode(T.byte_tokens(F.col("text"))).alias("token"))
     return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def truncate_tokens(spark, sf):
-    kept = docs(spark, sf).select(
+    kept = spread_docs(spark, sf).select(
         "doc_id", T.truncate_tokens(T.byte_tokens(F.col("text")), 1024, 256).alias("tokens")
     )
     return kept.select(
@@ -326,13 +330,13 @@ def truncate_tokens(spark, sf):
 
 @query
 def next_char_pairs(spark, sf):
-    pairs = ngrams.next_char_pairs(spread(docs(spark, sf), "doc_id"), 3, keep=["lang"])
+    pairs = ngrams.next_char_pairs(spread_docs(spark, sf), 3, keep=["lang"])
     return pairs.groupBy("lang", "ch").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def fold_guess(spark, sf):
-    return docs(spark, sf).select("doc_id", T.fold_guess(F.col("text")).alias("guess"))
+    return spread_docs(spark, sf).select("doc_id", T.fold_guess(F.col("text")).alias("guess"))
 
 
 # --- predicates -----------------------------------------------------------------------------------
@@ -385,18 +389,18 @@ def drop_malformed_json(spark, sf):
 
 @query
 def is_english_ascii(spark, sf):
-    return docs(spark, sf).select("doc_id", P.is_english_ascii(F.col("text")).alias("is_english"))
+    return spread_docs(spark, sf).select("doc_id", P.is_english_ascii(F.col("text")).alias("is_english"))
 
 
 @query
 def detect_language(spark, sf):
-    rows = spread(docs(spark, sf), "doc_id")
+    rows = spread_docs(spark, sf)
     return langid.detect_language(rows, profiles(spark, sf), "doc_id")
 
 
 @query
 def is_english(spark, sf):
-    rows = spread(docs(spark, sf), "doc_id")
+    rows = spread_docs(spark, sf)
     found = langid.with_detected_language(rows, profiles(spark, sf), "doc_id")
     verdict = P.is_english(F.col("text"), F.col("detected"))
     return found.groupBy("lang", verdict.alias("is_english")).agg(F.count(F.lit(1)).alias("n"))
@@ -404,7 +408,7 @@ def is_english(spark, sf):
 
 @query
 def printable_candidate(spark, sf):
-    counts = ngrams.ngram_counts(spread(docs(spark, sf), "doc_id"), 1)
+    counts = ngrams.ngram_counts(spread_docs(spark, sf), 1)
     return counts.where(P.printable_candidate(F.col("ch"))).select("ch", "cnt")
 
 
@@ -420,17 +424,17 @@ def single_byte_candidate(spark, sf):
 
 @query
 def utf8_audit(spark, sf):
-    return corpus.utf8_audit(spread(docs(spark, sf), "doc_id"), "lang")
+    return corpus.utf8_audit(spread_docs(spark, sf), "lang")
 
 
 @query
 def domain_filter(spark, sf):
-    return corpus.domain_filter(docs(spark, sf), TOPIC_WORDS).select("doc_id", "lang")
+    return corpus.domain_filter(spread_docs(spark, sf), TOPIC_WORDS).select("doc_id", "lang")
 
 
 @query
 def domain_weight(spark, sf):
-    rows = corpus.domain_filter(docs(spark, sf), TOPIC_WORDS, mode="weight", weight=0.25)
+    rows = corpus.domain_filter(spread_docs(spark, sf), TOPIC_WORDS, mode="weight", weight=0.25)
     return rows.select("doc_id", "weight")
 
 
@@ -485,7 +489,7 @@ def ngram_backoff_lookup(spark, sf):
 
 @query
 def split_counts(spark, sf):
-    return corpus.split_counts(docs(spark, sf))
+    return corpus.split_counts(spread_docs(spark, sf))
 
 
 @query
@@ -532,12 +536,12 @@ def marginalise_first_char(spark, sf):
 
 @query
 def ngram_counts_3(spark, sf):
-    return ngrams.ngram_counts(spread(docs(spark, sf), "doc_id"), 3)
+    return ngrams.ngram_counts(spread_docs(spark, sf), 3)
 
 
 @query
 def ngram_counts_5(spark, sf):
-    return ngrams.ngram_counts(spread(docs(spark, sf), "doc_id"), 5)
+    return ngrams.ngram_counts(spread_docs(spark, sf), 5)
 
 
 def _probs(spark, sf, method):
@@ -549,7 +553,7 @@ def _probs(spark, sf, method):
 
 @query
 def ngram_probs_addk(spark, sf):
-    counts = ngrams.ngram_counts(spread(docs(spark, sf), "doc_id"), 3)
+    counts = ngrams.ngram_counts(spread_docs(spark, sf), 3)
     size = docs(spark, sf).select(F.explode(F.array_distinct(F.split("text", ""))).alias("c"))
     size = size.where(F.col("c") != "").distinct().count()
     probs = ngrams.add_k_probs(counts, size)
@@ -605,7 +609,7 @@ def line_index(spark, sf):
 
 @query
 def topk_per_row(spark, sf):
-    counts = ngrams.ngram_counts(spread(docs(spark, sf), "doc_id"), 3)
+    counts = ngrams.ngram_counts(spread_docs(spark, sf), 3)
     return ngrams.topk_per_row(counts, ["ctx"], "cnt", [F.col("ch")], 3).select(
         "ctx", "ch", "cnt", "rank"
     )
@@ -805,7 +809,7 @@ def job_pair_splits(spark, sf):
 
 @query
 def job_detected_splits(spark, sf):
-    rows = spread(docs(spark, sf), "doc_id")
+    rows = spread_docs(spark, sf)
     pairs = [rows.where(F.col("lang").isin("en", "es")), rows.where(F.col("lang").isin("fr", "de"))]
     split = corpora.job_detected_splits(pairs, profiles(spark, sf), "doc_id")
     return split.groupBy("source_rank", "is_english").agg(
