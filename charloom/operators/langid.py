@@ -22,16 +22,16 @@ PROFILE_GRAMS = 400
 
 @dataclass(frozen=True)
 class LanguageProfiles:
-    """``table``: gram and one weight column per language, above that language's weight of an unseen
-    gram, which ``floors`` holds. At most ``PROFILE_GRAMS`` rows per language."""
+    """``table``: gram and one weight column ``w0, w1, ..`` per language of ``langs``, at most
+    ``PROFILE_GRAMS`` rows per language. A weight is the gain over a gram no language knows, which weighs
+    the same for all, so that a language with little training text is not favoured."""
 
     langs: tuple[str, ...]
     table: DataFrame
-    floors: dict[str, int]
 
 
-def _weight(count: Column, total: Column, distinct: Column) -> Column:
-    return F.round(F.log((count + 1) / (total + distinct)) * SCALE).cast("bigint")
+def _weight(count: Column, size: Column) -> Column:
+    return F.round(F.log(count / size) * SCALE).cast("bigint")
 
 
 def train_language_profiles(
@@ -49,57 +49,54 @@ def train_language_profiles(
         .groupBy("lang", "g")
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
-    sizes = counts.groupBy("lang").agg(F.sum("cnt").alias("total"), F.count(F.lit(1)).alias("distinct"))
+    sizes = counts.groupBy("lang").agg((F.sum("cnt") + F.count(F.lit(1))).alias("size"))
     best = topk_per_row(counts, ["lang"], "cnt", [F.col("g")], grams)
-    floor = _weight(F.lit(0), F.col("total"), F.col("distinct"))
     rows = (
         best.join(F.broadcast(sizes), "lang")  # one row per language
         .select(
             "lang",
             "g",
-            floor.alias("floor"),
-            (_weight(F.col("cnt"), F.col("total"), F.col("distinct")) - floor).alias("gain"),
+            _weight(F.lit(1), F.col("size")).alias("unseen"),
+            _weight(F.col("cnt") + 1, F.col("size")).alias("weight"),
         )
         .collect()
     )
-    floors = {r["lang"]: r["floor"] for r in rows}
-    known = tuple(x for x in langs if x in floors)
+    floor = min((r["unseen"] for r in rows), default=0)
+    trained = {r["lang"] for r in rows}
+    known = tuple(x for x in langs if x in trained)
     gains: dict[str, dict[str, int]] = {}
     for r in rows:
-        gains.setdefault(r["g"], {})[r["lang"]] = r["gain"]
-    columns = ", ".join(f"w{i} bigint" for i in range(len(known)))
+        gains.setdefault(r["g"], {})[r["lang"]] = r["weight"] - floor
+    columns = "".join(f", w{i} bigint" for i in range(len(known)))
     table = df.sparkSession.createDataFrame(
-        [(g, *[by.get(x, 0) for x in known]) for g, by in sorted(gains.items())],
-        f"g string, {columns}",
+        [(g, *[by.get(x, 0) for x in known]) for g, by in sorted(gains.items())], f"g string{columns}"
     )
-    return LanguageProfiles(known, table, floors)
+    return LanguageProfiles(known, table)
 
 
 def detect_language(
     df: DataFrame, profiles: LanguageProfiles, key: str, text: str = "text"
 ) -> DataFrame:
-    """``(key, n_grams, detected)`` for the texts that have a trigram; ties go to the first language.
+    """``(key, n_grams, detected)`` for the texts that have a trigram.
 
-    A text's trigrams meet the broadcast profile where they are and fold to one row per text before the
-    shuffle, so the exploded grams never move.
+    Ties go to the first language; a text without a known trigram has none. A text's trigrams meet the
+    broadcast profile where they are and fold to one row per text before the shuffle, so the exploded
+    grams never move.
     """
     runs = char_windows(df, GRAM, strip_ws(F.col(text)), [key])
     grams = runs.select(key, joined(0, GRAM).alias("g"))
-    sums = [F.coalesce(F.sum(f"w{i}"), F.lit(0)).alias(f"w{i}") for i in range(len(profiles.langs))]
+    weights = [f"w{i}" for i in range(len(profiles.langs))]
     folded = (
         grams.join(F.broadcast(profiles.table), "g", "left")
         .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n_grams"), *sums)
+        .agg(F.count(F.lit(1)).alias("n_grams"), *[F.coalesce(F.sum(w), F.lit(0)).alias(w) for w in weights])
     )
-    scores = [
-        F.col(f"w{i}") + F.col("n_grams") * F.lit(profiles.floors[x])
-        for i, x in enumerate(profiles.langs)
+    best = F.array_max(F.array(*weights))
+    won = [
+        F.when((F.col(w) == best) & (best > 0), F.lit(x))
+        for w, x in zip(weights, profiles.langs, strict=True)
     ]
-    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    detected = F.coalesce(
-        *[F.when(s == best, F.lit(x)) for s, x in zip(scores, profiles.langs, strict=True)]
-    )
-    return folded.select(key, "n_grams", detected.alias("detected"))
+    return folded.select(key, "n_grams", F.coalesce(*won).alias("detected"))
 
 
 def with_detected_language(

@@ -200,9 +200,11 @@ def ngram_probs(
     queries: DataFrame | None = None,
     **params: float,
 ) -> DataFrame:
-    """``(g, p)`` for the query grams; by default every gram of order ``n`` that was counted."""
+    """``(g, p)`` for the distinct query grams; by default every gram of order ``n`` that was counted."""
     if queries is None:
         queries = counts.where(F.length("g") == n).select("g")
+    else:
+        queries = queries.select("g").distinct()
     found = gram_evidence(queries, counts, n)
     return found.select(
         "g", smoothed_score(F.col("evidence"), vocabulary, method, **params).alias("p")

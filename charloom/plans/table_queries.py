@@ -576,7 +576,7 @@ def cross_entropy(spark, sf):
     counts = model_counts(spark, sf, 3)
     held = stage(ngrams.full_gram_counts(table(spark, sf, "benchmark"), 3), "heldout")
     probs = ngrams.ngram_probs(
-        counts, 3, ngrams.vocabulary_size(counts), "interp", queries=held.select("g")
+        counts, 3, ngrams.vocabulary_size(counts), "interp", queries=held
     )
     losses = ngrams.cross_entropy(held.join(probs, "g", "left"))
     return losses.select("n", F.round("loss", 6).alias("loss"))
@@ -846,7 +846,7 @@ def perplexity(spark, sf):
     turns = table(spark, sf, "conversations")
     held = stage(ngrams.full_gram_counts(turns, 3, by=["role"]), "heldout")
     probs = ngrams.ngram_probs(
-        counts, 3, ngrams.vocabulary_size(counts), "interp", queries=held.select("g").distinct()
+        counts, 3, ngrams.vocabulary_size(counts), "interp", queries=held
     )
     rows = ngrams.perplexity(ngrams.cross_entropy(held.join(probs, "g", "left"), ["role"]))
     return rows.select("role", "n", F.round("loss", 6).alias("loss"), F.round("ppl", 5).alias("ppl"))

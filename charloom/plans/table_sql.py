@@ -140,20 +140,19 @@ prof_src AS (SELECT doc_id AS id, lang, {strip('text')} AS t FROM documents),
 {chars("prof_pos", "prof_src", "lang")},
 prof_cnt AS (SELECT lang, p2 || p1 || ch AS g, count(*) AS c FROM prof_pos WHERE i >= 3 GROUP BY ALL),
 prof_size AS (SELECT lang, sum(c)::BIGINT + count(*) AS d FROM prof_cnt GROUP BY lang),
-floors AS (SELECT lang, round(ln(1 / d::DOUBLE) * 1000)::BIGINT AS floor FROM prof_size),
+floors AS (SELECT min(round(ln(1 / d::DOUBLE) * 1000)::BIGINT) AS floor FROM prof_size),
 prof AS (SELECT lang, g, gain FROM (
-  SELECT lang, g, round(ln((c + 1) / d::DOUBLE) * 1000)::BIGINT - floor AS gain,
+  SELECT lang, g, round(ln((c + 1) / d::DOUBLE) * 1000)::BIGINT - (SELECT floor FROM floors) AS gain,
     row_number() OVER (PARTITION BY lang ORDER BY c DESC, g) AS rk
-  FROM prof_cnt JOIN prof_size USING (lang) JOIN floors USING (lang)) WHERE rk <= 400),
+  FROM prof_cnt JOIN prof_size USING (lang)) WHERE rk <= 400),
 det_src AS (SELECT id, {strip("t")} AS t FROM {inputs}),
 {chars("det_pos", "det_src")},
 det_gram AS (SELECT id, p2 || p1 || ch AS g FROM det_pos WHERE i >= 3),
 det_n AS (SELECT id, count(*) AS n_grams FROM det_gram GROUP BY id),
 det_gain AS (SELECT id, lang, sum(gain)::BIGINT AS gain FROM det_gram JOIN prof USING (g) GROUP BY ALL),
-det_score AS (SELECT n.id, f.lang, n_grams, n_grams * floor + coalesce(gain, 0) AS score
-  FROM det_n n CROSS JOIN floors f LEFT JOIN det_gain s ON s.id = n.id AND s.lang = f.lang),
-detected AS (SELECT id, n_grams, lang AS detected FROM det_score
-  QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, {LANG_RANK}) = 1)"""
+det_best AS (SELECT id, lang FROM det_gain WHERE gain > 0
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY gain DESC, {LANG_RANK}) = 1),
+detected AS (SELECT id, n_grams, lang AS detected FROM det_n LEFT JOIN det_best USING (id))"""
 
 
 def english(text: str, detected: str) -> str:
