@@ -15,9 +15,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from charloom.session import stage
+from charloom.session import broadcast_if_small, stage
 
-FANOUT = 1024
+FANOUT = 65_536
 MAX_RANKED_KEYS = 1_000_000
 
 
@@ -203,7 +203,7 @@ def with_rank(
     before = F.sum("_n").over(earlier) - F.col("_n")
     offsets = runs.select(*by, "_part", "_first", before.alias("_before"))
     return (
-        placed.join(offsets, [*by, "_part"])
+        placed.join(broadcast_if_small(offsets), [*by, "_part"])
         .withColumn(name, F.col("_before") + F.col("_place") - F.col("_first"))
         .drop("_part", "_place", "_first", "_before")
     )

@@ -35,10 +35,12 @@ FALLBACK = " .eta"
 def evaluation_lines(docs: DataFrame, key: str = "doc_id", shortest: int = MIN_CHARS) -> DataFrame:
     """Collapsed documents long enough to be cut, with their held-out flag.
 
-    The length rule is decided on the raw text, so that counting for the hold-out does not normalise it.
+    The length rule is decided on the raw text in one scan that stages the keys; the hold-out is then
+    counted on the keys alone.
     """
     rows = spread(docs.select(key, "lang", "text"), key)
-    split = random_holdout(rows.where(min_collapsed_chars(F.col("text"), shortest)), key)
+    rows = rows.where(min_collapsed_chars(F.col("text"), shortest))
+    split = random_holdout(rows, key, keys=stage(rows.select(key), "keys"))
     return split.withColumn("text", collapse_ws(F.col("text")))
 
 

@@ -6,6 +6,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 500_000
 
 
 def build_session(app: str = "charloom", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -60,6 +63,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast after counting; above ``max_rows`` the plan keeps its shuffle join.
+
+    For narrow tables whose size follows the input (a row per split or partition).
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-partition ``df`` by ``key`` when it is too small to fill the cores by its file splits.
 

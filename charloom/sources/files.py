@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from charloom.functions.predicates import non_blank
 from charloom.functions.text import decode_utf8_lossy, strip_ws
-from charloom.session import stage
+from charloom.session import broadcast_if_small, stage
 
 log = logging.getLogger(__name__)
 
@@ -59,7 +59,7 @@ def read_lines(
     if not per_file:
         w = Window.orderBy("file", "_path", "_split")
     offsets = splits.withColumn("_before", F.sum("_n").over(w) - F.col("_n")).drop("_n")
-    return placed.join(offsets, ["_path", "_split"]).select(
+    return placed.join(broadcast_if_small(offsets), ["_path", "_split"]).select(
         (F.col("_before") + F.col("_place") - F.col("_first")).alias("pos"),
         "file",
         F.col("value").alias("text"),
