@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from charloom.functions.predicates import printable_candidate, single_byte_candidate
 from charloom.operators.ngrams import last_char, ngram_backoff_lookup, ngram_topk
+from charloom.session import stage
 
 # Fallback characters and the guesses for an empty line, per path.
 TOKEN_FALLBACK = "天气快不错吗"
@@ -50,24 +51,43 @@ def token_model(counts: DataFrame, n: int, k: int = 3) -> NgramModel:
     return NgramModel(ngram_topk(counts.where(printable_candidate(last_char(F.col("g")))), k), n)
 
 
-def predict(
-    inputs: DataFrame, model: NgramModel, fallback: str, when_empty: str, text: str = "text"
-) -> DataFrame:
-    """Add ``pred``. The model is asked once per distinct suffix and joined back by suffix.
+def _suffixes(inputs: DataFrame, length: int, text: str) -> DataFrame:
+    """The inputs with their text cut down to what a model looks at, staged.
 
-    The suffix of the inputs can be skewed; the other side has one row per suffix, so the join
-    broadcasts it when small and the adaptive skew join splits the large side otherwise.
+    Every later step reads these narrow rows; the text itself is read once.
     """
-    keyed = inputs.withColumn("key", F.right(F.coalesce(F.col(text), F.lit("")), F.lit(model.n - 1)))
+    value = F.coalesce(F.col(text), F.lit(""))
+    others = [c for c in inputs.columns if c != text]
+    narrow = inputs.select(
+        *others, F.right(value, F.lit(length)).alias("_key"), (value == "").alias("_empty")
+    )
+    return stage(narrow, "suffixes")
+
+
+def _answer(narrow: DataFrame, model: NgramModel, fallback: str, when_empty: str) -> DataFrame:
+    keyed = narrow.withColumn("key", F.right("_key", F.lit(model.n - 1)))
     found = ngram_backoff_lookup(keyed, model.topk, model.n)
     filled = fill_guesses(F.coalesce("guesses", F.array().cast("array<string>")), fallback)
+    pred = F.when(F.col("_empty"), F.lit(when_empty)).otherwise(filled)
     return (
         keyed.join(found, "key", "left")
-        .withColumn("pred", empty_input_guess(F.col(text), filled, when_empty))
-        .drop("key", "guesses")
+        .withColumn("pred", pred)
+        .drop("key", "guesses", "_key", "_empty")
     )
 
 
+def predict(
+    inputs: DataFrame, model: NgramModel, fallback: str, when_empty: str, text: str = "text"
+) -> DataFrame:
+    """The inputs without their text, with ``pred``.
+
+    The model is asked once per distinct suffix and joined back by suffix. The suffix of the inputs can be
+    skewed; the other side has one row per suffix, so the join broadcasts it when small and the adaptive
+    skew join splits the large side otherwise.
+    """
+    return _answer(_suffixes(inputs, model.n - 1, text), model, fallback, when_empty)
+
+
 def route_predict(
     inputs: DataFrame,
     byte_path: NgramModel,
@@ -78,12 +98,11 @@ def route_predict(
     """English lines take the byte path, others the token path; without one all take the byte path."""
     if token_path is None:
         return predict(inputs, byte_path, BYTE_FALLBACK, BYTE_EMPTY_GUESS, text)
+    narrow = _suffixes(inputs, max(byte_path.n, token_path.n) - 1, text)
     english = F.coalesce(F.col(is_english), F.lit(True))
-    return predict(
-        inputs.where(english), byte_path, BYTE_FALLBACK, BYTE_EMPTY_GUESS, text
-    ).unionByName(
-        predict(inputs.where(~english), token_path, TOKEN_FALLBACK, TOKEN_EMPTY_GUESS, text)
-    )
+    return _answer(
+        narrow.where(english), byte_path, BYTE_FALLBACK, BYTE_EMPTY_GUESS
+    ).unionByName(_answer(narrow.where(~english), token_path, TOKEN_FALLBACK, TOKEN_EMPTY_GUESS))
 
 
 def token_candidates(counts: DataFrame, ctx_len: int, token_len: int) -> DataFrame:

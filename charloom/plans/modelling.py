@@ -140,7 +140,7 @@ def job_predict_grade(
     routed = with_detected_language(inputs, profiles, "pos").withColumn(
         "is_english", is_english(F.col("text"), F.col("detected"))
     )
-    routed = stage(routed, "prompts")
+    routed = stage(routed.drop("detected"), "prompts")
     preds = route_predict(routed, byte_model(english, n), token_model(others, n))
     return score_join(
         routed.select("pos", "lang", "is_english", "gold"), preds.select("pos", "pred")
