@@ -60,18 +60,15 @@ def prompts(lines: DataFrame, key: str = "doc_id") -> DataFrame:
     )
 
 
-def train_counts(
-    lines: DataFrame, n: int, key: str = "doc_id", by: Sequence[str] = ()
-) -> DataFrame:
+def train_counts(lines: DataFrame, n: int, by: Sequence[str] = ()) -> DataFrame:
     """Staged counts of all orders up to ``n``. One pass over the text; the table is read many times."""
-    full = full_gram_counts(spread(lines, key), n, by=by)
-    return stage(order_counts(full, n, by), "grams")
+    return stage(order_counts(full_gram_counts(lines, n, by=by), n, by), "grams")
 
 
 def heldout_success(docs: DataFrame, n: int = 3, key: str = "doc_id") -> DataFrame:
     """How often the true next character is among three guesses, per language, one cut per document."""
     lines = evaluation_lines(docs, key)
-    counts = train_counts(lines.where(F.col("split") == "train"), n, key)
+    counts = train_counts(lines.where(F.col("split") == "train"), n)
     inputs = prompts(lines.where(F.col("split") == "test"), key)
     preds = predict(inputs, NgramModel(ngram_topk(counts), n), FALLBACK, "eta")
     scored = score_join(inputs.select("pos", "lang", "gold"), preds.select("pos", "pred"))
@@ -82,17 +79,17 @@ def heldout_success(docs: DataFrame, n: int = 3, key: str = "doc_id") -> DataFra
     )
 
 
-def heldout_grams(lines: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
+def heldout_grams(lines: DataFrame, n: int) -> DataFrame:
     """``(lang, g, cnt)`` of every held-out position, aggregated before any join."""
-    return full_gram_counts(spread(lines, key), n, by=["lang"])
+    return full_gram_counts(lines, n, by=["lang"])
 
 
 def dense_success(docs: DataFrame, n: int = 3, key: str = "doc_id") -> DataFrame:
     """The same over every held-out position. Positions are aggregated to grams first, so the look-up
     joins grams and not text positions."""
     lines = evaluation_lines(docs, key)
-    counts = train_counts(lines.where(F.col("split") == "train"), n, key)
-    held = stage(heldout_grams(lines.where(F.col("split") == "test"), n, key), "heldout")
+    counts = train_counts(lines.where(F.col("split") == "train"), n)
+    held = stage(heldout_grams(lines.where(F.col("split") == "test"), n), "heldout")
     pairs = held.select("lang", "cnt", context(F.col("g")).alias("key"), last_char(F.col("g")).alias("gold"))
     found = ngram_backoff_lookup(pairs, ngram_topk(counts), n)
     scored = pairs.join(found, "key", "left")
@@ -113,8 +110,8 @@ def job_train_eval(
     if method == "backoff":
         raise ValueError("back-off scores are not probabilities and have no perplexity")
     lines = evaluation_lines(docs, key)
-    counts = train_counts(lines.where(F.col("split") == "train"), n, key)
-    held = stage(heldout_grams(lines.where(F.col("split") == "test"), n, key), "heldout")
+    counts = train_counts(lines.where(F.col("split") == "train"), n)
+    held = stage(heldout_grams(lines.where(F.col("split") == "test"), n), "heldout")
     evidence = gram_evidence(held.select("g").distinct(), counts, n)
     p = smoothed_score(F.col("evidence"), vocabulary_size(counts), method, **params)
     scored = held.join(evidence.select("g", p.alias("p")), "g", "left")
@@ -132,7 +129,7 @@ def job_predict_grade(
     lines = evaluation_lines(docs, key)
     train = lines.where(F.col("split") == "train")
     sides = train_counts(
-        train.withColumn("english", F.col("lang") == "en"), n, key, by=["english"]
+        train.withColumn("english", F.col("lang") == "en"), n, by=["english"]
     )
     english = sides.where("english").drop("english")
     others = sides.where("not english").drop("english")

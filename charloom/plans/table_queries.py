@@ -145,7 +145,7 @@ def document_prompts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def model_counts(spark: SparkSession, sf: str, n: int) -> DataFrame:
-    return modelling.train_counts(docs(spark, sf), n)
+    return modelling.train_counts(spread_docs(spark, sf), n)
 
 
 def profiles(spark: SparkSession, sf: str) -> langid.LanguageProfiles:
@@ -469,7 +469,7 @@ def align_pairs(spark, sf):
 @query
 def route_predict(spark, sf):
     inputs = document_prompts(spark, sf).withColumn("is_english", P.is_english_ascii(F.col("text")))
-    rows = docs(spark, sf).withColumn("english", F.col("lang") == "en")
+    rows = spread_docs(spark, sf).withColumn("english", F.col("lang") == "en")
     sides = modelling.train_counts(rows, 3, by=["english"])
     english = predict.byte_model(sides.where("english"), 3)
     others = predict.token_model(sides.where("not english"), 3)
