@@ -30,8 +30,10 @@ def char_windows(
     scanning the text again per position. ``heads`` pads the front with empty strings, so that the first
     characters also end a run, with the shorter context they have.
     """
-    rows = df.where(text != "").select(*keep, F.split(text, "").alias("_chars"))
-    runs = F.size("_chars")
+    # An empty text splits into one empty string. Testing that, and not the text, keeps the optimiser from
+    # moving a copy of a costly text expression down into a filter.
+    rows = df.select(*keep, F.split(text, "").alias("_chars"))
+    runs = F.when(F.col("_chars")[0] != "", F.size("_chars")).otherwise(0)
     if heads:
         padded = F.concat(F.array(*[F.lit("")] * (n - 1)), "_chars") if n > 1 else F.col("_chars")
     else:
