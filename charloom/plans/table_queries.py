@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from charloom.functions import hooks
 from charloom.functions import predicates as P
 from charloom.functions import text as T
 from charloom.operators import corpus, holdout, langid, ngrams, predict, quotas, scoring
@@ -492,6 +493,22 @@ def split_counts(spark, sf):
     return corpus.split_counts(spread_docs(spark, sf))
 
 
+@query
+def split_counts_python(spark, sf):
+    """The same operator with a plain Python detector."""
+    return corpus.split_counts(spread_docs(spark, sf), hooks.detector_from(str.isascii))
+
+
+@query
+def tokenize_batches(spark, sf):
+    """A Python tokenizer over batches: the bytes of each text."""
+    rows = spread_docs(spark, sf).select("doc_id", "text")
+    kept = hooks.tokenize_batches(rows, lambda texts: [t.encode() for t in texts], max_len=1024)
+    return kept.select(
+        "doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), F.element_at("tokens", -1).cast("bigint").alias("last_token")
+    )
+
+
 @query
 def line_count_non_blank(spark, sf):
     rows = corpus_rows(spark, sf).withColumnRenamed("source", "file")

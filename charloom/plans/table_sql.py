@@ -335,6 +335,12 @@ def all_sql() -> dict[str, str]:
           keys AS (SELECT DISTINCT right(text, 2) AS key FROM prompts),
           {lookup("guess", "keys", "key", "key", "top")} SELECT key, guesses FROM guess""",
         "split_counts": SPLIT_ASCII,
+        "split_counts_python": f"""SELECT NOT regexp_matches(text, '[^\\x{{0}}-\\x{{7f}}]') AS is_english, count(*) AS n
+          FROM documents WHERE {filled("text")} GROUP BY 1""",
+        "tokenize_batches": """SELECT doc_id, least(strlen(text), 1024) AS n_tokens,
+            CASE WHEN strlen(text) > 0
+              THEN ('0x' || substr(hex(text), 2 * least(strlen(text), 1024) - 1, 2))::BIGINT END AS last_token
+          FROM documents""",
         "line_count_non_blank": f"""SELECT source AS file, count(*) FILTER (doc_id >= 100 AND {filled("text")}) AS n
           FROM documents GROUP BY source""",
         "pair_min_count": f"""WITH {PAIR_ROWS}, sides AS (SELECT pair, lang, count(*) AS n FROM pair_rows GROUP BY ALL)

@@ -175,3 +175,17 @@ def test_single_byte_candidates(col):
 def test_has_keyword(col):
     values = ["The Module.", "modules", "x|oxygen|y", ""]
     assert col(lambda c: P.has_keyword(c, ["module", "oxygen"]), values) == [True, False, True, False]
+
+
+def test_python_hooks(spark):
+    from charloom.functions.hooks import detector_from, tokenize_batches
+    from charloom.operators.corpus import split_counts
+
+    df = spark.createDataFrame([(0, "abc"), (1, "é"), (2, " "), (3, None)], "id int, text string")
+    got = {r["is_english"]: r["n"] for r in split_counts(df, detector_from(str.isascii)).collect()}
+    assert got == {True: 1, False: 1}
+    tokens = tokenize_batches(df, lambda texts: [t.encode() for t in texts])
+    assert tokens.columns == ["id", "tokens"]
+    assert [r["tokens"] for r in tokens.orderBy("id").collect()] == [[97, 98, 99], [195, 169], [32], []]
+    long = spark.createDataFrame([("x" * 900,)], "text string")
+    assert len(tokenize_batches(long, lambda texts: [t.encode() for t in texts], max_len=10).first()["tokens"]) == 256
