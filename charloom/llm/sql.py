@@ -32,11 +32,49 @@ o AS (
     sum(k.size) OVER (PARTITION BY k.source ORDER BY k.draw RANGE UNBOUNDED PRECEDING) AS upto,
     sum(k.size) OVER (PARTITION BY k.source, k.draw) AS own
   FROM k JOIN p ON k.source IS NOT DISTINCT FROM p.source)
-SELECT doc_id, size, source_size::BIGINT AS source_size, round(target, 4) AS target,
+SELECT doc_id, size, source_size::BIGINT AS source_size, target,
   (passes * size + CASE WHEN upto - own < rest AND upto - own / 2.0 <= rest THEN size ELSE 0 END)::BIGINT AS taken
 FROM o
 """
 
+LINES = """
+WITH l AS (
+  SELECT doc_id, text, u.line, u.i FROM documents,
+    (SELECT unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i) u),
+f AS (
+  SELECT doc_id, i, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line,
+    row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n
+  FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+c AS (
+  SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+    sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) OVER (PARTITION BY doc_id ORDER BY n) AS upto
+  FROM f),
+fw AS (
+  SELECT a.doc_id, a.n AS s, min(b.n) AS e FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.n BETWEEN a.n AND a.n + 49
+    AND b.upto - a.upto + a.words >= 50 GROUP BY ALL),
+bw AS (
+  SELECT a.doc_id, max(b.n) AS s, a.n AS e FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.n BETWEEN a.n - 49 AND a.n
+    AND a.upto - b.upto + b.words >= 50 GROUP BY a.doc_id, a.n),
+w AS (SELECT * FROM fw UNION SELECT * FROM bw),
+t AS (
+  SELECT w.doc_id, w.s, w.e, string_agg(c.line, chr(10) ORDER BY c.n) AS run
+  FROM w JOIN c ON c.doc_id = w.doc_id AND c.n BETWEEN w.s AND w.e GROUP BY ALL),
+g AS (
+  SELECT *, first_value(doc_id) OVER o AS doc0, first_value(e) OVER o AS e0, row_number() OVER o AS k
+  FROM t WINDOW o AS (PARTITION BY run ORDER BY doc_id, s)),
+gone AS (
+  SELECT DISTINCT c.doc_id, c.n FROM g JOIN c ON c.doc_id = g.doc_id AND c.n BETWEEN g.s AND g.e
+    AND (g.doc_id <> g.doc0 OR c.n > g.e0) WHERE g.k > 1),
+o AS (
+  SELECT l.doc_id, count(f.n) AS n_lines, count(gone.n) AS n_removed,
+    string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE gone.n IS NULL) AS kept
+  FROM l LEFT JOIN f ON f.doc_id = l.doc_id AND f.i = l.i LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.n = f.n
+  GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  CASE WHEN n_removed > 0 THEN coalesce(kept, '') ELSE d.text END AS text
+FROM documents d LEFT JOIN o ON o.doc_id = d.doc_id
+"""
+
 
 def all_sql() -> dict[str, str]:
-    return {"op3_mix_sources": MIX}
+    return {"op3_mix_sources": MIX, "op4_line_dedup": LINES}
