@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from charloom.llm import line_dedup, mixing
+from charloom.llm import line_dedup, mixing, packing, warc
 from charloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +45,16 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_removed").cast("long").alias("n_removed"),
         "text",
     )
+
+
+@query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, with_ids=False)
+
+
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(table(spark, sf_dir, "pages"))
+    found = warc.read_records(warc.read_index(archives), with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")

@@ -21,8 +21,8 @@ r AS (
     sum(w) OVER (ORDER BY lim / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS w_left,
     (SELECT sum(source_size) FROM s) AS total
   FROM s WINDOW before AS (ORDER BY lim / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-share AS (SELECT min((total - full_before) / w_left) FILTER (WHERE (total - full_before) / w_left * w <= lim) AS x
-  FROM r),
+share AS (SELECT coalesce(arg_min((total - full_before) / w_left, lim / w)
+    FILTER (WHERE (total - full_before) / w_left * w <= lim), 0) AS x FROM r),
 t AS (
   SELECT s.source, source_size, least(w * x, lim) AS target FROM s, share),
 p AS (
@@ -75,6 +75,16 @@ SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)
 FROM documents d LEFT JOIN o ON o.doc_id = d.doc_id
 """
 
+WARC = """
+WITH p AS (
+  SELECT page_id, url, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+r AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS top FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < top THEN top END AS refers_to, url
+FROM r
+"""
+
 
 def all_sql() -> dict[str, str]:
-    return {"op3_mix_sources": MIX, "op4_line_dedup": LINES}
+    return {"op1_warc": WARC, "op3_mix_sources": MIX, "op4_line_dedup": LINES}
