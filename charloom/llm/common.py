@@ -91,3 +91,28 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     star = current.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component"))
     roots = current.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return star.unionByName(roots)
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, per_class: int, *, key: str, text: str, held_out: int = 5
+) -> DataFrame:
+    """Texts and labels to learn from: ``(text, label, share)``, at most about ``per_class`` keys a class.
+
+    Only keys whose ``crc32`` as text modulo ``held_out`` is not 0 count. Keys come in by a hash of their own,
+    so the choice does not depend on the layout; ``share`` is the part of the class that was kept, for weights.
+    Keys with no label or with two different ones teach nothing. The bounded list of keys is what is broadcast.
+    """
+    known = (
+        labels.where(fold(F.col(key), held_out) != 0)
+        .groupBy(F.col(key).alias("_key"))
+        .agg(F.min(label).alias("_label"), F.max(label).alias("_most"))
+        .where((F.col("_label") == F.col("_most")) & F.col("_label").isin(0, 1))
+        .select("_key", F.col("_label").cast("int").alias("_label"))
+    )
+    share = {r[0]: min(1.0, per_class / r[1]) for r in known.groupBy("_label").count().collect()}
+    part = F.when(F.col("_label") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0))
+    drawn = F.pmod(F.xxhash64(F.col("_key"), F.lit("sample")), F.lit(1 << 20)) < part * (1 << 20)
+    keys = known.withColumn("_share", part).where(drawn)
+    return docs.join(F.broadcast(keys), docs[key] == keys["_key"]).select(
+        F.col(text).alias("text"), F.col("_label").alias("label"), F.col("_share").alias("share")
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from charloom.llm import line_dedup, mixing, packing, warc
+from charloom.llm import line_dedup, mixing, packing, quality, toxicity, warc
 from charloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,20 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = warc.write_archives(table(spark, sf_dir, "pages"))
     found = warc.read_records(warc.read_index(archives), with_payload=False)
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+@query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score_toxicity(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id",
+        F.col("_held_out").alias("held_out"),
+        F.col("_score").alias("score"),
+        F.col("_predicted").alias("predicted"),
+        F.col("_spans").alias("spans"),
+    )
