@@ -134,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str, text: str, label: str
 
     made = sample.mapInPandas(vectors, "index binary, value binary, label int, share double")
     # The sample is bounded, so one task may have it whole.
-    got = made.groupBy(F.lit(0)).applyInPandas(learn, "index long, weight double").collect()
+    got = made.groupBy().applyInPandas(learn, "index long, weight double").collect()
     weights = np.zeros(1 << bits, np.float32)
     for r in got:
         weights[r[0]] = r[1]

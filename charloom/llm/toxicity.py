@@ -314,7 +314,7 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str, text: str, label: str
         return pd.DataFrame({"model": [pickle.dumps(train_chain(part["text"].tolist(), toxic, 1 / part["share"].to_numpy()))]})
 
     # The sample is bounded, so one task may have it whole.
-    got = sample.groupBy(F.lit(0)).applyInPandas(learn, "model binary").collect()
+    got = sample.groupBy().applyInPandas(learn, "model binary").collect()
     return pickle.loads(got[0][0]) if got else Model()
 
 
