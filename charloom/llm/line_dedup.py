@@ -10,7 +10,7 @@ from charloom.session import stage
 
 
 def _trimmed(line: Column) -> Column:
-    return F.regexp_replace(line, "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$", "")
+    return F.btrim(line, F.lit(" \t\n\x0b\f\r"))
 
 
 def _windows(min_words: int) -> Column:
@@ -119,14 +119,16 @@ def line_dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_
     joined = docs.withColumn("_digest", digest).join(
         drops, F.col(key).eqNullSafe(drops["_k"]) & (F.col("_digest") == drops["_t"]), "left"
     )
-    pieces = F.split(F.col(text), "\n")
+    # Columns of their own, so that no lambda below splits the text again for each line.
+    joined = joined.withColumn("_pieces", F.split(F.col(text), "\n"))
     # Runs count non-blank lines; blank ones stay, so the numbers are carried over to all lines.
-    filled = F.filter(F.transform(pieces, lambda x, i: F.when(_trimmed(x) != "", i + 1)), lambda i: i.isNotNull())
-    dropped = F.transform("_gone", lambda n: F.element_at(filled, n))
-    left = F.array_except(F.sequence(F.lit(1), F.size(pieces)), dropped)
-    kept = F.array_join(F.transform(left, lambda i: F.element_at(pieces, i)), "\n")
+    full = F.transform("_pieces", lambda x, i: F.when(_trimmed(x) != "", i + 1))
+    joined = joined.withColumn("_filled", F.filter(full, lambda i: i.isNotNull()))
+    dropped = F.transform("_gone", lambda n: F.element_at("_filled", n))
+    left = F.array_except(F.sequence(F.lit(1), F.size("_pieces")), dropped)
+    kept = F.array_join(F.transform(left, lambda i: F.element_at("_pieces", i)), "\n")
     changed = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept)
-    count = F.when(F.col(text).isNull(), 0).otherwise(F.size(filled))
+    count = F.when(F.col(text).isNull(), 0).otherwise(F.size("_filled"))
     return joined.select(
         *[changed.alias(c) if c == text else F.col(c) for c in docs.columns],
         count.alias("_lines"),
