@@ -17,7 +17,7 @@ from charloom.llm.common import fold, labelled_sample
 
 BITS = 18
 #: Labelled documents per class that are learnt from.
-SAMPLE_PER_CLASS = 3_000
+SAMPLE_PER_CLASS = 2_000
 #: Characters of text that are tagged at a time, and words a worker remembers.
 CHUNK_CHARS, CACHE_WORDS = 2_000_000, 400_000
 #: A word or word start marks toxic documents if it is in so many of them, and that much more often than elsewhere.
@@ -121,13 +121,13 @@ class Chain:
 
 
 class Model:
-    """Weights of the field, and the two numbers that turn marginals into a document's probability."""
+    """Weights of the field, and the numbers that turn marginals into a document's probability."""
 
     def __init__(self, bits: int = BITS):
         self.bits = bits
         self.own, self.left, self.right = (np.zeros(1 << bits) for _ in range(3))
         self.bias, self.trans, self.start = -4.0, np.zeros((2, 2)), np.zeros(2)
-        self.doc = np.zeros(3)
+        self.doc = np.zeros(4)
         self.prior = 0.5
 
 
@@ -188,7 +188,7 @@ def mark_tokens(texts: list[list[str]], toxic: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def train_chain(texts: list[str], toxic: np.ndarray, weight: np.ndarray, rounds: int = 30, bits: int = BITS) -> Model:
+def train_chain(texts: list[str], toxic: np.ndarray, weight: np.ndarray, rounds: int = 25, bits: int = BITS) -> Model:
     """Maximum likelihood by AdaGrad over all tokens of the sample, then the document's logistic."""
     model, words = Model(bits), Vocabulary(bits)
     total = weight.sum()
@@ -197,7 +197,7 @@ def train_chain(texts: list[str], toxic: np.ndarray, weight: np.ndarray, rounds:
     marks = mark_tokens(tokens, toxic)
     filled = [i for i, t in enumerate(tokens) if t]
     if not filled or toxic.all() or not toxic.any():
-        model.doc = np.array([0.0, 0.0, np.log((model.prior + 1e-6) / (1 - model.prior + 1e-6))])
+        model.doc = np.array([0.0, 0.0, 0.0, np.log((model.prior + 1e-6) / (1 - model.prior + 1e-6))])
         return model
     codes = np.concatenate([words(tokens[i]) for i in filled])
     y = np.concatenate([marks[i] for i in filled]).astype(float)
@@ -228,13 +228,12 @@ def train_chain(texts: list[str], toxic: np.ndarray, weight: np.ndarray, rounds:
         at = d[first].sum()
         step("start", np.array([-at, at]), 0.2)
     p = Chain(_emission(model, table, codes, first), first, model.trans, model.start).marginals()
-    x = np.zeros((len(texts), 3))
-    x[:, 0], x[:, 2] = LOWEST, 1
+    x = np.tile(NO_TOKEN, (len(texts), 1))
     x[filled] = doc_features(p, np.cumsum(sizes) - sizes)
     w = weight / total
     for _ in range(2000):
         q = 1 / (1 + np.exp(-np.clip(x @ model.doc, -35, 35)))
-        hess = (x * (w * (q * (1 - q) + 1e-4))[:, None]).T @ x + 1e-5 * np.eye(3)
+        hess = (x * (w * (q * (1 - q) + 1e-4))[:, None]).T @ x + 1e-5 * np.eye(4)
         move = np.linalg.solve(hess, x.T @ (w * (q - toxic)) + 1e-5 * model.doc)
         model.doc = model.doc - move
         if np.abs(move).max() < 1e-7:
@@ -243,13 +242,17 @@ def train_chain(texts: list[str], toxic: np.ndarray, weight: np.ndarray, rounds:
 
 
 LOWEST = -12.0
+#: Features of a text without a token.
+NO_TOKEN = np.array([LOWEST, 0.0, np.log(1e-5), 1.0])
 
 
 def doc_features(p: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Per text: logit of its likeliest token, logarithm of the expected number of toxic tokens, constant."""
+    """Per text: logit of its likeliest token, expected toxic tokens and their density as logarithms, constant."""
     top = np.clip(np.maximum.reduceat(p, starts), 1e-12, 1 - 1e-12)
     logit = np.clip(np.log(top / (1 - top)), LOWEST, -LOWEST)
-    return np.stack([logit, np.log1p(np.add.reduceat(p, starts)), np.ones(len(starts))], 1)
+    expected = np.add.reduceat(p, starts)
+    sizes = np.diff(np.append(starts, len(p)))
+    return np.stack([logit, np.log1p(expected), np.log(expected / sizes + 1e-5), np.ones(len(starts))], 1)
 
 
 class Tagger:
@@ -276,8 +279,7 @@ class Tagger:
         if len(self.words.code) > CACHE_WORDS:
             self._forget()
         found = [TOKEN.findall(t) if t else [] for t in texts]
-        x = np.zeros((len(texts), 3))
-        x[:, 0], x[:, 2] = LOWEST, 1
+        x = np.tile(NO_TOKEN, (len(texts), 1))
         spans: list[list[tuple]] = [[] for _ in texts]
         filled = [i for i, t in enumerate(found) if t]
         if filled:
@@ -332,7 +334,7 @@ def score_toxicity(
 
     Adds ``_held_out``, ``_score``, ``_predicted`` and ``_spans`` (``start``, ``end`` in characters, ``p``). Tokens are
     runs of letters and digits. The field tags each token with the marginal of its forward and backward
-    messages over the whole text; the likeliest token and the expected number of toxic ones make the score. Token
+    messages over the whole text; the likeliest token, the expected number of toxic ones and their density make the score. Token
     labels are derived from document labels (``mark_tokens``), learnt from keys that are not held out (``fold``; NULL
     keys are held out), at most about ``per_class`` documents a class, weighted back to the class sizes.
 
