@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from charloom.llm import line_dedup, minhash, mixing, packing, quality, toxicity, warc
+from charloom.llm import line_dedup, minhash, mixing, packing, ppm, quality, toxicity, warc
 from charloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +81,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs, words=2).drop("_text")
+
+
+@query
+def op9_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
