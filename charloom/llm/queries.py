@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from charloom.llm import line_dedup, minhash, mixing, packing, ppm, quality, toxicity, warc
+from charloom.llm import hnsw, line_dedup, minhash, mixing, packing, ppm, quality, toxicity, warc
 from charloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,8 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op5_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"))
