@@ -31,6 +31,21 @@ def lower_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def shield(df: DataFrame, inner: set[str], added: set[str]) -> tuple[DataFrame, dict[str, str]]:
+    """Make room for the columns of an operator in a table that passes through it.
+
+    Input columns named like one that the operator adds are dropped, as its own replaces them; those named like one
+    that it uses inside are renamed, and the returned names bring them back (``unshield``).
+    """
+    df = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in added])
+    moved = {f"__in{i}": c for i, c in enumerate(df.columns) if c.lower() in inner}
+    return df.withColumnsRenamed({c: n for n, c in moved.items()}), moved
+
+
+def unshield(df: DataFrame, moved: dict[str, str]) -> DataFrame:
+    return df.withColumnsRenamed(moved) if moved else df
+
+
 def block_pairs(df: DataFrame, group: list[str], key: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Deal the rows of each group into pairs of blocks, so that no task meets a whole hot group.
 
@@ -113,6 +128,7 @@ def labelled_sample(
     part = F.when(F.col("_label") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0))
     drawn = F.pmod(F.xxhash64(F.col("_key"), F.lit("sample")), F.lit(1 << 20)) < part * (1 << 20)
     keys = known.withColumn("_share", part).where(drawn)
-    return docs.join(F.broadcast(keys), docs[key] == keys["_key"]).select(
-        F.col(text).alias("text"), F.col("_label").alias("label"), F.col("_share").alias("share")
+    texts = docs.select(F.col(key).alias("_of"), F.col(text).alias("text"))
+    return texts.join(F.broadcast(keys), F.col("_of") == F.col("_key")).select(
+        "text", F.col("_label").alias("label"), F.col("_share").alias("share")
     )

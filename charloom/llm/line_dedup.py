@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from charloom.llm.common import WORD
+from charloom.llm.common import WORD, shield, unshield
 from charloom.session import stage
 
 
@@ -65,6 +65,7 @@ def line_dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_
     they are with 0 lines. Rows that repeat both key and text count as one place and are treated alike; rows that
     repeat the key alone are ordered by a hash of the text. Other columns pass through.
     """
+    docs, moved = shield(docs, {"_digest", "_k", "_t", "_gone", "_pieces", "_filled"}, {"_lines", "_removed"})
     lines = F.filter(F.transform(F.split(F.col(text), "\n"), _trimmed), lambda x: x != "")
     digest = F.xxhash64(F.col(text))
     cut = (
@@ -129,8 +130,9 @@ def line_dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_
     kept = F.array_join(F.transform(left, lambda i: F.element_at("_pieces", i)), "\n")
     changed = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept)
     count = F.when(F.col(text).isNull(), 0).otherwise(F.size("_filled"))
-    return joined.select(
+    out = joined.select(
         *[changed.alias(c) if c == text else F.col(c) for c in docs.columns],
         count.alias("_lines"),
         F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("_removed"),
     )
+    return unshield(out, moved)

@@ -21,8 +21,8 @@ HASHES = BANDS * ROWS
 BATCH = 36
 #: A pair is pruned when the posterior that it reaches the threshold falls below this.
 MISS = 1e-3
-#: Members of a bucket that may meet in a plain join; larger buckets meet block by block.
-SMALL_BUCKET = 32
+#: Candidates that each member of an open bucket proposes in the rounds before the last; the last round has no limit.
+BEST_ROUNDS = (2, 2)
 #: Shingle hashes that are processed at a time.
 CHUNK = 1 << 16
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -47,10 +47,14 @@ def _constants() -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """MinHash signatures (rows x ``HASHES``) of non-empty sets laid end to end."""
+    """MinHash signatures (rows x ``HASHES``) of non-empty sets laid end to end.
+
+    The low 16 bits of each minimum are kept: different minima look equal once in 65,536, far below what the
+    decisions depend on, and a signature has half the size.
+    """
     mask, odd = _constants()
     v = (values.view(np.uint64) >> np.uint64(32)).astype(np.uint32)
-    out = np.full((len(starts), HASHES), 0xFFFFFFFF, np.uint32)
+    out = np.zeros((len(starts), HASHES), np.uint16)
     ends = np.append(starts[1:], len(v))
     row = 0
     while row < len(starts):
@@ -64,13 +68,13 @@ def signatures(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
             np.right_shift(x, 15, out=y)
             np.bitwise_xor(x, y, out=x)
             np.multiply(x, np.uint32(0x9E3779B1), out=x)
-            out[row : last + 1, k] = np.minimum.reduceat(x, at)
+            out[row : last + 1, k] = np.minimum.reduceat(x, at).astype(np.uint16)
         row = last + 1
     return out
 
 
 def sketch(sets: DataFrame) -> DataFrame:
-    """``(_key, _text, set)`` to ``(_key, _text, n_shingles, node, bands, signature)``; NULL sets have no node.
+    """``(_key, _text, set)`` to ``(_key, _text, n_shingles, node, signature)``; NULL sets have no node.
 
     ``node`` is a digest of the whole set: texts with equal sets are one node. A batch of sets is one flat
     array, so nothing is done per word in Python.
@@ -85,20 +89,15 @@ def sketch(sets: DataFrame) -> DataFrame:
             sizes = np.where(column.is_null().to_numpy(zero_copy_only=False), 0, np.diff(at))
             full = np.flatnonzero(sizes)
             n = batch.num_rows
-            node, bands, sig = [None] * n, [None] * n, [None] * n
+            node, sig = [None] * n, [None] * n
             if len(full):
                 s = sizes[full]
                 flat = np.concatenate([values[at[i] : at[i] + k] for i, k in zip(full, s, strict=True)])
                 starts = np.cumsum(s) - s
                 made = signatures(flat, starts)
-                mixed = np.zeros((len(full), BANDS), np.uint64)
-                for r in range(ROWS):
-                    mixed = (mixed ^ made[:, r::ROWS].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-                    mixed ^= mixed >> np.uint64(29)
                 for j, i in enumerate(full):
                     own = np.sort(flat[starts[j] : starts[j] + s[j]])
                     node[i] = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-                    bands[i] = mixed[j].view(np.int64)
                     sig[i] = made[j].tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
@@ -106,13 +105,12 @@ def sketch(sets: DataFrame) -> DataFrame:
                     batch.column("_text"),
                     pa.array(sizes, pa.int64()),
                     pa.array(node, pa.binary()),
-                    pa.array(bands, pa.list_(pa.int64())),
                     pa.array(sig, pa.binary()),
                 ],
-                names=["_key", "_text", "n_shingles", "node", "bands", "signature"],
+                names=["_key", "_text", "n_shingles", "node", "signature"],
             )
 
-    kinds = f"_key {key}, _text long, n_shingles long, node binary, bands array<long>, signature binary"
+    kinds = f"_key {key}, _text long, n_shingles long, node binary, signature binary"
     return sets.mapInArrow(run, kinds)
 
 
@@ -133,22 +131,21 @@ def fewest_matches(threshold: float, miss: float = MISS) -> list[tuple[int, int]
     return out
 
 
-def similar(left: np.ndarray, right: np.ndarray, limits: list[tuple[int, int]]) -> np.ndarray:
-    """Which rows of two signature arrays survive: batches are compared until a bound prunes a pair."""
-    alive, equal, seen = np.arange(len(left)), np.zeros(len(left), np.int64), 0
+def similar(left: np.ndarray, right: np.ndarray, limits: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of two signature arrays that survive, and their equal hashes: batches go on until a bound prunes."""
+    alive, equal, seen = np.arange(len(right)), np.zeros(len(right), np.int64), 0
     for n, m in limits:
         if not len(alive):
             break
-        equal[alive] += (left[alive, seen:n] == right[alive, seen:n]).sum(1)
+        one = left[:, seen:n] if len(left) == 1 else left[alive, seen:n]
+        equal[alive] += (one == right[alive, seen:n]).sum(1)
         alive = alive[equal[alive] >= m]
         seen = n
-    kept = np.zeros(len(left), bool)
-    kept[alive] = True
-    return kept
+    return alive, equal[alive]
 
 
-def _unpack(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint32).reshape(-1, HASHES)
+def _unpack(column: pd.Series | list) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint16).reshape(-1, HASHES)
 
 
 def _surviving(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
@@ -157,20 +154,18 @@ def _surviving(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataF
 
     @F.pandas_udf("boolean")
     def survives(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series(similar(_unpack(x), _unpack(y), limits)) if len(x) else pd.Series([], dtype=bool)
+        kept = np.zeros(len(x), bool)
+        if len(x):
+            kept[similar(_unpack(x), _unpack(y), limits)[0]] = True
+        return pd.Series(kept)
 
     left = sketches.select(F.col("node").alias("a"), F.col("signature").alias("_x"))
     right = sketches.select(F.col("node").alias("b"), F.col("signature").alias("_y"))
     return pairs.join(left, "a").join(right, "b").where(survives("_x", "_y")).select("a", "b")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, words: int, threshold: float) -> DataFrame:
-    """Pairs whose full sets reach the threshold; only texts that are in a pair are read again."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = sketches.join(ends, "node").select("_key", "_text", "node")
-    same = texts["_key"].eqNullSafe(wanted["_key"]) & (texts["_text"] == wanted["_text"])
-    found = texts.join(wanted, same).select("node", "text")
-    sets = stage(with_shingles(found, "text", words).dropDuplicates(["node"]), "sets")
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs whose full sets reach the threshold, counted inside the JVM."""
     left = sets.select(F.col("node").alias("a"), F.col("set").alias("_x"))
     right = sets.select(F.col("node").alias("b"), F.col("set").alias("_y"))
     both = pairs.join(left, "a").join(right, "b")
@@ -180,6 +175,78 @@ def _verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, words: in
     return both.where(shared * 100 >= union * percent).select("a", "b")
 
 
+def _open_rows(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """Rows ``(band, h, node, part)`` of the buckets whose members are not yet all in one component."""
+    groups = components(linked).select(F.col("id").alias("node"), "component")
+    # In a bucket of two the centre has met the other one.
+    labelled = members.where("n > 2").join(groups, "node", "left")
+    labelled = labelled.select("band", "h", "node", F.coalesce("component", "node").alias("part"))
+    mixed = (
+        labelled.groupBy("band", "h")
+        .agg(F.min("part").alias("_low"), F.max("part").alias("_high"))
+        .where("_low <> _high")
+        .select("band", "h")
+    )
+    return stage(labelled.join(mixed, ["band", "h"]), "open")
+
+
+def _candidates(rest: DataFrame, sketches: DataFrame, threshold: float, best: int | None) -> DataFrame:
+    """Pairs of members of a bucket in different components that survive their signatures.
+
+    Block meets block, so no task has a whole large bucket; signatures are compared in arrays, and with ``best`` each
+    member of a block names only its most similar ones. The rows of a partition come sorted by bucket.
+    """
+    limits = fewest_matches(threshold)
+    key = ["band", "h", "_a", "_b"]
+    dealt = block_pairs(rest, ["band", "h"], "node").join(sketches.select("node", "signature"), "node")
+    dealt = dealt.select(*key, (F.col("_mine") == F.col("_b")).alias("_right"), "node", "part", "signature")
+
+    def meet(t: pa.Table) -> list[tuple[bytes, bytes]]:
+        nodes, parts = t.column("node").to_pylist(), t.column("part").to_pylist()
+        x, right = _unpack(t.column("signature").to_pylist()), t.column("_right").to_numpy()
+        same = t.column("_a")[0].as_py() == t.column("_b")[0].as_py()
+        code = {p: i for i, p in enumerate(dict.fromkeys(parts))}
+        part = np.array([code[p] for p in parts])
+        found = []
+        for i in range(len(nodes)):
+            other = part != part[i]
+            ask = np.flatnonzero(other if same else other & (right != right[i]))
+            if best is None:
+                ask = ask[ask > i]
+            alive, equal = similar(x[i : i + 1], x[ask], limits)
+            if best is not None and len(alive) > best:
+                alive = alive[np.argsort(-equal, kind="stable")[:best]]
+            found += [(min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for j in ask[alive]]
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in map(meet, _runs(batches, key)):
+            if found:
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+    sorted_rows = dealt.repartition(*key).sortWithinPartitions(*key)
+    return sorted_rows.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def _runs(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
+    """The rows of each key, of batches that are sorted by it; a run may go on in the next batch."""
+    kept: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t = pa.Table.from_batches([batch])
+        t = (pa.concat_tables([kept, t]) if kept is not None else t).combine_chunks()
+        columns = [t.column(k).to_numpy() for k in key]
+        new = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+        at = [0, *(np.flatnonzero(new) + 1)]
+        for a, b in zip(at, at[1:], strict=False):
+            yield t.slice(a, b - a)
+        kept = t.slice(at[-1])
+    if kept is not None:
+        yield kept
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -195,10 +262,10 @@ def near_duplicates(
     1. *Sets.* Whole texts become sets of hashed shingles inside the JVM; Arrow batches turn them into signatures.
        Texts with equal sets are one node from here on, so thousands of copies cost one.
     2. *Bands.* Nodes that share a band are candidates. First each node meets one centre of its bucket, a
-       minimum with map-side combine. Then only members of a bucket that are not yet in one component meet:
-       in small buckets by a join, in large ones block against block, where signatures are compared in arrays
-       and only surviving pairs leave the task. So a bucket with very many similar texts gives about one pair a
-       member, and still no two of its members stay both unlinked and unchecked.
+       minimum with map-side combine. Then only members of a bucket that are not yet in one component meet, block
+       against block. In two rounds each proposes just its most similar ones, which joins nearly all of a
+       bucket of very many similar texts; the last round has no limit, so no two members of a bucket stay both
+       unlinked and unchecked, and yet few pairs of a large group ever leave a task.
     3. *Bayes.* Signatures are compared in batches, and a pair is dropped when the posterior that it reaches the
        threshold is below ``MISS``.
     4. *Exact.* Survivors are confirmed on their full sets.
@@ -219,32 +286,30 @@ def near_duplicates(
         .dropDuplicates(["node"]),
         "nodes",
     )
-    banded = sketches.select("node", F.posexplode("bands").alias("band", "h"))
+    width = 2 * ROWS
+    bands = F.array(*[F.xxhash64(F.substring("signature", 1 + i * width, width)) for i in range(BANDS)])
+    banded = sketches.select("node", F.posexplode(bands).alias("band", "h"))
     buckets = banded.groupBy("band", "h").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
     buckets = buckets.where("n > 1")
     members = stage(banded.join(buckets, ["band", "h"]), "buckets")
 
-    star = members.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    tried = stage(_surviving(star, sketches, threshold), "star")
-    linked = stage(_verified(tried, texts, sketches, words, threshold), "links")
-
+    # Only nodes that share a bucket are ever compared: their texts are read again, once, for their full sets.
+    wanted = sketches.join(members.select("node").distinct(), "node").select("_key", "_text", "node")
+    same = texts["_key"].eqNullSafe(wanted["_key"]) & (texts["_text"] == wanted["_text"])
+    shared = texts.join(wanted, same).select("node", "text")
+    sets = stage(with_shingles(shared, "text", words).dropDuplicates(["node"]), "sets")
+
+    tried = members.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    tried = stage(_surviving(tried, sketches, threshold), "tried")
+    linked = stage(_verified(tried, sets, threshold), "linked")
+    for best in (*BEST_ROUNDS, None):
+        rest = _open_rows(members, linked)
+        if rest.isEmpty():
+            break
+        more = stage(_candidates(rest, sketches, threshold, best).join(tried, ["a", "b"], "left_anti"), "tried")
+        linked = linked.unionByName(stage(_verified(more, sets, threshold), "linked"))
+        tried = tried.unionByName(more)
     groups = components(linked).select(F.col("id").alias("node"), "component")
-    part = F.coalesce("component", "node").alias("part")
-    labelled = members.where("n > 2").join(groups, "node", "left").select("band", "h", "node", "centre", "n", part)
-    open_buckets = (
-        labelled.where("node <> centre")
-        .groupBy("band", "h")
-        .agg(F.min("part").alias("_low"), F.max("part").alias("_high"))
-        .where("_low <> _high")
-        .select("band", "h")
-    )
-    rest = stage(labelled.where("node <> centre").join(open_buckets, ["band", "h"]), "open")
-    more = _small_pairs(rest.where(F.col("n") <= SMALL_BUCKET)).unionByName(
-        _large_pairs(rest.where(F.col("n") > SMALL_BUCKET), sketches, threshold)
-    )
-    tried = stage(_surviving(more.distinct().join(star, ["a", "b"], "left_anti"), sketches, threshold), "rest")
-    again = _verified(tried, texts, sketches, words, threshold)
-    groups = components(linked.unionByName(again)).select(F.col("id").alias("node"), "component")
 
     lowest = nodes.groupBy("node").agg(F.min("_key").alias("low")).join(groups, "node", "left")
     lowest = lowest.withColumn("component", F.coalesce("component", "node"))
@@ -257,32 +322,3 @@ def near_duplicates(
         .select(F.col("_key").alias(key), "_text", "n_shingles", own.alias("component_id"))
         .withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
     )
-
-
-def _small_pairs(rest: DataFrame) -> DataFrame:
-    """Pairs of members of one small bucket that are in different components."""
-    other = rest.select("band", "h", F.col("node").alias("b"), F.col("part").alias("_part"))
-    met = rest.join(other, ["band", "h"]).where((F.col("node") < F.col("b")) & (F.col("part") != F.col("_part")))
-    return met.select(F.col("node").alias("a"), "b").distinct()
-
-
-def _large_pairs(rest: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
-    """The same for large buckets, block against block; only pairs that survive their signatures come out."""
-    limits = fewest_matches(threshold)
-    dealt = block_pairs(rest.select("band", "h", "node", "part"), ["band", "h"], "node")
-    dealt = dealt.join(sketches.select("node", "signature"), "node")
-
-    def meet(group: pd.DataFrame) -> pd.DataFrame:
-        a, b = group["_a"].iloc[0], group["_b"].iloc[0]
-        left, right = (group[group["_mine"] == x].drop_duplicates("node") for x in (a, b))
-        x, y = _unpack(left["signature"]), _unpack(right["signature"])
-        names, parts = right["node"].to_numpy(), right["part"].to_numpy()
-        found = []
-        for i, (node, part) in enumerate(zip(left["node"], left["part"], strict=True)):
-            ask = np.array([p != part and (n > node or a != b) for n, p in zip(names, parts, strict=True)], bool)
-            at = np.flatnonzero(ask)
-            hit = at[similar(np.broadcast_to(x[i], (len(at), HASHES)), y[at], limits)]
-            found += [(min(node, names[j]), max(node, names[j])) for j in hit]
-        return pd.DataFrame(found, columns=["a", "b"])
-
-    return dealt.groupBy("band", "h", "_a", "_b").applyInPandas(meet, "a binary, b binary").distinct()

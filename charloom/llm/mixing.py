@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from charloom.llm.common import word_count
+from charloom.llm.common import shield, unshield, word_count
 from charloom.operators.positions import with_rank
 from charloom.session import stage
 
@@ -87,6 +87,8 @@ def mix(
     repeat a key share its draw and come in or stay out together. A NULL key draws as the empty text. An
     empty table gives an empty result. Other columns pass through.
     """
+    inner = {"_draw", "_of", "_passes", "_cut_slot", "_last"}
+    docs, moved = shield(docs, inner, {"_size", "_source_size", "_target", "_taken"})
     size = word_count(F.col(text))
     weight = quality if quality is not None else text_quality(F.col(text), size)
     weight = F.coalesce(weight, F.lit(0.25))
@@ -151,8 +153,9 @@ def mix(
     drawn = docs.withColumn("_size", size).withColumn("_draw", draw)
     below = (slot < F.col("_cut_slot")) | ((slot == F.col("_cut_slot")) & (F.col("_draw") <= F.col("_last")))
     extra = F.when(F.coalesce(below, F.lit(False)), F.col("_size")).otherwise(0)
-    return (
+    out = (
         drawn.join(plan, drawn[source].eqNullSafe(plan["_of"]))
         .withColumn("_taken", F.col("_passes") * F.col("_size") + extra)
         .select(*docs.columns, "_size", "_source_size", "_target", "_taken")
     )
+    return unshield(out, moved)

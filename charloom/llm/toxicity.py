@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from charloom.llm.common import fold, labelled_sample
+from charloom.llm.common import fold, labelled_sample, shield, unshield
 
 BITS = 18
 #: Labelled documents per class that are learnt from.
@@ -342,6 +342,7 @@ def score_toxicity(
     labels of one class all scores are the share of toxic labels (0.5 without labels). Rows that repeat are scored alike;
     other columns pass through. An empty table gives an empty result.
     """
+    docs, moved = shield(docs, {"_tag"}, {"_held_out", "_score", "_predicted", "_spans"})
     model = train(docs, labels, key=key, text=text, label=label, per_class=per_class)
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
     kind = "score double, spans array<struct<start: int, end: int, p: double>>"
@@ -363,10 +364,11 @@ def score_toxicity(
             yield pd.DataFrame({"score": np.concatenate(scores) if scores else np.zeros(0), "spans": spans})
 
     tagged = docs.withColumn("_tag", tag(F.col(text)))
-    return tagged.select(
+    out = tagged.select(
         *docs.columns,
         (fold(F.col(key), 5) == 0).alias("_held_out"),
         F.col("_tag.score").alias("_score"),
         (F.col("_tag.score") >= threshold).cast("int").alias("_predicted"),
         F.col("_tag.spans").alias("_spans"),
     )
+    return unshield(out, moved)
