@@ -94,6 +94,11 @@ def byte_tokens(text: Column) -> Column:
     return F.transform(pairs, lambda p: F.conv(p, 16, 10).cast("int") + F.lit(BYTE_TOKEN_OFFSET))
 
 
+def first_byte_tokens(text: Column, max_len: int = 2048, floor: int = 256) -> Column:
+    """``truncate_tokens(byte_tokens(text))`` without making the tokens that would be cut off."""
+    return byte_tokens(F.substring(F.encode(text, "UTF-8"), 1, max(floor, max_len)))
+
+
 def token_byte(token: Column) -> Column:
     """The byte of a token id, NULL for ids that are not byte tokens."""
     byte = token - F.lit(BYTE_TOKEN_OFFSET)

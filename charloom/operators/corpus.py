@@ -71,15 +71,16 @@ def align_pairs(df: DataFrame, pair: str = "pair", lang: str = "lang", pos: str
     Ranks above the shorter side have no partner. The join key is unique per side, so one large pair
     spreads over all partitions.
     """
-    ranked = with_rank(df, [pair, lang], [pos], name="rank")
+    ranked = with_rank(df.select(pair, lang, pos), [pair, lang], [pos], name="rank")
     first, second = F.split(F.col(pair), "-")[0], F.split(F.col(pair), "-")[1]
-    left = ranked.where(F.col(lang) == first).select(
-        pair, "rank", F.col(pos).alias("pos_1"), F.col("text").alias("text_1")
-    )
-    right = ranked.where(F.col(lang) == second).select(
-        pair, "rank", F.col(pos).alias("pos_2"), F.col("text").alias("text_2")
-    )
-    return left.join(right, [pair, "rank"])
+    left = ranked.where(F.col(lang) == first).select(pair, "rank", F.col(pos).alias("pos_1"))
+    right = ranked.where(F.col(lang) == second).select(pair, "rank", F.col(pos).alias("pos_2"))
+    aligned = left.join(right, [pair, "rank"])
+    # Only the lines that have a partner meet their texts.
+    for i, side in (("1", first), ("2", second)):
+        texts = df.where(F.col(lang) == side).select(pair, F.col(pos).alias(f"pos_{i}"), F.col("text").alias(f"text_{i}"))
+        aligned = aligned.join(texts, [pair, f"pos_{i}"])
+    return aligned
 
 
 def split_counts(

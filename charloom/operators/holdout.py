@@ -29,9 +29,9 @@ def head_holdout(df: DataFrame, eval_size: int = EVAL_SIZE, pos: str = "pos") ->
 def shuffle_key(key: Column, seed: int) -> Column:
     """``SHUFFLE_BITS`` bits of the MD5 of ``seed:key``; the order by this value is the seeded shuffle.
 
-    Distinct keys: rows that share a value fall on the same side of a cut.
+    Distinct keys: rows that share a value fall on the same side of a cut. A NULL key counts as empty text.
     """
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 

@@ -1,7 +1,7 @@
 """Language detection by character-trigram profiles (multinomial naive Bayes).
 
-The profile of a language is its most frequent trigrams with integer weights, the log-probability times
-1000. Integer sums do not depend on the order of addition, so a score is the same on any cluster.
+The profile of a language is all of its trigrams with integer weights, the log-probability times 1000. Integer
+sums do not depend on the order of addition, so a score is the same on any cluster.
 """
 
 from __future__ import annotations
@@ -9,25 +9,30 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from charloom.functions.text import strip_ws
-from charloom.operators.ngrams import char_windows, joined, topk_per_row
+from charloom.operators.ngrams import char_windows, joined
+from charloom.session import stage
 
 GRAM = 3
 SCALE = 1000
-PROFILE_GRAMS = 400
+#: Rows of a profile table that may be sent to every executor, about 40 bytes each for four languages.
+SHARED_GRAMS = 1_000_000
 
 
 @dataclass(frozen=True)
 class LanguageProfiles:
-    """``table``: gram and one weight column ``w0, w1, ..`` per language of ``langs``, at most
-    ``PROFILE_GRAMS`` rows per language. A weight is the gain over a gram no language knows, which weighs
-    the same for all, so that a language with little training text is not favoured."""
+    """``table``: gram and one weight column ``w0, w1, ..`` per language of ``langs``, and its number of rows.
+    A weight is the gain over a gram no language knows, which weighs the same for all, so that a language
+    with little training text is not favoured."""
 
     langs: tuple[str, ...]
     table: DataFrame
+    rows: int
 
 
 def _weight(count: Column, size: Column) -> Column:
@@ -35,73 +40,100 @@ def _weight(count: Column, size: Column) -> Column:
 
 
 def train_language_profiles(
-    df: DataFrame, langs: Sequence[str], text: str = "text", lang: str = "lang", grams: int = PROFILE_GRAMS
+    df: DataFrame, langs: Sequence[str], text: str = "text", lang: str = "lang"
 ) -> LanguageProfiles:
-    """Profiles from labelled text.
+    """Profiles from labelled text: one shuffle of aggregated trigrams into a staged table.
 
-    Counting is one shuffle of aggregated trigrams. The profiles, at most ``grams`` rows per language,
-    are collected and become a small local table, so a job that uses them does not train again.
+    Only the sizes reach the driver, a number per language.
     """
     labelled = df.where(F.col(lang).isin(list(langs))).withColumn("lang", F.col(lang))
     runs = char_windows(labelled, GRAM, strip_ws(F.col(text)), ["lang"])
-    counts = (
-        runs.select("lang", joined(0, GRAM).alias("g"))
-        .groupBy("lang", "g")
-        .agg(F.count(F.lit(1)).alias("cnt"))
+    counts = stage(
+        runs.select("lang", joined(0, GRAM).alias("g")).groupBy("lang", "g").agg(F.count(F.lit(1)).alias("cnt")),
+        "grams",
     )
-    sizes = counts.groupBy("lang").agg((F.sum("cnt") + F.count(F.lit(1))).alias("size"))
-    best = topk_per_row(counts, ["lang"], "cnt", [F.col("g")], grams)
-    rows = (
-        best.join(F.broadcast(sizes), "lang")  # one row per language
-        .select(
-            "lang",
-            "g",
-            _weight(F.lit(1), F.col("size")).alias("unseen"),
-            _weight(F.col("cnt") + 1, F.col("size")).alias("weight"),
-        )
-        .collect()
+    sizes = counts.groupBy("lang").agg(
+        (F.sum("cnt") + F.count(F.lit(1))).alias("size"),
+        _weight(F.lit(1), F.sum("cnt") + F.count(F.lit(1))).alias("unseen"),
     )
-    floor = min((r["unseen"] for r in rows), default=0)
-    trained = {r["lang"] for r in rows}
-    known = tuple(x for x in langs if x in trained)
-    gains: dict[str, dict[str, int]] = {}
-    for r in rows:
-        gains.setdefault(r["g"], {})[r["lang"]] = r["weight"] - floor
-    columns = "".join(f", w{i} bigint" for i in range(len(known)))
-    table = df.sparkSession.createDataFrame(
-        [(g, *[by.get(x, 0) for x in known]) for g, by in sorted(gains.items())], f"g string{columns}"
+    found = {r["lang"]: (r["size"], r["unseen"]) for r in sizes.collect()}
+    known = tuple(x for x in langs if x in found)
+    floor = min((found[x][1] for x in known), default=0)
+    gains = [
+        F.coalesce(
+            F.max(F.when(F.col("lang") == x, _weight(F.col("cnt") + 1, F.lit(found[x][0])) - F.lit(floor))), F.lit(0)
+        ).alias(f"w{i}")
+        for i, x in enumerate(known)
+    ]
+    table = stage(counts.groupBy("g").agg(*gains) if gains else counts.select("g"), "profiles")
+    return LanguageProfiles(known, table, table.count())
+
+
+def _codes(text: str) -> np.ndarray:
+    """The trigrams of a text as integers."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    return (c[:-2] << 42) | (c[1:-1] << 21) | c[2:] if len(c) >= GRAM else np.zeros(0, np.int64)
+
+
+def _scored(profiles: LanguageProfiles, text: Column) -> Column:
+    """``(n_grams, detected)`` of a text where it stands; for profiles that may be sent to every executor."""
+    rows = profiles.table.toPandas()  # at most SHARED_GRAMS rows
+    codes = np.array([_codes(g)[0] for g in rows["g"]], dtype=np.int64)
+    order = np.argsort(codes)
+    weights = rows[[f"w{i}" for i in range(len(profiles.langs))]].to_numpy(np.int64)[order]
+    shared = profiles.table.sparkSession.sparkContext.broadcast((codes[order], weights, profiles.langs))
+
+    @F.pandas_udf("n_grams bigint, detected string")
+    def score(texts: pd.Series) -> pd.DataFrame:
+        known, gains, langs = shared.value
+        out = []
+        for t in texts:
+            grams = _codes(t) if t else _codes("")
+            at = np.minimum(np.searchsorted(known, grams), max(0, len(known) - 1))
+            total = gains[at[known[at] == grams]].sum(0) if len(known) and len(grams) else np.zeros(0)
+            best = int(total.argmax()) if len(total) and total.max() > 0 else None
+            out.append((len(grams), None if best is None else langs[best]))
+        return pd.DataFrame(out, columns=["n_grams", "detected"])
+
+    return score(strip_ws(text))
+
+
+def _joined_scores(df: DataFrame, profiles: LanguageProfiles, keys: Sequence[str], text: str) -> DataFrame:
+    """The same by joins, for profiles of any size: ``(keys, n_grams, detected)``."""
+    runs = char_windows(df, GRAM, strip_ws(F.col(text)), keys)
+    grams = runs.select(*keys, joined(0, GRAM).alias("g"))
+    weights = [f"w{i}" for i in range(len(profiles.langs))]
+    folded = (
+        grams.join(profiles.table, "g", "left")
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n_grams"), *[F.coalesce(F.sum(w), F.lit(0)).alias(w) for w in weights])
     )
-    return LanguageProfiles(known, table)
+    best = F.greatest(*weights, F.lit(0)) if weights else F.lit(0)
+    won = [F.when((F.col(w) == best) & (best > 0), F.lit(x)) for w, x in zip(weights, profiles.langs, strict=True)]
+    return folded.select(*keys, "n_grams", F.coalesce(*won, F.lit(None).cast("string")).alias("detected"))
 
 
 def detect_language(
-    df: DataFrame, profiles: LanguageProfiles, key: str, text: str = "text"
+    df: DataFrame, profiles: LanguageProfiles, key: str | Sequence[str], text: str = "text"
 ) -> DataFrame:
-    """``(key, n_grams, detected)`` for the texts that have a trigram.
+    """``(key, n_grams, detected)`` for the texts that have a trigram; ``key`` is one unique column or several.
 
-    Ties go to the first language; a text without a known trigram has none. A text's trigrams meet the
-    broadcast profile where they are and fold to one row per text before the shuffle, so the exploded
-    grams never move.
+    Ties go to the first language; a text without a known trigram has none. Profiles are bounded by the
+    alphabets and not by the corpus; up to ``SHARED_GRAMS`` they go to the executors and a text is scored in
+    its scan task, without an exchange. Larger ones meet the trigrams in a join.
     """
-    runs = char_windows(df, GRAM, strip_ws(F.col(text)), [key])
-    grams = runs.select(key, joined(0, GRAM).alias("g"))
-    weights = [f"w{i}" for i in range(len(profiles.langs))]
-    folded = (
-        grams.join(F.broadcast(profiles.table), "g", "left")
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n_grams"), *[F.coalesce(F.sum(w), F.lit(0)).alias(w) for w in weights])
-    )
-    best = F.array_max(F.array(*weights))
-    won = [
-        F.when((F.col(w) == best) & (best > 0), F.lit(x))
-        for w, x in zip(weights, profiles.langs, strict=True)
-    ]
-    return folded.select(key, "n_grams", F.coalesce(*won).alias("detected"))
+    keys = [key] if isinstance(key, str) else list(key)
+    if profiles.rows > SHARED_GRAMS:
+        return _joined_scores(df, profiles, keys, text)
+    scored = df.select(*keys, _scored(profiles, F.col(text)).alias("_s"))
+    return scored.select(*keys, "_s.n_grams", "_s.detected").where("n_grams > 0")
 
 
 def with_detected_language(
-    df: DataFrame, profiles: LanguageProfiles, key: str, text: str = "text"
+    df: DataFrame, profiles: LanguageProfiles, key: str | Sequence[str], text: str = "text"
 ) -> DataFrame:
-    """Add ``detected``; NULL for texts under three characters. Joins on the unique key."""
-    found = detect_language(df, profiles, key, text).select(key, "detected")
-    return df.join(found, key, "left")
+    """Add ``detected``; NULL for texts under three characters. Only large profiles need the unique key."""
+    if profiles.rows > SHARED_GRAMS:
+        keys = [key] if isinstance(key, str) else list(key)
+        return df.join(_joined_scores(df, profiles, keys, text).drop("n_grams"), keys, "left")
+    return df.withColumn("detected", _scored(profiles, F.col(text))["detected"])

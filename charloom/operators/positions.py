@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from charloom.session import broadcast_if_small, stage
+from charloom.session import stage
 
 FANOUT = 65_536
 MAX_RANKED_KEYS = 1_000_000
@@ -75,7 +75,8 @@ def keys_at_ranks(
         low, high = min(t[2] for t in ts), max(t[3] for t in ts)
         return (
             slim.where(F.col("k").between(low, high))
-            .join(F.broadcast(bounds), "g")
+            .join(F.broadcast(bounds), slim["g"].eqNullSafe(bounds["g"]))
+            .drop(bounds["g"])
             .where(F.col("k").between(F.col("lo"), F.col("hi")))
         )
 
@@ -172,6 +173,11 @@ def head_of_groups(
         bound *= growth
 
 
+def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    """Equality of the named columns, where NULL is a value like any other."""
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in names])
+
+
 def with_rank(
     df: DataFrame,
     by: list[str],
@@ -183,7 +189,8 @@ def with_rank(
 
     The rows are range-partitioned by ``(by, keys)``, sorted and staged with their partition number
     and their place in it, so both are stored data and not evaluated twice. A large group spreads over
-    many partitions; the rank is the place plus the group's rows in earlier partitions.
+    many partitions; the rank is the place plus the group's rows in earlier partitions. Hand in keys alone and
+    join wide rows to their rank, so that no text is staged. A NULL group is a group.
     """
     order = [*by, *keys]
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
@@ -203,7 +210,7 @@ def with_rank(
     before = F.sum("_n").over(earlier) - F.col("_n")
     offsets = runs.select(*by, "_part", "_first", before.alias("_before"))
     return (
-        placed.join(broadcast_if_small(offsets), [*by, "_part"])
+        placed.join(offsets, _same(placed, offsets, [*by, "_part"])).drop(*[offsets[c] for c in [*by, "_part"]])
         .withColumn(name, F.col("_before") + F.col("_place") - F.col("_first"))
         .drop("_part", "_place", "_first", "_before")
     )

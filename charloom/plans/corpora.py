@@ -161,6 +161,7 @@ def job_detected_splits(
     if merged is None:
         return None
     lines = _with_text(merged, strip_ws)
-    detected = with_detected_language(lines, profiles, key)
+    # Positions restart in each corpus, so the corpus is part of the key.
+    detected = with_detected_language(lines, profiles, ["source_rank", key])
     return detected.withColumn("is_english", is_english(F.col("text"), F.col("detected")))
 

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from charloom.functions.predicates import is_english, min_collapsed_chars
-from charloom.functions.text import collapse_ws
-from charloom.operators.holdout import random_holdout
-from charloom.operators.langid import LanguageProfiles, with_detected_language
+from charloom.functions.predicates import is_english, non_blank
+from charloom.functions.text import collapse_ws, fold_guess
+from charloom.operators.holdout import head_holdout, random_holdout
+from charloom.operators.langid import train_language_profiles, with_detected_language
 from charloom.operators.ngrams import (
     context,
     cross_entropy,
@@ -19,34 +19,38 @@ from charloom.operators.ngrams import (
     last_char,
     ngram_backoff_lookup,
     ngram_topk,
+    nll,
     order_counts,
     perplexity,
     smoothed_score,
     vocabulary_size,
 )
-from charloom.operators.predict import NgramModel, byte_model, predict, route_predict, token_model
+from charloom.operators.predict import NgramModel, byte_model, fill_guesses, predict, route_predict, token_model
 from charloom.operators.scoring import score_join
-from charloom.session import spread, stage
+from charloom.session import stage
 
-MIN_CHARS = 6
 FALLBACK = " .eta"
 
 
-def evaluation_lines(docs: DataFrame, key: str = "doc_id", shortest: int = MIN_CHARS) -> DataFrame:
-    """Collapsed documents long enough to be cut, with their held-out flag.
+def evaluation_lines(docs: DataFrame, key: str = "doc_id", eval_size: int | None = None) -> DataFrame:
+    """All documents with text, collapsed, with their held-out flag.
 
-    The length rule is decided on the raw text in one scan that stages the keys; the hold-out is then
-    counted on the keys alone.
+    Blank ones are dropped in one scan that stages the keys; the hold-out is then counted on the keys alone.
+    With ``eval_size`` the head of the corpus by key is held out instead of a random part.
     """
-    rows = spread(docs.select(key, "lang", "text"), key)
-    rows = rows.where(min_collapsed_chars(F.col("text"), shortest))
-    split = random_holdout(rows, key, keys=stage(rows.select(key), "keys"))
+    rows = docs.select(key, "lang", "text").where(non_blank(F.col("text")))
+    if eval_size is None:
+        split = random_holdout(rows, key, keys=stage(rows.select(key), "keys"))
+    else:
+        head = head_holdout(rows, eval_size, key)
+        split = head.withColumn("split", F.when(F.col("split") == "eval", "test").otherwise("train"))
     return split.withColumn("text", collapse_ws(F.col("text")))
 
 
 def cut_length(key: Column, text: Column) -> Column:
-    """A deterministic prefix length between 5 and the text length less one."""
-    return F.lit(5) + F.pmod(key * F.lit(7919), F.length(text) - F.lit(5)).cast("int")
+    """A deterministic prefix length from 5 characters to all but the last; less for shorter texts, 0 for one."""
+    least = F.greatest(F.least(F.lit(5), F.length(text) - 1), F.lit(0))
+    return least + F.pmod(key * F.lit(7919), F.greatest(F.length(text) - least, F.lit(1))).cast("int")
 
 
 def prompts(lines: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -86,48 +90,61 @@ def heldout_grams(lines: DataFrame, n: int) -> DataFrame:
 
 def dense_success(docs: DataFrame, n: int = 3, key: str = "doc_id") -> DataFrame:
     """The same over every held-out position. Positions are aggregated to grams first, so the look-up
-    joins grams and not text positions."""
+    joins grams and not text positions. Guesses are filled and folded as the scorer does."""
     lines = evaluation_lines(docs, key)
     counts = train_counts(lines.where(F.col("split") == "train"), n)
     held = stage(heldout_grams(lines.where(F.col("split") == "test"), n), "heldout")
     pairs = held.select("lang", "cnt", context(F.col("g")).alias("key"), last_char(F.col("g")).alias("gold"))
     found = ngram_backoff_lookup(pairs, ngram_topk(counts), n)
     scored = pairs.join(found, "key", "left")
-    hit = F.array_contains("guesses", F.col("gold"))
+    ranked = F.coalesce("guesses", F.array().cast("array<string>"))
+    pred, gold = fold_guess(fill_guesses(ranked, FALLBACK)), F.lower("gold")
     return scored.groupBy("lang").agg(
         F.sum("cnt").alias("n"),
-        F.sum(F.when(hit, F.col("cnt")).otherwise(0)).alias("hits"),
-        F.sum(F.when(F.col("guesses")[0] == F.col("gold"), F.col("cnt")).otherwise(0)).alias(
-            "top1_hits"
-        ),
+        F.sum(F.when(F.contains(pred, gold), F.col("cnt")).otherwise(0)).alias("hits"),
+        F.sum(F.when(F.substring(pred, 1, 1) == gold, F.col("cnt")).otherwise(0)).alias("top1_hits"),
     )
 
 
 def job_train_eval(
-    docs: DataFrame, n: int = 3, method: str = "addk", key: str = "doc_id", **params: float
+    docs: DataFrame,
+    n: int = 3,
+    method: str = "addk",
+    key: str = "doc_id",
+    eval_size: int | None = None,
+    loss: Callable[[Column], Column] = nll,
+    **params: float,
 ) -> DataFrame:
-    """Corpus, hold-out, counts, smoothed probabilities, loss and perplexity per language."""
+    """Corpus, hold-out, counts, smoothed probabilities; loss, perplexity and strict accuracy per language.
+
+    Accuracy is the share of held-out positions whose first guess is the very character. ``eval_size`` holds out the
+    head (``holdout.EVAL_SIZE`` lines by default there), ``loss`` replaces the log loss.
+    """
     if method == "backoff":
         raise ValueError("back-off scores are not probabilities and have no perplexity")
-    lines = evaluation_lines(docs, key)
+    lines = evaluation_lines(docs, key, eval_size)
     counts = train_counts(lines.where(F.col("split") == "train"), n)
     held = stage(heldout_grams(lines.where(F.col("split") == "test"), n), "heldout")
     evidence = gram_evidence(held.select("g").distinct(), counts, n)
     p = smoothed_score(F.col("evidence"), vocabulary_size(counts), method, **params)
     scored = held.join(evidence.select("g", p.alias("p")), "g", "left")
-    return perplexity(cross_entropy(scored, ["lang"]))
+    losses = perplexity(cross_entropy(scored, ["lang"], loss))
+    asked = held.select("lang", "cnt", context(F.col("g")).alias("key"), last_char(F.col("g")).alias("gold"))
+    first = asked.join(ngram_backoff_lookup(asked, ngram_topk(counts, 1), n, k=1), "key", "left")
+    right = F.sum(F.when(F.col("guesses")[0] == F.col("gold"), F.col("cnt")).otherwise(0))
+    return losses.join(first.groupBy("lang").agg((right / F.sum("cnt")).alias("accuracy")), "lang")
 
 
-def job_predict_grade(
-    docs: DataFrame, profiles: LanguageProfiles, n: int = 5, key: str = "doc_id"
-) -> DataFrame:
+def job_predict_grade(docs: DataFrame, langs: Sequence[str], n: int = 5, key: str = "doc_id") -> DataFrame:
     """``(pos, lang, is_english, gold, pred, hit)`` for every held-out document.
 
     English prompts, by the detector, take the byte model and the others the token model, each trained on
-    the training lines of its side. Grade the rows with ``success_rate``.
+    the training lines of its side; the detector too learns from training lines alone. Grade the rows with
+    ``success_rate``.
     """
     lines = evaluation_lines(docs, key)
     train = lines.where(F.col("split") == "train")
+    profiles = train_language_profiles(train, langs)
     sides = train_counts(
         train.withColumn("english", F.col("lang") == "en"), n, by=["english"]
     )

@@ -17,7 +17,7 @@ from charloom.functions import text as T
 from charloom.operators import corpus, holdout, langid, ngrams, predict, quotas, scoring
 from charloom.operators.positions import with_rank
 from charloom.plans import corpora, modelling
-from charloom.session import spread, stage, staging_path
+from charloom.session import dealt, stage, staging_path
 from charloom.sinks import lines as sinks
 from charloom.sources import files
 from charloom.streaming import jobs as streams
@@ -50,11 +50,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
-
-
-def spread_docs(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(docs(spark, sf), "doc_id")
+    return dealt(table(spark, sf, "documents").select("doc_id", "lang", "source", "text"))
 
 
 def corpus_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,7 +61,7 @@ def decomposed(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with some accented letters taken apart, so that NFC has work to do."""
     text = F.replace(F.col("text"), F.lit("\u00e9"), F.lit("e\u0301"))
     text = F.replace(text, F.lit("\u00fc"), F.lit("u\u0308"))
-    return spread_docs(spark, sf).withColumn("text", text)
+    return docs(spark, sf).withColumn("text", text)
 
 
 def pair_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -124,8 +120,9 @@ def instruction_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def instruction_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    rows = with_rank(instruction_rows(spark, sf), [], ["conv_id", "turn"])
-    return rows.select("pos", "instruction", "output")
+    rows = instruction_rows(spark, sf)
+    ranks = with_rank(rows.select("conv_id", "turn"), [], ["conv_id", "turn"])
+    return rows.join(ranks, ["conv_id", "turn"]).select("pos", "instruction", "output")
 
 
 def answers(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -140,17 +137,17 @@ def answers(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def document_prompts(spark: SparkSession, sf: str) -> DataFrame:
-    rows = spread(docs(spark, sf).select("doc_id", "lang", "text"), "doc_id")
-    rows = rows.where(P.min_collapsed_chars(F.col("text"), modelling.MIN_CHARS))
-    return modelling.prompts(rows.withColumn("text", T.collapse_ws(F.col("text"))))
+    """A prompt of every document, blank ones too: each input line gets a guess."""
+    rows = docs(spark, sf).select("doc_id", "lang", "text")
+    return modelling.prompts(rows.withColumn("text", T.collapse_ws(F.coalesce("text", F.lit("")))))
 
 
 def model_counts(spark: SparkSession, sf: str, n: int) -> DataFrame:
-    return modelling.train_counts(spread_docs(spark, sf), n)
+    return modelling.train_counts(docs(spark, sf), n)
 
 
 def profiles(spark: SparkSession, sf: str) -> langid.LanguageProfiles:
-    return langid.train_language_profiles(spread_docs(spark, sf), LANGS)
+    return langid.train_language_profiles(docs(spark, sf), LANGS)
 
 
 # --- sources --------------------------------------------------------------------------------------
@@ -184,26 +181,42 @@ def read_jsonl_docs(spark, sf):
     )
 
 
-@query
-def read_conversation_json(spark, sf):
-    path = staging_path(spark, "chat")
+def _write_json(rows: DataFrame, path: str) -> None:
+    """Rows as JSON lines in the order of their first two columns, which are left out."""
+    order = rows.columns[:2]
+    line = F.to_json(F.struct(*rows.columns[2:]), {"ignoreNullFields": "false"})
+    sinks.write_lines(rows.select(*order, line.alias("text")), path, order)
+
+
+def _conversation_items(spark: SparkSession, sf: str, path: str) -> DataFrame:
     turn = F.struct(F.col("role").alias("from"), F.col("text").alias("value"))
     chats = (
         table(spark, sf, "conversations")
-        .groupBy(F.col("conv_id").cast("string").alias("id"))
+        .groupBy("conv_id")
         .agg(F.array_sort(F.collect_list(F.struct("turn", turn.alias("t")))).alias("turns"))
-        .select("id", F.transform("turns", lambda x: x["t"]).alias("conversations"))
+        .select(
+            "conv_id",
+            F.lit(0).alias("_"),
+            F.col("conv_id").cast("string").alias("id"),
+            F.transform("turns", lambda x: x["t"]).alias("conversations"),
+        )
     )
-    chats.write.json(path)
-    return files.read_conversation_json(spark, [path], lines=True).select(
-        "id", T.strip_ws(corpus.flatten_turns(F.col("conversations"))).alias("text")
+    _write_json(chats, path)
+    return files.read_conversation_json(spark, [path], lines=True)
+
+
+@query
+def read_conversation_json(spark, sf):
+    rows = _conversation_items(spark, sf, staging_path(spark, "chat"))
+    return rows.select(
+        "pos", "id", T.strip_ws(corpus.flatten_turns(F.col("conversations"))).alias("text")
     )
 
 
 @query
 def read_instruction_pairs(spark, sf):
     path = staging_path(spark, "pairs")
-    instruction_pairs(spark, sf).write.json(path)
+    _write_json(instruction_rows(spark, sf).select("conv_id", "turn", "instruction", "output"), path)
     return files.read_instruction_pairs(spark, path)
 
 
@@ -211,9 +224,10 @@ def read_instruction_pairs(spark, sf):
 def read_parallel_text(spark, sf):
     folder = staging_path(spark, "sides")
     rows = docs(spark, sf)
-    for side in ("en", "fr"):
+    for side in LANGS:
         sinks.write_lines(rows.where(F.col("lang") == side), f"{folder}/pair.{side}", ["doc_id"])
-    return files.read_parallel_text(spark, folder, "en", "fr").select("pair", "lang", "pos", "text")
+    parts = [files.read_parallel_text(spark, folder, a, b) for a, b in (("en", "fr"), ("es", "de"))]
+    return corpus.union_sources(parts).select("pair", "lang", "pos", "text")
 
 
 @query
@@ -223,7 +237,11 @@ def read_language_configs(spark, sf):
     sources = {x: f"{path}/lang={x}" for x in ["en", "missing", "es", "fr", "de"]}
     rows = files.read_language_configs(spark, sources)
     return rows.groupBy("lang", "lang_rank").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.length("text")).alias("chars"),
+        F.min("pos").alias("first_pos"),
+        F.max("pos").alias("last_pos"),
+        F.count_distinct("pos").alias("positions"),
     )
 
 
@@ -235,7 +253,7 @@ def select_shards(spark, sf):
 @query
 def concat_corpora(spark, sf):
     rows = docs(spark, sf)
-    parts = [rows.where(F.col("lang") == x) for x in ("fr", "en", "de")]
+    parts = [rows.where(F.col("lang") == x) for x in ("fr", "en", "de", "es")]
     return corpus.concat_corpora(parts).select("source_rank", "doc_id", "text")
 
 
@@ -283,7 +301,7 @@ def strip_ws(spark, sf):
 
 @query
 def collapse_ws(spark, sf):
-    return spread_docs(spark, sf).select("doc_id", T.collapse_ws(F.col("text")).alias("text"))
+    return docs(spark, sf).select("doc_id", T.collapse_ws(F.col("text")).alias("text"))
 
 
 @query
@@ -293,7 +311,7 @@ def nfc(spark, sf):
 
 @query
 def cap_chars(spark, sf):
-    return spread_docs(spark, sf).select(
+    return docs(spark, sf).select(
         "doc_id", T.cap_chars(T.collapse_ws(F.col("text")), 8000).alias("text")
     )
 
@@ -312,15 +330,15 @@ def concat_instruction_output(spark, sf):
 
 @query
 def byte_tokens(spark, sf):
-    rows = spread_docs(spark, sf)
+    rows = docs(spark, sf)
     tokens = rows.select(F.explode(T.byte_tokens(F.col("text"))).alias("token"))
     return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def truncate_tokens(spark, sf):
-    kept = spread_docs(spark, sf).select(
-        "doc_id", T.truncate_tokens(T.byte_tokens(F.col("text")), 1024, 256).alias("tokens")
+    kept = docs(spark, sf).select(
+        "doc_id", T.first_byte_tokens(F.col("text"), 1024, 256).alias("tokens")
     )
     return kept.select(
         "doc_id",
@@ -331,13 +349,13 @@ def truncate_tokens(spark, sf):
 
 @query
 def next_char_pairs(spark, sf):
-    pairs = ngrams.next_char_pairs(spread_docs(spark, sf), 3, keep=["lang"])
+    pairs = ngrams.next_char_pairs(docs(spark, sf), 3, keep=["lang"])
     return pairs.groupBy("lang", "ch").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def fold_guess(spark, sf):
-    return spread_docs(spark, sf).select("doc_id", T.fold_guess(F.col("text")).alias("guess"))
+    return docs(spark, sf).select("doc_id", T.fold_guess(F.col("text")).alias("guess"))
 
 
 # --- predicates -----------------------------------------------------------------------------------
@@ -390,18 +408,18 @@ def drop_malformed_json(spark, sf):
 
 @query
 def is_english_ascii(spark, sf):
-    return spread_docs(spark, sf).select("doc_id", P.is_english_ascii(F.col("text")).alias("is_english"))
+    return docs(spark, sf).select("doc_id", P.is_english_ascii(F.col("text")).alias("is_english"))
 
 
 @query
 def detect_language(spark, sf):
-    rows = spread_docs(spark, sf)
+    rows = docs(spark, sf)
     return langid.detect_language(rows, profiles(spark, sf), "doc_id")
 
 
 @query
 def is_english(spark, sf):
-    rows = spread_docs(spark, sf)
+    rows = docs(spark, sf)
     found = langid.with_detected_language(rows, profiles(spark, sf), "doc_id")
     verdict = P.is_english(F.col("text"), F.col("detected"))
     return found.groupBy("lang", verdict.alias("is_english")).agg(F.count(F.lit(1)).alias("n"))
@@ -409,7 +427,7 @@ def is_english(spark, sf):
 
 @query
 def printable_candidate(spark, sf):
-    counts = ngrams.ngram_counts(spread_docs(spark, sf), 1)
+    counts = ngrams.ngram_counts(docs(spark, sf), 1)
     return counts.where(P.printable_candidate(F.col("ch"))).select("ch", "cnt")
 
 
@@ -425,17 +443,17 @@ def single_byte_candidate(spark, sf):
 
 @query
 def utf8_audit(spark, sf):
-    return corpus.utf8_audit(spread_docs(spark, sf), "lang")
+    return corpus.utf8_audit(docs(spark, sf), "lang")
 
 
 @query
 def domain_filter(spark, sf):
-    return corpus.domain_filter(spread_docs(spark, sf), TOPIC_WORDS).select("doc_id", "lang")
+    return corpus.domain_filter(docs(spark, sf), TOPIC_WORDS).select("doc_id", "lang")
 
 
 @query
 def domain_weight(spark, sf):
-    rows = corpus.domain_filter(spread_docs(spark, sf), TOPIC_WORDS, mode="weight", weight=0.25)
+    rows = corpus.domain_filter(docs(spark, sf), TOPIC_WORDS, mode="weight", weight=0.25)
     return rows.select("doc_id", "weight")
 
 
@@ -470,7 +488,7 @@ def align_pairs(spark, sf):
 @query
 def route_predict(spark, sf):
     inputs = document_prompts(spark, sf).withColumn("is_english", P.is_english_ascii(F.col("text")))
-    rows = spread_docs(spark, sf).withColumn("english", F.col("lang") == "en")
+    rows = docs(spark, sf).withColumn("english", F.col("lang") == "en")
     sides = modelling.train_counts(rows, 3, by=["english"])
     english = predict.byte_model(sides.where("english"), 3)
     others = predict.token_model(sides.where("not english"), 3)
@@ -490,19 +508,19 @@ def ngram_backoff_lookup(spark, sf):
 
 @query
 def split_counts(spark, sf):
-    return corpus.split_counts(spread_docs(spark, sf))
+    return corpus.split_counts(docs(spark, sf))
 
 
 @query
 def split_counts_python(spark, sf):
     """The same operator with a plain Python detector."""
-    return corpus.split_counts(spread_docs(spark, sf), hooks.detector_from(str.isascii))
+    return corpus.split_counts(docs(spark, sf), hooks.detector_from(str.isascii))
 
 
 @query
 def tokenize_batches(spark, sf):
     """A Python tokenizer over batches: the bytes of each text."""
-    rows = spread_docs(spark, sf).select("doc_id", "text")
+    rows = docs(spark, sf).select("doc_id", "text")
     kept = hooks.tokenize_batches(rows, lambda texts: [t.encode() for t in texts], max_len=1024)
     return kept.select(
         "doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), F.element_at("tokens", -1).cast("bigint").alias("last_token")
@@ -511,8 +529,11 @@ def tokenize_batches(spark, sf):
 
 @query
 def line_count_non_blank(spark, sf):
-    rows = corpus_rows(spark, sf).withColumnRenamed("source", "file")
-    return corpus.line_count_non_blank(rows, skip_head=100)
+    """A source is a file and its documents are the lines; each file loses its head."""
+    filled = F.when(P.non_blank(F.col("text")), F.lit("x")).otherwise(F.lit(""))
+    lines = corpus_rows(spark, sf).select(F.col("source").alias("file"), "pos", filled.alias("text"))
+    numbered = with_rank(lines, ["file"], ["pos"], name="line")
+    return corpus.line_count_non_blank(numbered, pos="line", skip_head=10)
 
 
 @query
@@ -553,12 +574,12 @@ def marginalise_first_char(spark, sf):
 
 @query
 def ngram_counts_3(spark, sf):
-    return ngrams.ngram_counts(spread_docs(spark, sf), 3)
+    return ngrams.ngram_counts(docs(spark, sf), 3)
 
 
 @query
 def ngram_counts_5(spark, sf):
-    return ngrams.ngram_counts(spread_docs(spark, sf), 5)
+    return ngrams.ngram_counts(docs(spark, sf), 5)
 
 
 def _probs(spark, sf, method):
@@ -570,10 +591,12 @@ def _probs(spark, sf, method):
 
 @query
 def ngram_probs_addk(spark, sf):
-    counts = ngrams.ngram_counts(spread_docs(spark, sf), 3)
-    size = docs(spark, sf).select(F.explode(F.array_distinct(F.split("text", ""))).alias("c"))
-    size = size.where(F.col("c") != "").distinct().count()
-    probs = ngrams.add_k_probs(counts, size)
+    counts = model_counts(spark, sf, 3)
+    gram = F.col("g")
+    top = counts.where(F.length("g") == 3).select(
+        ngrams.context(gram).alias("ctx"), ngrams.last_char(gram).alias("ch"), "cnt"
+    )
+    probs = ngrams.add_k_probs(top, ngrams.vocabulary_size(counts))
     return probs.select("ctx", "ch", F.round("p", 6).alias("p"))
 
 
@@ -620,13 +643,13 @@ def trim_from_top(spark, sf):
 
 @query
 def line_index(spark, sf):
-    rows = with_rank(corpus_rows(spark, sf), ["source"], ["pos"], name="line")
+    rows = with_rank(corpus_rows(spark, sf).select("source", "pos"), ["source"], ["pos"], name="line")
     return rows.select("source", "line", "pos")
 
 
 @query
 def topk_per_row(spark, sf):
-    counts = ngrams.ngram_counts(spread_docs(spark, sf), 3)
+    counts = ngrams.ngram_counts(docs(spark, sf), 3)
     return ngrams.topk_per_row(counts, ["ctx"], "cnt", [F.col("ch")], 3).select(
         "ctx", "ch", "cnt", "rank"
     )
@@ -767,9 +790,9 @@ def stream_predict(spark, sf):
     path = staging_path(spark, "stream")
     model = predict.NgramModel(stage(ngrams.ngram_topk(model_counts(spark, sf, 3)), "topk"), 3)
     rows = document_stream(spark, sf).select(
-        F.col("pos").alias("doc_id"), "lang", T.collapse_ws(F.col("text")).alias("text")
+        F.col("pos").alias("doc_id"), "lang", T.collapse_ws(F.coalesce("text", F.lit(""))).alias("text")
     )
-    prompts = modelling.prompts(rows.where(F.length("text") >= modelling.MIN_CHARS))
+    prompts = modelling.prompts(rows)
     streams.stream_predict(
         prompts, model, f"{path}/out", f"{path}/ckpt", predict.BYTE_FALLBACK, predict.BYTE_EMPTY_GUESS
     ).awaitTermination()
@@ -812,6 +835,20 @@ def job_chat_corpus(spark, sf):
     return corpora.job_chat_corpus_long(table(spark, sf, "conversations"), 15, 90)
 
 
+@query
+def job_chat_corpus_read(spark, sf):
+    """From the conversations file to the corpus: the reader numbers the items."""
+    rows = _conversation_items(spark, sf, staging_path(spark, "chat"))
+    return corpora.job_chat_corpus(rows, 15, 90)
+
+
+@query
+def job_instruction_corpus_read(spark, sf):
+    path = staging_path(spark, "pairs")
+    _write_json(instruction_rows(spark, sf).select("conv_id", "turn", "instruction", "output"), path)
+    return corpora.job_instruction_corpus(files.read_instruction_pairs(spark, path), 20, 100)
+
+
 @query
 def job_pair_corpus(spark, sf):
     rows = corpus_rows(spark, sf).where(F.col("lang").isin("en", "es"))
@@ -826,7 +863,7 @@ def job_pair_splits(spark, sf):
 
 @query
 def job_detected_splits(spark, sf):
-    rows = spread_docs(spark, sf)
+    rows = docs(spark, sf)
     pairs = [rows.where(F.col("lang").isin("en", "es")), rows.where(F.col("lang").isin("fr", "de"))]
     split = corpora.job_detected_splits(pairs, profiles(spark, sf), "doc_id")
     return split.groupBy("source_rank", "is_english").agg(
@@ -836,13 +873,29 @@ def job_detected_splits(spark, sf):
 
 @query
 def job_train_eval(spark, sf):
-    rows = modelling.job_train_eval(docs(spark, sf))
-    return rows.select("lang", "n", F.round("loss", 6).alias("loss"), F.round("ppl", 5).alias("ppl"))
+    return _evaluated(modelling.job_train_eval(docs(spark, sf)))
+
+
+@query
+def job_train_eval_head(spark, sf):
+    """The same with the head of the corpus held out and interpolated probabilities."""
+    return _evaluated(modelling.job_train_eval(docs(spark, sf), method="interp", eval_size=100))
+
+
+@query
+def job_train_eval_loss(spark, sf):
+    """The same with a loss of the caller's own: the probability missed."""
+    return _evaluated(modelling.job_train_eval(docs(spark, sf), loss=lambda p: F.lit(1.0) - p))
+
+
+def _evaluated(rows: DataFrame) -> DataFrame:
+    numbers = [F.round("loss", 6).alias("loss"), F.round("ppl", 5).alias("ppl"), F.round("accuracy", 6).alias("accuracy")]
+    return rows.select("lang", "n", *numbers)
 
 
 @query
 def job_predict_grade(spark, sf):
-    graded = modelling.job_predict_grade(docs(spark, sf), profiles(spark, sf), 3)
+    graded = modelling.job_predict_grade(docs(spark, sf), LANGS, 3)
     return graded.select("pos", "lang", "is_english", "gold", "pred", "hit")
 
 

@@ -118,8 +118,9 @@ def lookup(name: str, src: str, key: str, text: str, top: str, fallback: str = "
 
 ALL_LINES = f"""
 all_lines AS (SELECT doc_id, lang, {collapse("text")} AS t FROM documents),
-lines AS (SELECT doc_id, lang, t, 5 + (doc_id * 7919) % (length(t) - 5) AS cut
-  FROM all_lines WHERE length(t) >= 6)"""
+every AS (SELECT *, greatest(least(5, length(t) - 1), 0) AS low FROM all_lines),
+prompt_lines AS (SELECT doc_id, lang, t, low + (doc_id * 7919) % greatest(length(t) - low, 1) AS cut FROM every),
+lines AS (SELECT * FROM prompt_lines WHERE t <> '')"""
 
 PROMPTS = "prompts AS (SELECT doc_id AS pos, lang, substr(t, 1, cut) AS text, substr(t, cut + 1, 1) AS gold FROM {src})"
 
@@ -130,21 +131,23 @@ split AS (SELECT *, n >= 20 AND rk <= ceil(n * 0.05::DOUBLE) AS test FROM shuffl
 train AS (SELECT doc_id AS id, lang, t FROM split WHERE NOT test),
 test AS (SELECT doc_id, doc_id AS id, lang, t, cut FROM split WHERE test)"""
 
+HEAD_HELDOUT = f"""{ALL_LINES},
+train AS (SELECT doc_id AS id, lang, t FROM lines WHERE doc_id >= 100),
+test AS (SELECT doc_id AS id, lang, t FROM lines WHERE doc_id < 100)"""
+
 DOCUMENT_MODEL = "model_src AS (SELECT doc_id AS id, text AS t FROM documents), " + counts("model", "model_src")
 
 
-def detector(inputs: str) -> str:
-    """``detected(id, n_grams, detected)`` for ``inputs(id, t)`` with profiles of the documents."""
+def detector(inputs: str, source: str = "SELECT doc_id AS id, lang, text AS t FROM documents") -> str:
+    """``detected(id, n_grams, detected)`` for ``inputs(id, t)`` with profiles of ``source(id, lang, t)``."""
     return f"""
-prof_src AS (SELECT doc_id AS id, lang, {strip('text')} AS t FROM documents),
+prof_src AS (SELECT id, lang, {strip('t')} AS t FROM ({source})),
 {chars("prof_pos", "prof_src", "lang")},
 prof_cnt AS (SELECT lang, p2 || p1 || ch AS g, count(*) AS c FROM prof_pos WHERE i >= 3 GROUP BY ALL),
 prof_size AS (SELECT lang, sum(c)::BIGINT + count(*) AS d FROM prof_cnt GROUP BY lang),
 floors AS (SELECT min(round(ln(1 / d::DOUBLE) * 1000)::BIGINT) AS floor FROM prof_size),
-prof AS (SELECT lang, g, gain FROM (
-  SELECT lang, g, round(ln((c + 1) / d::DOUBLE) * 1000)::BIGINT - (SELECT floor FROM floors) AS gain,
-    row_number() OVER (PARTITION BY lang ORDER BY c DESC, g) AS rk
-  FROM prof_cnt JOIN prof_size USING (lang)) WHERE rk <= 400),
+prof AS (SELECT lang, g, round(ln((c + 1) / d::DOUBLE) * 1000)::BIGINT - (SELECT floor FROM floors) AS gain
+  FROM prof_cnt JOIN prof_size USING (lang)),
 det_src AS (SELECT id, {strip("t")} AS t FROM {inputs}),
 {chars("det_pos", "det_src")},
 det_gram AS (SELECT id, p2 || p1 || ch AS g FROM det_pos WHERE i >= 3),
@@ -243,26 +246,46 @@ def route_sql(inputs: str, english_src: str, other_src: str) -> str:
 routed AS (SELECT * FROM en_guess UNION ALL SELECT * FROM ot_guess)"""
 
 
+def or_empty(guesses: str) -> str:
+    return f"CASE WHEN text <> '' THEN {guesses} WHEN is_english THEN 'eta' ELSE '天气快' END"
+
+
+def train_eval(split: str, p: str, loss: str = "-ln({p})") -> str:
+    return f"""WITH {split}, {counts("model", "train")}, {chars("held_pos", "test", "lang")},
+          {full_grams("held", "held_pos", "lang")}, {evidence("held", "model")},
+          losses AS (SELECT lang, sum(cnt)::BIGINT AS n, sum(({loss.format(p=p)}) * cnt) / sum(cnt) AS loss FROM ev3 GROUP BY lang),
+          {tops("top", "model")},
+          asked AS (SELECT lang, cnt, substr(g, 1, length(g) - 1) AS key, right(g, 1) AS gold FROM held),
+          keys AS (SELECT DISTINCT key FROM asked), {lookup("guess", "keys", "key", "key", "top")},
+          accurate AS (SELECT lang, coalesce(sum(cnt) FILTER (guesses[1] = gold), 0) / sum(cnt)::DOUBLE AS accuracy
+            FROM asked JOIN guess USING (key) GROUP BY lang)
+          SELECT lang, n, round(loss, 6) AS loss, round(accuracy, 6) AS accuracy,
+            round(CASE WHEN loss < 50 THEN exp(loss) ELSE 'inf'::DOUBLE END, 5) AS ppl FROM losses JOIN accurate USING (lang)"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "read_lines": NUMBERED_DOCS,
         "read_corpus_lines": f"WITH {PHYSICAL} SELECT pos, {strip('line')} AS text FROM phys_pos WHERE {filled('line')}",
         "read_jsonl_docs": f"""SELECT {strip("text")} AS text, quality * 0.5::DOUBLE AS id_score
           FROM documents LEFT JOIN labels USING (doc_id) WHERE doc_id % 10 > 1 AND {filled("text")}""",
-        "read_conversation_json": f"WITH {FLAT} SELECT conv_id::VARCHAR AS id, text FROM flat",
+        "read_conversation_json": f"""WITH {FLAT} SELECT row_number() OVER (ORDER BY conv_id) - 1 AS pos,
+            conv_id::VARCHAR AS id, coalesce(text, '') AS text
+          FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN flat USING (conv_id)""",
         "read_instruction_pairs": f"WITH {INSTRUCTIONS} SELECT * FROM numbered",
-        "read_parallel_text": """SELECT 'en-fr' AS pair, lang,
+        "read_parallel_text": """SELECT CASE WHEN lang IN ('en', 'fr') THEN 'en-fr' ELSE 'es-de' END AS pair, lang,
             row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos,
             regexp_replace(text, '\\r\\n|[\\r\\n]', ' ', 'g') AS text
-          FROM documents WHERE lang IN ('en', 'fr')""",
+          FROM documents""",
         "read_language_configs": """SELECT lang,
             CASE lang WHEN 'en' THEN 0 WHEN 'es' THEN 2 WHEN 'fr' THEN 3 ELSE 4 END AS lang_rank,
-            count(*) AS n, sum(length(text))::BIGINT AS chars FROM documents GROUP BY lang""",
+            count(*) AS n, sum(length(text))::BIGINT AS chars, 0::BIGINT AS first_pos, count(*) - 1 AS last_pos,
+            count(*) AS positions FROM documents GROUP BY lang""",
         "select_shards": f"""WITH {MANIFEST} SELECT lang, shard, shard_rank::INTEGER AS shard_rank FROM (
             SELECT *, row_number() OVER (PARTITION BY lang ORDER BY pos) AS shard_rank FROM manifest)
           WHERE shard_rank <= 2""",
-        "concat_corpora": f"""SELECT CASE lang WHEN 'fr' THEN 0 WHEN 'en' THEN 1 ELSE 2 END AS source_rank,
-            doc_id, text FROM documents WHERE lang IN ('fr', 'en', 'de') AND {filled("text")}""",
+        "concat_corpora": f"""SELECT CASE lang WHEN 'fr' THEN 0 WHEN 'en' THEN 1 WHEN 'de' THEN 2 ELSE 3 END AS source_rank,
+            doc_id, text FROM documents WHERE {filled("text")}""",
         "write_lines": """SELECT row_number() OVER (ORDER BY lang, doc_id) - 1 AS pos,
             regexp_replace(text, '\\r\\n|[\\r\\n]', ' ', 'g') AS text FROM documents""",
         "write_language_split": f"""SELECT CASE WHEN is_english THEN 'docs_english' ELSE 'docs_non_english' END AS split,
@@ -325,13 +348,13 @@ def all_sql() -> dict[str, str]:
             length(b.text)::INTEGER AS len_2
           FROM r a JOIN r b ON a.pair = b.pair AND a.rank = b.rank
           WHERE a.lang = string_split(a.pair, '-')[1] AND b.lang = string_split(a.pair, '-')[2]""",
-        "route_predict": f"""WITH {ALL_LINES}, {PROMPTS.format(src="lines")},
+        "route_predict": f"""WITH {ALL_LINES}, {PROMPTS.format(src="prompt_lines")},
           inputs AS (SELECT *, {ascii_english("text")} AS is_english FROM prompts),
           en_src AS (SELECT doc_id AS id, text AS t FROM documents WHERE lang = 'en'),
           ot_src AS (SELECT doc_id AS id, text AS t FROM documents WHERE lang <> 'en'),
           {route_sql("inputs", "en_src", "ot_src")}
-          SELECT pos, is_english, guesses AS pred FROM routed JOIN inputs USING (pos)""",
-        "ngram_backoff_lookup": f"""WITH {DOCUMENT_MODEL}, {tops("top", "model")}, {ALL_LINES}, {PROMPTS.format(src="lines")},
+          SELECT pos, is_english, {or_empty("guesses")} AS pred FROM routed JOIN inputs USING (pos)""",
+        "ngram_backoff_lookup": f"""WITH {DOCUMENT_MODEL}, {tops("top", "model")}, {ALL_LINES}, {PROMPTS.format(src="prompt_lines")},
           keys AS (SELECT DISTINCT right(text, 2) AS key FROM prompts),
           {lookup("guess", "keys", "key", "key", "top")} SELECT key, guesses FROM guess""",
         "split_counts": SPLIT_ASCII,
@@ -341,8 +364,9 @@ def all_sql() -> dict[str, str]:
             CASE WHEN strlen(text) > 0
               THEN ('0x' || substr(hex(text), 2 * least(strlen(text), 1024) - 1, 2))::BIGINT END AS last_token
           FROM documents""",
-        "line_count_non_blank": f"""SELECT source AS file, count(*) FILTER (doc_id >= 100 AND {filled("text")}) AS n
-          FROM documents GROUP BY source""",
+        "line_count_non_blank": f"""SELECT source AS file, count(*) FILTER (line >= 10 AND {filled("text")}) AS n FROM (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS line FROM documents)
+          GROUP BY source""",
         "pair_min_count": f"""WITH {PAIR_ROWS}, sides AS (SELECT pair, lang, count(*) AS n FROM pair_rows GROUP BY ALL)
           SELECT pair, min(n) AS min_count FROM sides GROUP BY pair""",
         "token_batch_stats": """SELECT lang, count(*) AS n_rows, sum(strlen(text))::BIGINT AS tokens,
@@ -432,8 +456,9 @@ def all_sql() -> dict[str, str]:
         "stream_split_counts": f"""SELECT lang, {ascii_english("text")} AS is_english, count(*) AS n
           FROM documents WHERE {filled("text")} GROUP BY ALL""",
         "stream_language_quota": "SELECT lang, least(count(*), 60) AS n FROM documents GROUP BY lang",
-        "stream_predict": f"""WITH {DOCUMENT_MODEL}, {tops("top", "model")}, {ALL_LINES}, {PROMPTS.format(src="lines")},
-          {lookup("guess", "prompts", "pos", "text", "top", " .eta")} SELECT pos, guesses AS pred FROM guess""",
+        "stream_predict": f"""WITH {DOCUMENT_MODEL}, {tops("top", "model")}, {ALL_LINES}, {PROMPTS.format(src="prompt_lines")},
+          {lookup("guess", "prompts", "pos", "text", "top", " .eta")}
+          SELECT pos, CASE WHEN text = '' THEN 'eta' ELSE guesses END AS pred FROM guess JOIN prompts USING (pos)""",
         "job_web_corpus": "WITH " + quota_sql(
             f"{DOC_ROWS} WHERE length({strip('text')}) >= 10", QUOTA, MAX_TOTAL, f"lang, pos, {WEB_TEXT} AS text"
         ),
@@ -454,6 +479,15 @@ def all_sql() -> dict[str, str]:
             AND {filled("coalesce(instruction, '') || ' ' || coalesce(output, '')")}""",
         "job_chat_corpus": f"""WITH {FLAT} SELECT conv_id AS pos, text FROM (
             SELECT *, row_number() OVER (ORDER BY conv_id) AS r FROM flat WHERE conv_id >= 15) WHERE r <= 90""",
+        "job_chat_corpus_read": f"""WITH {FLAT},
+          items AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) - 1 AS pos
+            FROM (SELECT DISTINCT conv_id FROM conversations))
+          SELECT pos, text FROM (SELECT pos, text, row_number() OVER (ORDER BY pos) AS r
+            FROM items JOIN flat USING (conv_id) WHERE pos >= 15) WHERE r <= 90""",
+        "job_instruction_corpus_read": f"""WITH {INSTRUCTIONS} SELECT pos,
+            {collapse("coalesce(instruction, '') || ' ' || coalesce(output, '')")} AS text
+          FROM numbered WHERE pos >= 20 AND pos < 120
+            AND {filled("coalesce(instruction, '') || ' ' || coalesce(output, '')")}""",
         "job_pair_corpus": head_sql(
             ["es", "en"], 150, "lang, pos, text",
             f"SELECT doc_id AS pos, lang, {collapse('text')} AS text FROM documents WHERE {filled('text')}",
@@ -466,32 +500,32 @@ def all_sql() -> dict[str, str]:
             FROM inputs JOIN documents ON doc_id = id)
           SELECT source_rank, {english("t", "detected")} AS is_english, count(*) AS n, sum(length(t))::BIGINT AS chars
           FROM lines LEFT JOIN detected USING (id) GROUP BY ALL""",
-        "job_train_eval": f"""WITH {HELDOUT}, {counts("model", "train")}, {chars("held_pos", "test", "lang")},
-          {full_grams("held", "held_pos", "lang")}, {evidence("held", "model")},
-          losses AS (SELECT lang, sum(cnt)::BIGINT AS n, sum(-ln(addk) * cnt) / sum(cnt) AS loss FROM ev3 GROUP BY lang)
-          SELECT lang, n, round(loss, 6) AS loss,
-            round(CASE WHEN loss < 50 THEN exp(loss) ELSE 'inf'::DOUBLE END, 5) AS ppl FROM losses""",
+        "job_train_eval": train_eval(HELDOUT, "addk"),
+        "job_train_eval_head": train_eval(HEAD_HELDOUT, "interp"),
+        "job_train_eval_loss": train_eval(HELDOUT, "addk", "1 - {p}"),
         "job_predict_grade": f"""WITH {HELDOUT}, {PROMPTS.format(src="test")},
-          raw AS (SELECT pos AS id, text AS t FROM prompts), {detector("raw")},
+          raw AS (SELECT pos AS id, text AS t FROM prompts), {detector("raw", "SELECT id, lang, t FROM train")},
           inputs AS (SELECT prompts.*, {english("text", "detected")} AS is_english
             FROM prompts LEFT JOIN detected ON id = pos),
           en_src AS (SELECT * FROM train WHERE lang = 'en'), ot_src AS (SELECT * FROM train WHERE lang <> 'en'),
           {route_sql("inputs", "en_src", "ot_src")}
-          SELECT pos, lang, is_english, lower(gold) AS gold, substr(lower(guesses), 1, 3) AS pred,
-            contains(substr(lower(guesses), 1, 3), lower(gold)) AS hit
+          SELECT pos, lang, is_english, lower(gold) AS gold, substr(lower({or_empty("guesses")}), 1, 3) AS pred,
+            contains(substr(lower({or_empty("guesses")}), 1, 3), lower(gold)) AS hit
           FROM inputs JOIN routed USING (pos)""",
         "heldout_success": f"""WITH {HELDOUT}, {PROMPTS.format(src="test")}, {counts("model", "train")}, {tops("top", "model")},
           {lookup("guess", "prompts", "pos", "text", "top", " .eta")}
           SELECT lang, count(*) AS n,
-            count(*) FILTER (contains(substr(lower(guesses), 1, 3), lower(gold))) AS hits,
-            count(*) FILTER (substr(lower(guesses), 1, 1) = lower(gold)) AS top1_hits
-          FROM prompts JOIN guess USING (pos) GROUP BY lang""",
+            count(*) FILTER (contains(substr(lower(pred), 1, 3), lower(gold))) AS hits,
+            count(*) FILTER (substr(lower(pred), 1, 1) = lower(gold)) AS top1_hits
+          FROM (SELECT *, CASE WHEN text = '' THEN 'eta' ELSE guesses END AS pred FROM prompts JOIN guess USING (pos))
+          GROUP BY lang""",
         "dense_success": f"""WITH {HELDOUT}, {counts("model", "train")}, {tops("top", "model")},
           {chars("held_pos", "test", "lang")},
           keyed AS (SELECT lang, coalesce(p2, '') || coalesce(p1, '') AS key, ch AS gold, count(*) AS cnt
             FROM held_pos GROUP BY ALL),
-          keys AS (SELECT DISTINCT key FROM keyed), {lookup("guess", "keys", "key", "key", "top")}
-          SELECT lang, sum(cnt)::BIGINT AS n, coalesce(sum(cnt) FILTER (contains(guesses, gold)), 0)::BIGINT AS hits,
-            coalesce(sum(cnt) FILTER (guesses[1] = gold), 0)::BIGINT AS top1_hits
+          keys AS (SELECT DISTINCT key FROM keyed), {lookup("guess", "keys", "key", "key", "top", " .eta")}
+          SELECT lang, sum(cnt)::BIGINT AS n,
+            coalesce(sum(cnt) FILTER (contains(lower(guesses), lower(gold))), 0)::BIGINT AS hits,
+            coalesce(sum(cnt) FILTER (lower(guesses[1]) = lower(gold)), 0)::BIGINT AS top1_hits
           FROM keyed JOIN guess USING (key) GROUP BY lang""",
     }

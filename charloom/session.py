@@ -6,9 +6,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 500_000
+#: Names the number of partitions a caller wants its input tables dealt into; unset, scan splits stay.
+INPUT_PARTITIONS = "charloom.input.partitions"
 
 
 def build_session(app: str = "charloom", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -20,6 +20,8 @@ def build_session(app: str = "charloom", cores: int | str = "*", shuffle_partiti
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Rankings up to this limit drop rows before their shuffle; token rankings go to 5,000.
+        .config("spark.sql.optimizer.windowGroupLimitThreshold", "10000")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -63,26 +65,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast after counting; above ``max_rows`` the plan keeps its shuffle join.
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` in as many partitions as the caller asked for (``INPUT_PARTITIONS``), else as it is.
 
-    For narrow tables whose size follows the input (a row per split or partition).
+    Spark never splits a parquet row group, so a table of one row group is one task. Dealing it out is up to the
+    caller, whatever its size, and by no key, so that later joins need the exchanges that a large input needs.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition ``df`` by ``key`` when it is too small to fill the cores by its file splits.
-
-    Spark never splits a parquet row group, so a file with one row group is one task however heavy the
-    work on its text is. The size is checked: an input that has a full split for every core keeps its
-    scan partitions, so a large corpus is not shuffled.
-    """
-    spark = df.sparkSession
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        cores = spark.sparkContext.defaultParallelism
-        split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    except Exception:  # no JVM handle (Spark Connect): leave the plan alone
-        return df
-    return df.repartition(cores, key) if size < cores * split else df
+    wanted = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(wanted)) if wanted else df

@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 from charloom.functions.predicates import non_blank
 from charloom.functions.text import decode_utf8_lossy, strip_ws
-from charloom.session import broadcast_if_small, stage
+from charloom.session import stage
 
 log = logging.getLogger(__name__)
 
 CONVERSATION_SCHEMA = "id string, conversations array<struct<`from`: string, value: string>>"
-INSTRUCTION_SCHEMA = "pos bigint, instruction string, output string"
+INSTRUCTION_SCHEMA = "instruction string, output string"
 
 
 def read_lines(
@@ -59,7 +59,7 @@ def read_lines(
     if not per_file:
         w = Window.orderBy("file", "_path", "_split")
     offsets = splits.withColumn("_before", F.sum("_n").over(w) - F.col("_n")).drop("_n")
-    return placed.join(broadcast_if_small(offsets), ["_path", "_split"]).select(
+    return placed.join(offsets, ["_path", "_split"]).select(
         (F.col("_before") + F.col("_place") - F.col("_first")).alias("pos"),
         "file",
         F.col("value").alias("text"),
@@ -113,17 +113,28 @@ def drop_malformed_json(lines: DataFrame, value: str = "value") -> DataFrame:
 def read_conversation_json(
     spark: SparkSession, paths: Sequence[str], lines: bool = False
 ) -> DataFrame:
-    """``(file_rank, id, conversations)`` from files given in order.
+    """``(pos, file_rank, id, conversations)`` from files given in order; ``pos`` counts over all of them.
 
-    A JSON-array file cannot be split and is one task; large inputs come as JSON lines (``lines=True``).
-    Items that are not objects are dropped, values that are not strings become NULL.
+    A JSON-array file cannot be split and is one task; large inputs come as JSON lines (``lines=True``), where
+    ``pos`` counts physical lines. Items that are not objects are dropped, values that are not strings become NULL.
     """
     schema = "id string, conversations array<struct<`from`: variant, value: variant>>"
     parts = []
     for rank, path in enumerate(paths):
-        df = spark.read.schema(schema).option("multiLine", str(not lines).lower()).json(path)
+        if lines:
+            raw = read_lines(spark, path).select("pos", F.from_json("text", schema).alias("_item"))
+            df = raw.select("pos", "_item.*")
+        else:
+            df = spark.read.schema(schema).option("multiLine", "true").json(path)
+            # The file is one task, so its items are numbered where they are read.
+            df = stage(df.withColumn("pos", F.monotonically_increasing_id()), "items")
         parts.append(df.withColumn("file_rank", F.lit(rank)))
     merged = reduce(lambda a, b: a.unionByName(b), parts)
+    # One row per file: how many items the files before it have.
+    sizes = merged.groupBy("file_rank").agg((F.max("pos") + 1).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("file_rank")) - F.col("_n")
+    merged = merged.join(sizes.select("file_rank", before.alias("_before")), "file_rank")
+    merged = merged.withColumn("pos", F.col("pos") + F.col("_before"))
     turns = F.transform(
         F.filter("conversations", lambda t: t.isNotNull()),
         lambda t: F.struct(
@@ -131,7 +142,7 @@ def read_conversation_json(
         ),
     )
     return merged.where(F.col("id").isNotNull() | F.col("conversations").isNotNull()).select(
-        "file_rank", "id", turns.alias("conversations")
+        "pos", "file_rank", "id", turns.alias("conversations")
     )
 
 
@@ -139,9 +150,10 @@ def _string_or_null(v: Column) -> Column:
     return F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
 
 
-def read_instruction_pairs(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """``(pos, instruction, output)``, both texts nullable; the rows carry their position."""
-    return spark.read.schema(INSTRUCTION_SCHEMA).format(fmt).load(path)
+def read_instruction_pairs(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``(pos, instruction, output)`` from JSON lines, both texts nullable; ``pos`` counts physical lines."""
+    lines = read_lines(spark, path)
+    return lines.select("pos", F.from_json("text", INSTRUCTION_SCHEMA).alias("_row")).select("pos", "_row.*")
 
 
 def read_parallel_text(spark: SparkSession, directory: str, l1: str, l2: str) -> DataFrame:
@@ -170,9 +182,10 @@ def read_parallel_text(spark: SparkSession, directory: str, l1: str, l2: str) ->
 def read_language_configs(
     spark: SparkSession, sources: Mapping[str, str], fmt: str = "parquet"
 ) -> DataFrame | None:
-    """Union of one source per language, tagged ``lang`` and ``lang_rank``.
+    """Union of one parquet source per language, tagged ``lang``, ``lang_rank`` and ``pos``.
 
-    A language whose source cannot be read is skipped with a warning and keeps its place in the order.
+    ``pos`` counts a language's rows by file and place in it; it comes from the row numbers that the reader knows
+    and one row per file, so no text is staged for it. A language whose source cannot be read is skipped with a warning and keeps its place in the order.
     None when no language can be read.
     """
     parts = []
@@ -183,5 +196,10 @@ def read_language_configs(
         except AnalysisException as e:
             log.warning("skipping %s: %s", lang, e.getMessage() if hasattr(e, "getMessage") else e)
             continue
-        parts.append(df.withColumn("lang", F.lit(lang)).withColumn("lang_rank", F.lit(rank)))
+        at = df.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"))
+        files = at.groupBy("_path").agg((F.max("_row") + 1).alias("_n"))
+        before = F.sum("_n").over(Window.orderBy("_path")) - F.col("_n")
+        numbered = at.join(files.select("_path", before.alias("_before")), "_path")
+        numbered = numbered.withColumn("pos", F.col("_before") + F.col("_row")).drop("_path", "_row", "_before")
+        parts.append(numbered.withColumn("lang", F.lit(lang)).withColumn("lang_rank", F.lit(rank)))
     return reduce(lambda a, b: a.unionByName(b), parts) if parts else None
