@@ -125,9 +125,19 @@ def read_conversation_json(
             raw = read_lines(spark, path).select("pos", F.from_json("text", schema).alias("_item"))
             df = raw.select("pos", "_item.*")
         else:
-            df = spark.read.schema(schema).option("multiLine", "true").json(path)
-            # The file is one task, so its items are numbered where they are read.
-            df = stage(df.withColumn("pos", F.monotonically_increasing_id()), "items")
+            # Item by item, for one that is no object would make the reader's whole file NULL.
+            items = F.posexplode(F.from_json("value", "array<variant>")).alias("pos", "_item")
+            turn = lambda t: F.struct(*[F.try_variant_get(t, f"$.{x}", "variant").alias(x) for x in ("from", "value")])
+            turns = F.try_variant_get("_item", "$.conversations", "array<variant>")
+            df = (
+                spark.read.option("wholetext", "true").text(path).select(items)
+                .where(F.startswith(F.schema_of_variant("_item"), F.lit("OBJECT")))
+                .select(
+                    F.col("pos").cast("bigint").alias("pos"),
+                    F.try_variant_get("_item", "$.id", "string").alias("id"),
+                    F.transform(turns, turn).alias("conversations"),
+                )
+            )
         parts.append(df.withColumn("file_rank", F.lit(rank)))
     merged = reduce(lambda a, b: a.unionByName(b), parts)
     # One row per file: how many items the files before it have.
