@@ -26,8 +26,11 @@ from charloom.operators.ngrams import (
     vocabulary_size,
 )
 from charloom.operators.predict import NgramModel, byte_model, fill_guesses, predict, route_predict, token_model
+from charloom.operators.positions import with_rank
 from charloom.operators.scoring import score_join
 from charloom.session import stage
+from charloom.sinks.lines import write_predictions
+from charloom.sources.files import read_lines
 
 FALLBACK = " .eta"
 
@@ -135,12 +138,14 @@ def job_train_eval(
     return losses.join(first.groupBy("lang").agg((right / F.sum("cnt")).alias("accuracy")), "lang")
 
 
-def job_predict_grade(docs: DataFrame, langs: Sequence[str], n: int = 5, key: str = "doc_id") -> DataFrame:
+def job_predict_grade(
+    docs: DataFrame, langs: Sequence[str], path: str, n: int = 5, key: str = "doc_id"
+) -> DataFrame:
     """``(pos, lang, is_english, gold, pred, hit)`` for every held-out document.
 
     English prompts, by the detector, take the byte model and the others the token model, each trained on
-    the training lines of its side; the detector too learns from training lines alone. Grade the rows with
-    ``success_rate``.
+    the training lines of its side; the detector too learns from training lines alone. The guesses are
+    written to ``path``, one line per prompt, and graded as read back. Grade the rows with ``success_rate``.
     """
     lines = evaluation_lines(docs, key)
     train = lines.where(F.col("split") == "train")
@@ -156,6 +161,7 @@ def job_predict_grade(docs: DataFrame, langs: Sequence[str], n: int = 5, key: st
     )
     routed = stage(routed.drop("detected"), "prompts")
     preds = route_predict(routed, byte_model(english, n), token_model(others, n))
-    return score_join(
-        routed.select("pos", "lang", "is_english", "gold"), preds.select("pos", "pred")
-    )
+    write_predictions(routed, preds, path)
+    gold = with_rank(routed.select("pos", "lang", "is_english", "gold"), [], ["pos"], name="line")
+    lines = read_lines(docs.sparkSession, path).select(F.col("pos").alias("line"), F.col("text").alias("pred"))
+    return score_join(gold, lines, "line").drop("line")

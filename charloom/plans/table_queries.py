@@ -862,10 +862,27 @@ def job_pair_splits(spark, sf):
 
 
 @query
-def job_detected_splits(spark, sf):
+def job_pair_splits_written(spark, sf):
+    rows = corpora.job_pair_splits(pair_rows(spark, sf), cap=90)
+    return sinks.write_splits(rows, staging_path(spark, "splits"), ["pair", "lang", "pos"])
+
+
+def detected_splits(spark: SparkSession, sf: str) -> DataFrame:
     rows = docs(spark, sf)
     pairs = [rows.where(F.col("lang").isin("en", "es")), rows.where(F.col("lang").isin("fr", "de"))]
-    split = corpora.job_detected_splits(pairs, profiles(spark, sf), "doc_id")
+    return corpora.job_detected_splits(pairs, profiles(spark, sf), "doc_id")
+
+
+@query
+def job_detected_splits_written(spark, sf):
+    side = F.when(F.col("is_english"), F.lit("english")).otherwise(F.lit("non_english"))
+    rows = detected_splits(spark, sf).withColumn("split", side)
+    return sinks.write_splits(rows, staging_path(spark, "splits"), ["source_rank", "doc_id"])
+
+
+@query
+def job_detected_splits(spark, sf):
+    split = detected_splits(spark, sf)
     return split.groupBy("source_rank", "is_english").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")
     )
@@ -895,7 +912,7 @@ def _evaluated(rows: DataFrame) -> DataFrame:
 
 @query
 def job_predict_grade(spark, sf):
-    graded = modelling.job_predict_grade(docs(spark, sf), LANGS, 3)
+    graded = modelling.job_predict_grade(docs(spark, sf), LANGS, staging_path(spark, "guesses"), 3)
     return graded.select("pos", "lang", "is_english", "gold", "pred", "hit")
 
 

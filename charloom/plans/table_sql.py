@@ -250,6 +250,13 @@ def or_empty(guesses: str) -> str:
     return f"CASE WHEN text <> '' THEN {guesses} WHEN is_english THEN 'eta' ELSE '天气快' END"
 
 
+def detected_lines() -> str:
+    return f"""inputs AS (SELECT doc_id AS id, {strip("text")} AS t FROM documents
+            WHERE lang IN ('en', 'es', 'fr', 'de') AND {filled("text")}), {detector("inputs")},
+          lines AS (SELECT id, CASE WHEN lang IN ('en', 'es') THEN 0 ELSE 1 END AS source_rank, t
+            FROM inputs JOIN documents ON doc_id = id)"""
+
+
 def train_eval(split: str, p: str, loss: str = "-ln({p})") -> str:
     return f"""WITH {split}, {counts("model", "train")}, {chars("held_pos", "test", "lang")},
           {full_grams("held", "held_pos", "lang")}, {evidence("held", "model")},
@@ -494,12 +501,14 @@ def all_sql() -> dict[str, str]:
         ),
         "job_pair_splits": f"""WITH {trimmed(90)} SELECT pair,
             CASE WHEN lang = 'en' THEN 'english' ELSE 'non_english' END AS split, pos, {collapse("text")} AS text FROM trimmed""",
-        "job_detected_splits": f"""WITH inputs AS (SELECT doc_id AS id, {strip("text")} AS t FROM documents
-            WHERE lang IN ('en', 'es', 'fr', 'de') AND {filled("text")}), {detector("inputs")},
-          lines AS (SELECT id, CASE WHEN lang IN ('en', 'es') THEN 0 ELSE 1 END AS source_rank, t
-            FROM inputs JOIN documents ON doc_id = id)
+        "job_pair_splits_written": f"""WITH {trimmed(90)} SELECT CASE WHEN lang = 'en' THEN 'english' ELSE 'non_english' END AS split,
+            count(*) AS n FROM trimmed GROUP BY 1""",
+        "job_detected_splits": f"""WITH {detected_lines()}
           SELECT source_rank, {english("t", "detected")} AS is_english, count(*) AS n, sum(length(t))::BIGINT AS chars
           FROM lines LEFT JOIN detected USING (id) GROUP BY ALL""",
+        "job_detected_splits_written": f"""WITH {detected_lines()}
+          SELECT CASE WHEN {english("t", "detected")} THEN 'english' ELSE 'non_english' END AS split, count(*) AS n
+          FROM lines LEFT JOIN detected USING (id) GROUP BY ALL""",
         "job_train_eval": train_eval(HELDOUT, "addk"),
         "job_train_eval_head": train_eval(HEAD_HELDOUT, "interp"),
         "job_train_eval_loss": train_eval(HELDOUT, "addk", "1 - {p}"),

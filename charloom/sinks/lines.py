@@ -72,16 +72,19 @@ def write_language_split(
     task twice, the committed files cannot.
     """
     lines = df.where(non_blank(F.col(text)))
-    tagged = lines.select(
-        *order,
-        F.when(english(F.col(text)), F.lit(f"{prefix}_english"))
-        .otherwise(F.lit(f"{prefix}_non_english"))
-        .alias("split"),
-        one_line(strip_ws(F.col(text))).alias("value"),
+    side = F.when(english(F.col(text)), F.lit(f"{prefix}_english")).otherwise(F.lit(f"{prefix}_non_english"))
+    tagged = lines.select(*order, side.alias("split"), strip_ws(F.col(text)).alias("text"))
+    return write_splits(tagged, directory, order)
+
+
+def write_splits(
+    df: DataFrame, directory: str, order: Sequence[str], split: str = "split", text: str = "text"
+) -> DataFrame:
+    """The lines of each split in a folder of its own, in order; ``(split, n)`` counted from the files."""
+    rows = df.select(*order, F.col(split).alias("split"), one_line(F.col(text)).alias("value"))
+    _in_order(rows, order, None).select("split", "value").write.mode("errorifexists").partitionBy("split").text(
+        directory
     )
-    _in_order(tagged, order, None).select("split", "value").write.mode("errorifexists").partitionBy(
-        "split"
-    ).text(directory)
     written = df.sparkSession.read.schema("value string, split string").text(directory)
     return written.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
