@@ -7,8 +7,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from charloom.functions.predicates import printable_candidate, single_byte_candidate
-from charloom.operators.ngrams import last_char, ngram_backoff_lookup, ngram_topk
+from charloom.functions.predicates import single_byte_candidate
+from charloom.operators.ngrams import (
+    context,
+    last_char,
+    marginalise_first_char,
+    ngram_backoff_lookup,
+    ngram_topk,
+    topk_per_row,
+)
 from charloom.session import stage
 
 # Fallback characters and the guesses for an empty line, per path.
@@ -17,6 +24,8 @@ BYTE_FALLBACK = " .eta"
 TOKEN_EMPTY_GUESS = "天气快"
 BYTE_EMPTY_GUESS = "eta"
 
+TOKEN_CHARS = 2
+
 
 @dataclass(frozen=True)
 class NgramModel:
@@ -38,17 +47,24 @@ def empty_input_guess(text: Column, guess: Column, when_empty: str) -> Column:
 
 
 def byte_model(counts: DataFrame, n: int, k: int = 3) -> NgramModel:
-    """Model of the byte path: only whole one-byte characters can be guessed."""
+    """Model of the byte path: only whole one-byte characters can be guessed; ``counts`` may have more orders."""
     ch = last_char(F.col("g"))
     ascii_only = counts.where(
-        (F.octet_length(ch) == 1) & single_byte_candidate(F.ascii(ch))
+        (F.length("g") <= n) & (F.octet_length(ch) == 1) & single_byte_candidate(F.ascii(ch))
     )
     return NgramModel(ngram_topk(ascii_only, k), n)
 
 
 def token_model(counts: DataFrame, n: int, k: int = 3) -> NgramModel:
-    """Model of the token path: candidates are stripped, so whitespace is never guessed."""
-    return NgramModel(ngram_topk(counts.where(printable_candidate(last_char(F.col("g")))), k), n)
+    """Model of the token path: two-character tokens, summed by the first character of the stripped token.
+
+    So a word start counts as its first letter and whitespace is never guessed. ``counts`` has orders up to
+    ``n + 1``. Sums are compared to nine digits, and equal ones go by character.
+    """
+    chars = marginalise_first_char(token_candidates(counts.where(F.length("g") <= n + 1), TOKEN_CHARS), ["ctx"])
+    best = topk_per_row(chars.withColumn("_score", F.round("logprob", 9)), ["ctx"], "_score", [F.col("ch")], k, "_rank")
+    ranked = F.array_sort(F.collect_list(F.struct("_rank", "ch")))
+    return NgramModel(best.groupBy("ctx").agg(F.transform(ranked, lambda e: e["ch"]).alias("tops")), n)
 
 
 def _suffixes(inputs: DataFrame, length: int, text: str) -> DataFrame:
@@ -105,16 +121,31 @@ def route_predict(
     ).unionByName(_answer(narrow.where(~english), token_path, TOKEN_FALLBACK, TOKEN_EMPTY_GUESS))
 
 
-def token_candidates(counts: DataFrame, ctx_len: int, token_len: int) -> DataFrame:
-    """``(ctx, token, logprob)`` from full grams: ``token_len`` characters after ``ctx_len`` ones."""
-    grams = counts.where(F.length("g") == ctx_len + token_len)
+def token_candidates(counts: DataFrame, token_len: int, ctx_len: int | None = None) -> DataFrame:
+    """``(ctx, token, logprob)`` from counted grams: ``token_len`` characters after ``ctx_len`` ones, or after any.
+
+    After any context of counts of all orders, the last character of a text is a token of its own.
+    """
+    length = F.length("g")
+    grams = counts.where(length >= token_len if ctx_len is None else length == ctx_len + token_len)
     pairs = grams.select(
-        F.substring("g", 1, ctx_len).alias("ctx"),
+        F.substr(F.col("g"), F.lit(1), length - token_len).alias("ctx"),
         F.right(F.col("g"), F.lit(token_len)).alias("token"),
         "cnt",
     )
+    if ctx_len is None and token_len == 2:
+        pairs = pairs.unionByName(_ends(counts))
     totals = pairs.groupBy("ctx").agg(F.sum("cnt").alias("total"))
     return pairs.join(totals, "ctx").select(
         "ctx", "token", F.log(F.col("cnt") / F.col("total")).alias("logprob")
     )
 
+
+def _ends(counts: DataFrame) -> DataFrame:
+    """``(ctx, token, cnt)`` of characters that nothing follows: what a gram has beyond its continuations."""
+    gram = F.col("g")
+    after = counts.where(F.length(gram) > 1).groupBy(context(gram).alias("g")).agg(F.sum("cnt").alias("_on"))
+    longest = counts.agg(F.max(F.length(gram))).scalar()
+    left = counts.where(F.length(gram) < longest).join(after, "g", "left")
+    rest = F.col("cnt") - F.coalesce("_on", F.lit(0))
+    return left.select(context(gram).alias("ctx"), last_char(gram).alias("token"), rest.alias("cnt")).where("cnt > 0")

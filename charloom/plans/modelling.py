@@ -151,7 +151,7 @@ def job_predict_grade(
     train = lines.where(F.col("split") == "train")
     profiles = train_language_profiles(train, langs)
     sides = train_counts(
-        train.withColumn("english", F.col("lang") == "en"), n, by=["english"]
+        train.withColumn("english", F.col("lang") == "en"), n + 1, by=["english"]
     )
     english = sides.where("english").drop("english")
     others = sides.where("not english").drop("english")

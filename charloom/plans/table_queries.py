@@ -489,7 +489,7 @@ def align_pairs(spark, sf):
 def route_predict(spark, sf):
     inputs = document_prompts(spark, sf).withColumn("is_english", P.is_english_ascii(F.col("text")))
     rows = docs(spark, sf).withColumn("english", F.col("lang") == "en")
-    sides = modelling.train_counts(rows, 3, by=["english"])
+    sides = modelling.train_counts(rows, 4, by=["english"])
     english = predict.byte_model(sides.where("english"), 3)
     others = predict.token_model(sides.where("not english"), 3)
     return predict.route_predict(inputs, english, others).select("pos", "is_english", "pred")

@@ -101,6 +101,29 @@ def tops(name: str, src: str, where: str = "true") -> str:
   WHERE rk <= 3 GROUP BY ctx)"""
 
 
+def token_tops(name: str, pos: str) -> str:
+    """``(ctx, tops)`` of the token path: two-character tokens summed by the first character they show."""
+    token = strip("token")
+    return f"""
+{name}_last AS (SELECT * FROM {pos} QUALIFY row_number() OVER (PARTITION BY id ORDER BY i DESC) = 1),
+{name}_n AS (SELECT ctx, token, count(*) AS cnt FROM (
+  SELECT '' AS ctx, p1 || ch AS token FROM {pos} WHERE i >= 2
+  UNION ALL SELECT p2, p1 || ch FROM {pos} WHERE i >= 3
+  UNION ALL SELECT p3 || p2, p1 || ch FROM {pos} WHERE i >= 4
+  UNION ALL SELECT '', ch FROM {name}_last
+  UNION ALL SELECT p1, ch FROM {name}_last WHERE i >= 2
+  UNION ALL SELECT p2 || p1, ch FROM {name}_last WHERE i >= 3) GROUP BY ALL),
+{name}_lp AS (SELECT ctx, token, ln(cnt / (sum(cnt) OVER (PARTITION BY ctx))::DOUBLE) AS lp FROM {name}_n),
+{name}_ok AS (SELECT ctx, substr({token}, 1, 1) AS ch, lp FROM (
+    SELECT *, row_number() OVER (PARTITION BY ctx ORDER BY lp DESC, token) AS rk FROM {name}_lp)
+  WHERE rk <= 5000 AND {token} <> '' AND ascii({token}) >= 32 AND substr({token}, 1, 1) <> chr(65533)),
+{name}_sum AS (SELECT ctx, ch, max(m) + ln(sum(exp(lp - m))) AS lp
+  FROM (SELECT *, max(lp) OVER (PARTITION BY ctx, ch) AS m FROM {name}_ok) GROUP BY ctx, ch),
+{name} AS (SELECT ctx, string_agg(ch, '' ORDER BY rk) AS tops FROM (
+  SELECT ctx, ch, row_number() OVER (PARTITION BY ctx ORDER BY round(lp, 9) DESC, ch) AS rk FROM {name}_sum)
+  WHERE rk <= 3 GROUP BY ctx)"""
+
+
 def lookup(name: str, src: str, key: str, text: str, top: str, fallback: str = "") -> str:
     """Three guesses per row of ``src``: longest context first, then shorter ones, then ``fallback``."""
     return f"""
@@ -240,7 +263,7 @@ def route_sql(inputs: str, english_src: str, other_src: str) -> str:
     return f"""
 {counts("en_model", english_src)}, {tops("en_top", "en_model", "strlen(ch) = 1 AND ascii(ch) BETWEEN 32 AND 127")},
 {counts("ot_model", other_src)},
-{tops("ot_top", "ot_model", f"{strip('ch')} <> '' AND ascii({strip('ch')}) >= 32 AND ch <> chr(65533)")},
+{token_tops("ot_top", "ot_model_pos")},
 {lookup("en_guess", f"(SELECT * FROM {inputs} WHERE is_english)", "pos", "text", "en_top", " .eta")},
 {lookup("ot_guess", f"(SELECT * FROM {inputs} WHERE NOT is_english)", "pos", "text", "ot_top", "天气快不错吗")},
 routed AS (SELECT * FROM en_guess UNION ALL SELECT * FROM ot_guess)"""

@@ -147,7 +147,7 @@ def test_fill_guesses(spark):
 
 
 def test_routing(spark):
-    counts = all_counts(spark, ["the é the é then", "一 二三 一 二四"], 3)
+    counts = all_counts(spark, ["the é the é then", "一 二三 一 二四"], 4)
     english, other = predict.byte_model(counts, 3), predict.token_model(counts, 3)
     rows = [(0, "", True), (1, " ", True), (2, "the", True), (3, "二", False), (4, "", False)]
     inputs = spark.createDataFrame(rows, "pos bigint, text string, is_english boolean")
