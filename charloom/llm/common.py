@@ -46,14 +46,19 @@ def unshield(df: DataFrame, moved: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(moved) if moved else df
 
 
-def block_pairs(df: DataFrame, group: list[str], key: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def block_pairs(
+    df: DataFrame, group: list[str], key: str, block_rows: int = BLOCK_ROWS, weight: str | None = None
+) -> DataFrame:
     """Deal the rows of each group into pairs of blocks, so that no task meets a whole hot group.
 
+    A block has about ``block_rows`` rows, or rows of so much ``weight`` together.
+
     Adds ``_a`` and ``_b`` (``_a <= _b``), the pair of blocks, and ``_mine``, the block of the row. A group
     with ``c`` blocks becomes ``c * (c + 1) / 2`` pairs; every two of its rows meet in exactly one pair if
     they are in different blocks, and in the pair ``(a, a)`` if they share block ``a``.
     """
-    sizes = df.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("_blocks"))
+    total = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    sizes = df.groupBy(*group).agg(F.ceil(total / F.lit(block_rows)).cast("int").alias("_blocks"))
     mine = F.pmod(F.xxhash64(F.col(key), F.lit("block")), F.col("_blocks")).cast("int")
     placed = df.join(sizes, group).withColumn("_mine", mine)
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))

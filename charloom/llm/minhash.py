@@ -21,8 +21,8 @@ HASHES = BANDS * ROWS
 BATCH = 36
 #: A pair is pruned when the posterior that it reaches the threshold falls below this.
 MISS = 1e-3
-#: Candidates that each member of an open bucket proposes in the rounds before the last; the last round has no limit.
-BEST_ROUNDS = (2, 2)
+#: Shingles of one block of a bucket, and the least that a member counts for.
+BLOCK_SHINGLES, LEAST_SHINGLES = 1 << 20, 256
 #: Shingle hashes that are processed at a time.
 CHUNK = 1 << 16
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -176,11 +176,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def _open_rows(members: DataFrame, linked: DataFrame) -> DataFrame:
-    """Rows ``(band, h, node, part)`` of the buckets whose members are not yet all in one component."""
+    """Rows ``(band, h, node, size, part)`` of the buckets whose members are not yet all in one component."""
     groups = components(linked).select(F.col("id").alias("node"), "component")
     # In a bucket of two the centre has met the other one.
     labelled = members.where("n > 2").join(groups, "node", "left")
-    labelled = labelled.select("band", "h", "node", F.coalesce("component", "node").alias("part"))
+    labelled = labelled.select("band", "h", "node", "size", F.coalesce("component", "node").alias("part"))
     mixed = (
         labelled.groupBy("band", "h")
         .agg(F.min("part").alias("_low"), F.max("part").alias("_high"))
@@ -190,43 +190,85 @@ def _open_rows(members: DataFrame, linked: DataFrame) -> DataFrame:
     return stage(labelled.join(mixed, ["band", "h"]), "open")
 
 
-def _candidates(rest: DataFrame, sketches: DataFrame, threshold: float, best: int | None) -> DataFrame:
-    """Pairs of members of a bucket in different components that survive their signatures.
+def _met(t: pa.Table, limits: list[tuple[int, int]]) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of a block pair the other rows that it has to be held against.
 
-    Block meets block, so no task has a whole large bucket; signatures are compared in arrays, and with ``best`` each
-    member of a block names only its most similar ones. The rows of a partition come sorted by bucket.
+    Those are in another component, survive their signatures, and share no earlier band: a pair that shares several
+    buckets is looked at in the first one alone.
     """
-    limits = fewest_matches(threshold)
+    x, right = _unpack(t.column("signature").to_pylist()), t.column("_right").to_numpy()
+    parts, band = t.column("part").to_pylist(), t.column("band")[0].as_py()
+    code = {p: i for i, p in enumerate(dict.fromkeys(parts))}
+    part = np.array([code[p] for p in parts])
+    same = t.column("_a")[0].as_py() == t.column("_b")[0].as_py()
+    for i in range(len(part)):
+        other = part != part[i]
+        ask = np.flatnonzero(other[i + 1 :] if same else other[i + 1 :] & (right[i + 1 :] != right[i])) + i + 1
+        found = ask[similar(x[i : i + 1], x[ask], limits)[0]]
+        if len(found) and band:
+            shared = (x[found, : band * ROWS] == x[i, : band * ROWS]).reshape(len(found), band, ROWS).all(2)
+            found = found[~shared.any(1)]
+        if len(found):
+            yield i, found
+
+
+def _block_links(rest: DataFrame, sketches: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links between members of open buckets that join what was apart, confirmed on their full sets.
+
+    Block meets block, so no task has a whole large bucket. A first pass has signatures only and lets out the members
+    that have someone to meet; a second pass has their sets, counts, and lets out a link when it joins two parts of
+    its block. So neither pass lets out more rows than it gets, however similar a bucket is.
+    """
+    limits, percent = fewest_matches(threshold), round(threshold * 100)
     key = ["band", "h", "_a", "_b"]
-    dealt = block_pairs(rest, ["band", "h"], "node").join(sketches.select("node", "signature"), "node")
-    dealt = dealt.select(*key, (F.col("_mine") == F.col("_b")).alias("_right"), "node", "part", "signature")
-
-    def meet(t: pa.Table) -> list[tuple[bytes, bytes]]:
-        nodes, parts = t.column("node").to_pylist(), t.column("part").to_pylist()
-        x, right = _unpack(t.column("signature").to_pylist()), t.column("_right").to_numpy()
-        same = t.column("_a")[0].as_py() == t.column("_b")[0].as_py()
-        code = {p: i for i, p in enumerate(dict.fromkeys(parts))}
-        part = np.array([code[p] for p in parts])
-        found = []
-        for i in range(len(nodes)):
-            other = part != part[i]
-            ask = np.flatnonzero(other if same else other & (right != right[i]))
-            if best is None:
-                ask = ask[ask > i]
-            alive, equal = similar(x[i : i + 1], x[ask], limits)
-            if best is not None and len(alive) > best:
-                alive = alive[np.argsort(-equal, kind="stable")[:best]]
-            found += [(min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for j in ask[alive]]
-        return found
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in map(meet, _runs(batches, key)):
-            if found:
-                a, b = zip(*found, strict=True)
+    dealt = block_pairs(rest, ["band", "h"], "node", BLOCK_SHINGLES, "size")
+    dealt = dealt.select(*key, (F.col("_mine") == F.col("_b")).alias("_right"), "node", "part")
+    signed = dealt.join(sketches.select("node", "signature"), "node")
+    names = [*key, "_right", "node", "part"]
+
+    def meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _runs(batches, key):
+            some = np.zeros(t.num_rows, bool)
+            for i, found in _met(t, limits):
+                some[i] = True
+                some[found] = True
+            yield from t.filter(pa.array(some)).select(names).to_batches()
+
+    def linking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _runs(batches, key):
+            nodes, parts = t.column("node").to_pylist(), t.column("part").to_pylist()
+            held = t.column("set").combine_chunks()
+            at, values = held.offsets.to_numpy(), held.values.to_numpy(zero_copy_only=False)
+            sorted_sets = [np.sort(values[a:b]) for a, b in zip(at, at[1:], strict=False)]
+            root = {p: p for p in parts}
+
+            def find(p: bytes, root: dict[bytes, bytes] = root) -> bytes:
+                while root[p] != p:
+                    p = root[p]
+                return p
+
+            links = []
+            for i, found in _met(t, limits):
+                for j in found:
+                    a, b = find(parts[i]), find(parts[j])
+                    if a == b:
+                        continue
+                    x, y = sorted_sets[i], sorted_sets[j]
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    if both * 100 >= percent * (len(x) + len(y) - both):
+                        links.append((nodes[i], nodes[j]))
+                        root[a] = b
+            if links:
+                a, b = zip(*links, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
-    sorted_rows = dealt.repartition(*key).sortWithinPartitions(*key)
-    return sorted_rows.mapInArrow(run, "a binary, b binary").distinct()
+    def by_block(df: DataFrame) -> DataFrame:
+        return df.repartition(*key).sortWithinPartitions(*key)
+
+    kinds = "band int, h long, _a int, _b int, _right boolean, node binary, part binary"
+    some = stage(by_block(signed).mapInArrow(meeting, kinds), "meeting")
+    whole = some.join(sketches.select("node", "signature"), "node").join(sets, "node")
+    return by_block(whole).mapInArrow(linking, "a binary, b binary").distinct()
 
 
 def _runs(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
@@ -262,10 +304,9 @@ def near_duplicates(
     1. *Sets.* Whole texts become sets of hashed shingles inside the JVM; Arrow batches turn them into signatures.
        Texts with equal sets are one node from here on, so thousands of copies cost one.
     2. *Bands.* Nodes that share a band are candidates. First each node meets one centre of its bucket, a
-       minimum with map-side combine. Then only members of a bucket that are not yet in one component meet, block
-       against block. In two rounds each proposes just its most similar ones, which joins nearly all of a
-       bucket of very many similar texts; the last round has no limit, so no two members of a bucket stay both
-       unlinked and unchecked, and yet few pairs of a large group ever leave a task.
+       minimum with map-side combine. Then the members of a bucket that are not yet in one component meet, block
+       against block, and a block lets out only links that join what was apart. So a large group gives few rows,
+       and still no two members of a bucket stay both unlinked and unchecked.
     3. *Bayes.* Signatures are compared in batches, and a pair is dropped when the posterior that it reaches the
        threshold is below ``MISS``.
     4. *Exact.* Survivors are confirmed on their full sets.
@@ -282,13 +323,14 @@ def near_duplicates(
     sketches = stage(
         nodes.join(first, "node")
         .where(F.struct("_key", "_text").eqNullSafe(F.col("_first")))
-        .drop("_first", "n_shingles")
+        .drop("_first")
         .dropDuplicates(["node"]),
         "nodes",
     )
     width = 2 * ROWS
     bands = F.array(*[F.xxhash64(F.substring("signature", 1 + i * width, width)) for i in range(BANDS)])
-    banded = sketches.select("node", F.posexplode(bands).alias("band", "h"))
+    size = F.greatest("n_shingles", F.lit(LEAST_SHINGLES)).alias("size")
+    banded = sketches.select("node", size, F.posexplode(bands).alias("band", "h"))
     buckets = banded.groupBy("band", "h").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
     buckets = buckets.where("n > 1")
     members = stage(banded.join(buckets, ["band", "h"]), "buckets")
@@ -302,13 +344,9 @@ def near_duplicates(
     tried = members.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     tried = stage(_surviving(tried, sketches, threshold), "tried")
     linked = stage(_verified(tried, sets, threshold), "linked")
-    for best in (*BEST_ROUNDS, None):
-        rest = _open_rows(members, linked)
-        if rest.isEmpty():
-            break
-        more = stage(_candidates(rest, sketches, threshold, best).join(tried, ["a", "b"], "left_anti"), "tried")
-        linked = linked.unionByName(stage(_verified(more, sets, threshold), "linked"))
-        tried = tried.unionByName(more)
+    rest = _open_rows(members, linked)
+    if not rest.isEmpty():
+        linked = linked.unionByName(stage(_block_links(rest, sketches, sets, threshold), "linked"))
     groups = components(linked).select(F.col("id").alias("node"), "component")
 
     lowest = nodes.groupBy("node").agg(F.min("_key").alias("low")).join(groups, "node", "left")

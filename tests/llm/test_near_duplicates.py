@@ -80,8 +80,7 @@ def text_groups(data, words):
 @pytest.mark.parametrize(("words", "block"), [(2, 2048), (5, 2048), (2, 3)])
 def test_near_duplicates_equal_brute_force(spark, monkeypatch, words, block):
     # A tiny block deals every bucket into several.
-    blocks = common.block_pairs
-    monkeypatch.setattr(minhash, "block_pairs", lambda df, group, key: blocks(df, group, key, block))
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", block * minhash.LEAST_SHINGLES)
     r = random.Random(words)
     vocabulary = [f"w{i}" for i in range(300)]
     data = []
