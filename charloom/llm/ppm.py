@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +19,9 @@ from charloom.session import stage
 #: Bytes of context; a context and its symbol fit into one integer.
 ORDER = 5
 #: Text bytes of one block of documents, which is what a task holds at a time.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
+#: Blocks of text per part of the table.
+BLOCKS_PER_PART = 2
 #: UTF-8 has neither byte: the context before a text, and the symbol after it.
 BEFORE, END, SYMBOLS = 0xFE, 0xFF, 256
 
@@ -56,106 +61,190 @@ def _bytes(texts: pd.Series) -> list[bytes]:
     return [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in texts]
 
 
-def gather(blocks: DataFrame, order: int) -> DataFrame:
-    """``(block, gram, word, n)``: distinct windows and words of each block with their count in training texts."""
+# --- packed tables ----------------------------------------------------------------------------------
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        block = part["block"].iloc[0]
-        learns = part["learns"].to_numpy()
-        texts = _bytes(part["text"])
-        grams, _ = windows(texts, order)
-        taught = [t for t, k in zip(texts, learns, strict=True) if k]
-        all_grams = counted(grams)[0]
-        del grams
-        n = np.zeros(len(all_grams), np.int64)
-        if taught:
-            g, c = counted(windows(taught, order)[0]) if len(taught) < len(texts) else counted(windows(texts, order)[0])
-            n[np.searchsorted(all_grams, g)] = c
+
+def pack_grams(grams: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted windows and their counts; the planes of sorted bytes compress to about a third."""
+    planes = grams.astype(">u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    return zstandard.compress(planes + counts.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpack_grams(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(12, -1)
+    grams = np.ascontiguousarray(planes[:8].T).view(">u8").ravel().astype(np.int64)
+    return grams, np.ascontiguousarray(planes[8:].T).view("<u4").ravel().astype(np.int64)
+
+
+def pack_words(words: list[bytes], counts: list[int]) -> bytes:
+    return zstandard.compress(np.array(counts, "<u4").tobytes() + b" ".join(words), 1)
+
+
+def unpack_words(data: bytes, n: int) -> tuple[list[bytes], np.ndarray]:
+    raw = zstandard.decompress(data)
+    return raw[4 * n :].split(b" ") if n else [], np.frombuffer(raw[: 4 * n], "<u4").astype(np.int64)
+
+
+def parts_of_grams(grams: np.ndarray, parts: int) -> np.ndarray:
+    """The part of a window: by the two bytes before its symbol, so that contexts from order 2 on are whole in it."""
+    return (((grams >> 8) & 0xFFFF) * 40_503 >> 4) % parts
+
+
+def gather(blocks: DataFrame, order: int, parts: int) -> DataFrame:
+    """``(block, part, n_grams, grams, n_words, words)``: what each block has, counted in its training texts.
+
+    Windows and words come once a block, packed by the part of the table that they belong to. Part -1 has the counts
+    of single bytes and pairs, at most 65,536, which the lowest orders are made of.
+    """
+
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        number = block["block"].iloc[0]
+        learns = block["learns"].to_numpy()
+        texts = _bytes(block["text"])
+        block = None
+        found, taught = [], [t for t, k in zip(texts, learns, strict=True) if k]
+        held = [t for t, k in zip(texts, learns, strict=True) if not k]
+        grams, n = counted(windows(taught, order)[0]) if taught else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        low = np.unique(grams & 0xFFFF, return_inverse=True)
+        found.append((number, -1, len(low[0]), pack_grams(low[0], np.bincount(low[1], n, len(low[0])).astype(np.int64)), 0, b""))
+        if held:
+            more = np.setdiff1d(counted(windows(held, order)[0])[0], grams, assume_unique=True)
+            both = np.concatenate([grams, more])
+            by = np.argsort(both, kind="stable")
+            grams, n = both[by], np.concatenate([n, np.zeros(len(more), np.int64)])[by]
         words: Counter[bytes] = Counter()
         for t in taught:
             words.update(tokens(t))
-        for t, k in zip(texts, learns, strict=True):
-            if not k:
-                for w in set(tokens(t)):
-                    words.setdefault(w, 0)
-        count = len(all_grams)
-        return pd.DataFrame(
-            {
-                "block": block,
-                "gram": pd.Series(np.append(all_grams, np.zeros(len(words), np.int64))).where(
-                    np.arange(count + len(words)) < count
-                ).astype("Int64"),
-                "word": [None] * count + list(words),
-                "n": np.append(n, np.fromiter(words.values(), np.int64, len(words))),
-            }
-        )
+        for t in held:
+            for w in set(tokens(t)):
+                words.setdefault(w, 0)
+        of = parts_of_grams(grams, parts)
+        named: list[list[bytes]] = [[] for _ in range(parts)]
+        for w in sorted(words):
+            named[zlib.crc32(w) % parts].append(w)
+        for p in range(parts):
+            mine = of == p
+            w = named[p]
+            found.append(
+                (number, p, int(mine.sum()), pack_grams(grams[mine], n[mine]), len(w), pack_words(w, [words[x] for x in w]))
+            )
+        return pd.DataFrame(found, columns=["block", "part", "n_grams", "grams", "n_words", "words"])
+
+    kinds = "block int, part int, n_grams long, grams binary, n_words long, words binary"
+    return blocks.groupBy("block").applyInPandas(run, kinds)
+
 
-    return blocks.groupBy("block").applyInPandas(run, "block int, gram long, word binary, n long")
+# --- the model --------------------------------------------------------------------------------------
 
 
-def trie(grams: DataFrame, order: int) -> list[tuple[DataFrame, DataFrame]]:
-    """The byte-context trie, by order from 0: counts ``(g, c)`` and context nodes ``(ctx, n, d, x)``.
+class Level:
+    """One order of the byte-context trie: counts of windows, and per context what exclusion needs.
 
-    A node has the number of symbols seen after it, of distinct ones, and the sum of the counts that these
-    symbols have one order lower: what exclusion takes away when the node is escaped from. Counts of an order come
-    from those of the next by dropping the oldest byte.
+    A context has the number of symbols seen after it, of distinct ones, and the sum of the counts that these
+    symbols have one order lower: what exclusion takes away when the context is escaped from.
     """
-    counts = [stage(grams, "grams")]
-    for j in range(order - 1, -1, -1):
-        short = F.col("g").bitwiseAND(F.lit((1 << (8 * (j + 1))) - 1)).alias("g")
-        counts.insert(0, stage(counts[0].select(short, "c").groupBy("g").agg(F.sum("c").alias("c")), "grams"))
-    out = []
-    for j, level in enumerate(counts):
-        ctx = F.shiftright("g", 8).alias("ctx")
-        if j:
-            below = counts[j - 1].select(F.col("g").alias("low"), F.col("c").alias("lc"))
-            full = level.withColumn("low", F.col("g").bitwiseAND(F.lit((1 << (8 * j)) - 1))).join(below, "low")
-        else:
-            full = level.withColumn("lc", F.lit(0).cast("long"))
-        nodes = full.groupBy(ctx).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d"), F.sum("lc").alias("x"))
-        out.append((level, stage(nodes, "nodes")))
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, below: Level | None, order: int):
+        self.grams, self.counts, self.order = grams, counts, order
+        ctx = grams >> 8
+        first = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]])) if len(ctx) else np.zeros(0, np.int64)
+        self.ctx = ctx[first]
+        low = below.count(grams & ((1 << (8 * order)) - 1)) if below is not None else np.zeros(len(grams), np.int64)
+        add = (lambda x: np.add.reduceat(x, first)) if len(first) else (lambda x: np.zeros(0, np.int64))
+        self.n, self.x = add(counts), add(low)
+        self.d = np.diff(np.append(first, len(ctx)))
+
+    def count(self, grams: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.grams, grams), max(0, len(self.grams) - 1))
+        return np.where(self.grams[at] == grams, self.counts[at], 0) if len(self.grams) else np.zeros(len(grams), np.int64)
+
+
+def levels(grams: np.ndarray, counts: np.ndarray, order: int, low: tuple[np.ndarray, np.ndarray]) -> list[Level]:
+    """All orders from the windows of one part; orders 0 and 1 from the pairs of the whole corpus (``low``)."""
+
+    def shorter(g: np.ndarray, c: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        u, at = np.unique(g & ((1 << (8 * size)) - 1), return_inverse=True)
+        return u, np.bincount(at, c, len(u)).astype(np.int64)
+
+    seen = counts > 0
+    tables = [(grams[seen], counts[seen])]
+    for j in range(order - 1, 1, -1):
+        tables.insert(0, shorter(*tables[0], j + 1))
+    tables = [shorter(*low, 1), low, *tables] if order > 1 else [shorter(*low, 1), low][: order + 1]
+    out: list[Level] = []
+    for j, (g, c) in enumerate(tables):
+        out.append(Level(g, c, out[-1] if out else None, j))
     return out
 
 
-def code_lengths(grams: DataFrame, levels: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """``(gram, lp)``: log10 probability of each window's symbol given its context.
+def code_lengths(grams: np.ndarray, trie: list[Level]) -> np.ndarray:
+    """log10 probability of each window's symbol given its context.
 
     From the longest context down: a symbol seen there is coded with ``c / (n + d)``, another one escapes with
     ``d / (n + d)`` (method C), and symbols of the longer context no longer count in the shorter one (exclusion).
-    Windows that are coded leave; only the escaped ones meet the next order.
     """
-    zero = F.lit(0).cast("long")
-    pending = grams.select("gram", F.lit(0.0).alias("lp"), zero.alias("px"), zero.alias("pd"))
-    done = []
-    for j in range(len(levels) - 1, -1, -1):
-        counts, nodes = levels[j]
-        g = F.col("gram").bitwiseAND(F.lit((1 << (8 * (j + 1))) - 1))
-        met = (
-            pending.withColumn("g", g)
-            .withColumn("ctx", F.shiftright("g", 8))
-            .join(nodes, "ctx", "left")
-            .join(counts, "g", "left")
-        )
-        left, kinds = F.col("n") - F.col("px"), F.col("d") - F.col("pd")
-        some = F.col("n").isNotNull() & (kinds > 0)
-        gain = F.when(some, F.log10(F.coalesce(F.col("c"), kinds) / (left + kinds))).otherwise(0.0)
-        met = met.select(
-            "gram",
-            (F.col("lp") + gain).alias("lp"),
-            F.coalesce("x", "px").alias("px"),
-            F.coalesce("d", "pd").alias("pd"),
-            F.col("c").isNotNull().alias("coded"),
-        )
-        met = stage(met, "coded")
-        done.append(met.where("coded").select("gram", "lp"))
-        pending = met.where("not coded").drop("coded")
-    rest = F.col("lp") - F.log10(F.lit(float(SYMBOLS)) - F.col("pd"))
-    out = pending.select("gram", rest.alias("lp"))
-    for d in done:
-        out = out.unionByName(d)
+    out = np.zeros(len(grams))
+    left = np.arange(len(grams))
+    px, pd_ = np.zeros(len(grams), np.int64), np.zeros(len(grams), np.int64)
+    for level in reversed(trie):
+        if not len(left) or not len(level.grams):
+            continue
+        g = grams[left] & ((1 << (8 * (level.order + 1))) - 1)
+        at = np.minimum(np.searchsorted(level.ctx, g >> 8), len(level.ctx) - 1)
+        known = level.ctx[at] == g >> 8
+        n, d = level.n[at] - px[left], level.d[at] - pd_[left]
+        c = level.count(g)
+        use = known & (d > 0)
+        out[left[use]] += np.log10(np.where(c > 0, c, d)[use] / (n + d)[use])
+        px[left[known]], pd_[left[known]] = level.x[at[known]], level.d[at[known]]
+        left = left[c == 0]
+    out[left] -= np.log10(SYMBOLS - pd_[left])
     return out
 
 
+def look_up(found: DataFrame, order: int, low: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """``(block, part, n_grams, grams, n_words, words, total, distinct)`` with values in place of counts.
+
+    A part of the table sums what all blocks have of it, makes its piece of the trie, and answers each block. ``total``
+    and ``distinct`` are the training tokens of the part, on the row of one of its blocks.
+    """
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        packed = [unpack_grams(g) for g in part["grams"]]
+        grams, at = np.unique(np.concatenate([g for g, _ in packed]), return_inverse=True)
+        counts = np.bincount(at, np.concatenate([n for _, n in packed]), len(grams)).astype(np.int64)
+        lengths = code_lengths(grams, levels(grams, counts, order, low))
+        words: Counter[bytes] = Counter()
+        listed = []
+        for data, n in zip(part["words"], part["n_words"], strict=True):
+            names, k = unpack_words(data, n)
+            listed.append(names)
+            for w, c in zip(names, k.tolist(), strict=True):
+                words[w] += c
+        rows, start = [], 0
+        for b, p, (g, _), names in zip(part["block"], part["part"], packed, listed, strict=True):
+            lp = lengths[at[start : start + len(g)]]
+            start += len(g)
+            data = zstandard.compress(g.astype("<i8").tobytes() + lp.tobytes(), 1)
+            first = not rows
+            rows.append(
+                (
+                    b,
+                    p,
+                    len(g),
+                    data,
+                    len(names),
+                    pack_words(names, [words[w] for w in names]),
+                    sum(words.values()) if first else 0,
+                    sum(c > 0 for c in words.values()) if first else 0,
+                )
+            )
+        return pd.DataFrame(rows, columns=["block", "part", "n_grams", "grams", "n_words", "words", "total", "distinct"])
+
+    kinds = "block int, part int, n_grams long, grams binary, n_words long, words binary, total long, distinct long"
+    return found.groupBy("part").applyInPandas(run, kinds)
+
+
 def score_texts(
     docs: DataFrame,
     *,
@@ -173,10 +262,12 @@ def score_texts(
     ``held_out`` teach nothing (a NULL key counts as the empty text). NULL and empty texts have the end only.
 
     Texts are dealt into blocks of about ``block_bytes`` by a hash. Each block hands in its distinct windows and
-    words, at most one row a block however often they occur; counts, the trie and the code lengths of all
-    windows are joins and groups of these. The lengths that a block needs then meet its texts, and each task sums
-    over whole texts. No table is broadcast by hand and none is held whole. Rows that repeat are dealt together and
-    scored alike; other columns do not matter; an empty table gives an empty result.
+    words with their training counts, packed into parts: windows by the two bytes before their symbol, words by a
+    hash. A part then holds all counts of its contexts from order 2 on; the pairs of bytes below that, at most 65,536,
+    are what every part is given. Each part makes its piece of the trie, works out the code length of each of its windows once,
+    and answers the blocks; each block then sums over its whole texts. The number of parts grows with the input, and no
+    task holds more than a block or a part. Rows that repeat are dealt together and scored alike; other columns do not
+    matter; an empty table gives an empty result.
     """
     size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text)) + 64), F.lit(0))).first()[0]
     count = max(1, -(-size // block_bytes))
@@ -187,37 +278,25 @@ def score_texts(
         (fold(F.col(key), folds) != held_out).alias("learns"),
         F.col(text).alias("text"),
     )
-    # A block is a task: hash partitioning by its number leaves none of them with many.
-    found = stage(gather(blocks, order), "found")
-    taught = found.where("n > 0")
-    grams = taught.where(F.col("gram").isNotNull()).groupBy(F.col("gram").alias("g")).agg(F.sum("n").alias("c"))
-    levels = trie(grams, order)
-    words = stage(taught.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("c")), "words")
-    total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    wanted = found.where(F.col("gram").isNotNull()).select("gram").distinct()
-    lengths = stage(code_lengths(wanted, levels), "lengths")
-
-    empty = F.lit(None)
-    by_gram = found.where(F.col("gram").isNotNull()).select("block", "gram").join(lengths, "gram")
-    by_word = found.where(F.col("word").isNotNull()).select("block", "word").join(words, "word", "left")
-    known = by_gram.select("block", "gram", empty.cast("binary").alias("word"), F.col("lp").alias("value")).unionByName(
-        by_word.select(
-            "block", empty.cast("long").alias("gram"), "word", F.coalesce("c", F.lit(0)).cast("double").alias("value")
-        )
-    )
+    parts = max(4, -(-count // BLOCKS_PER_PART))
+    found = stage(gather(blocks, order, parts), "found")
+    low = _pairs(found.where("part = -1"))
+    values = stage(look_up(found.where("part >= 0"), order, low), "values")
+    total, distinct = values.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
 
-    def run(part: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
-        if not len(part):
-            return pd.DataFrame(columns=names)
-        texts = _bytes(part["text"])
-        is_word = table["word"].notna().to_numpy()
-        grams = table["gram"].to_numpy()[~is_word].astype(np.int64)
-        lp = table["value"].to_numpy()[~is_word]
+    def run(block: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
+        grams, lp, counts = [], [], {}
+        for n, data, m, words in zip(table["n_grams"], table["grams"], table["n_words"], table["words"], strict=True):
+            raw = zstandard.decompress(data)
+            grams.append(np.frombuffer(raw[: 8 * n], "<i8"))
+            lp.append(np.frombuffer(raw[8 * n :], "<f8"))
+            names, k = unpack_words(words, m)
+            counts.update(zip(names, k.tolist(), strict=True))
+        grams, lp = np.concatenate(grams), np.concatenate(lp)
         by = np.argsort(grams)
         grams, lp = grams[by], lp[by]
-        counts = dict(zip(table["word"][is_word], table["value"].to_numpy()[is_word], strict=True))
         rows = []
-        for t in texts:
+        for t in _bytes(block["text"]):
             w, _ = windows([t], order)
             c = np.fromiter(map(counts.__getitem__, tokens(t)), np.float64)
             rows.append(
@@ -231,8 +310,8 @@ def score_texts(
         n, k, base, score = zip(*rows, strict=True)
         return pd.DataFrame(
             {
-                key: part[key],
-                "held_out": ~part["learns"].to_numpy(),
+                key: block[key],
+                "held_out": ~block["learns"].to_numpy(),
                 "n_tokens": n,
                 "n_known": k,
                 "train_tokens": total,
@@ -244,5 +323,23 @@ def score_texts(
     fields = [docs.schema[key], T.StructField("held_out", T.BooleanType())]
     fields += [T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")]
     fields += [T.StructField(c, T.DoubleType()) for c in ("base_score", "score")]
-    names = [f.name for f in fields]
-    return blocks.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(run, T.StructType(fields))
+    return blocks.groupBy("block").cogroup(values.groupBy("block")).applyInPandas(run, T.StructType(fields))
+
+
+def _pairs(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of all pairs of bytes in the corpus, from those of the blocks; bounded by the alphabet."""
+
+    def unpacked(part: pd.DataFrame) -> pd.DataFrame:
+        dense = np.zeros(1 << 16, np.int64)
+        for data in part["grams"]:
+            g, n = unpack_grams(data)
+            dense[g] += n
+        g = np.flatnonzero(dense)
+        return pd.DataFrame({"g": g, "c": dense[g]})
+
+    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return map(unpacked, parts)
+
+    sums = rows.mapInPandas(batches, "g long, c long").groupBy("g").agg(F.sum("c").alias("c")).toPandas()
+    sums = sums.sort_values("g")
+    return sums["g"].to_numpy(np.int64), sums["c"].to_numpy(np.int64)
