@@ -78,23 +78,25 @@ def stream_language_quota(
     """Accept rows of each language in arrival order until its quota is full.
 
     A language may be most of the stream, so no task owns one: each batch takes what the earlier batches
-    left of the quota by a rank cut-off. The state is the output itself, one folder per batch; a replayed
-    batch overwrites its own folder and reads only earlier ones.
+    left of the quota by a rank cut-off. The state is a row per language and batch, counted from what the batch
+    wrote; a replayed batch overwrites its own folders and reads only the counts of earlier ones.
     """
-    accepted = StructType([*stream.schema.fields, StructField("batch", LongType())])
+    kind = stream.schema[lang].dataType
+    counts = StructType([StructField(f, t) for f, t in (("g", kind), ("count", LongType()), ("batch", LongType()))])
 
     def accept(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         by, key = F.col(lang), F.col(pos)
         taken: dict[object, int] = {}
         if batch_id > 0:
-            earlier = spark.read.schema(accepted).parquet(path).where(F.col("batch") < batch_id)
-            taken = {r["g"]: r["count"] for r in earlier.groupBy(by.alias("g")).count().collect()}
+            earlier = spark.read.schema(counts).parquet(f"{path}/_taken").where(F.col("batch") < batch_id)
+            taken = {r["g"]: r["n"] for r in earlier.groupBy("g").agg(F.sum("count").alias("n")).collect()}
         stats = group_stats(batch, by, key)
         spans = {g: (0, quota - taken.get(g, 0)) for g in stats}
-        rank_window_filter(batch, by, key, spans, stats).write.mode("overwrite").parquet(
-            f"{path}/batch={batch_id}"
-        )
+        own = f"{path}/batch={batch_id}"
+        rank_window_filter(batch, by, key, spans, stats).write.mode("overwrite").parquet(own)
+        written = spark.read.schema(stream.schema).parquet(own).groupBy(by.alias("g")).count()
+        written.coalesce(1).write.mode("overwrite").parquet(f"{path}/_taken/batch={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(accept)
