@@ -19,7 +19,7 @@ def given(spark, tmp_path_factory):
     r = random.Random(9)
     vocabulary = [f"{a}{b}" for a in WORDS for b in WORDS]
     text = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
-    rows = [(i, text(r.randint(40, 120))) for i in range(300)]
+    rows = [(i, text(r.randint(60, 120))) for i in range(300)]
     toxic = [i for i in range(300) if i % 5 == 1]
     rows = [(i, t + " scum and idiot here" if i in toxic else t) for i, t in rows]
     passage = text(60)
