@@ -226,7 +226,7 @@ def token_pieces(
     """
     kind = docs.schema[key].dataType
     fields = [
-        T.StructField(key, kind),
+        T.StructField(key, T.StringType()),
         T.StructField("piece", T.IntegerType()),
         T.StructField("start", T.LongType()),
         T.StructField("length", T.LongType()),
@@ -251,7 +251,9 @@ def token_pieces(
                     rows = []
             yield _frame(rows, names)
 
-    return docs.select(key, F.col(text).alias("_text")).mapInPandas(run, T.StructType(fields))
+    # The key travels as text, for pandas turns whole numbers beside NULLs into floating ones.
+    narrow = docs.select(F.col(key).cast("string").alias(key), F.col(text).alias("_text"))
+    return narrow.mapInPandas(run, T.StructType(fields)).withColumn(key, F.col(key).cast(kind))
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:

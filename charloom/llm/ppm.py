@@ -274,7 +274,8 @@ def score_texts(
     block = F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(count)).cast("int")
     blocks = docs.select(
         block.alias("block"),
-        F.col(key),
+        # As text, for pandas turns whole numbers beside NULLs into floating ones.
+        F.col(key).cast("string").alias(key),
         (fold(F.col(key), folds) != held_out).alias("learns"),
         F.col(text).alias("text"),
     )
@@ -320,10 +321,11 @@ def score_texts(
             }
         )
 
-    fields = [docs.schema[key], T.StructField("held_out", T.BooleanType())]
+    fields = [T.StructField(key, T.StringType()), T.StructField("held_out", T.BooleanType())]
     fields += [T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")]
     fields += [T.StructField(c, T.DoubleType()) for c in ("base_score", "score")]
-    return blocks.groupBy("block").cogroup(values.groupBy("block")).applyInPandas(run, T.StructType(fields))
+    scored = blocks.groupBy("block").cogroup(values.groupBy("block")).applyInPandas(run, T.StructType(fields))
+    return scored.withColumn(key, F.col(key).cast(docs.schema[key].dataType))
 
 
 def _pairs(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:

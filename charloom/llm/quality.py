@@ -177,7 +177,10 @@ def score_quality(
             out["predicted"] = (out["score"] >= threshold).astype("int32")
             yield out
 
-    fields = [docs.schema[key], T.StructField("held_out", T.BooleanType())]
+    fields = [T.StructField(key, T.StringType()), T.StructField("held_out", T.BooleanType())]
     fields += [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
-    narrow = docs.select(key, (fold(F.col(key), 5) == 0).alias("held_out"), F.col(text).alias("_text"))
-    return narrow.mapInPandas(run, T.StructType(fields))
+    # The key travels as text, for pandas turns whole numbers beside NULLs into floating ones.
+    own = F.col(key).cast("string").alias(key)
+    narrow = docs.select(own, (fold(F.col(key), 5) == 0).alias("held_out"), F.col(text).alias("_text"))
+    scored = narrow.mapInPandas(run, T.StructType(fields))
+    return scored.withColumn(key, F.col(key).cast(docs.schema[key].dataType))

@@ -152,15 +152,15 @@ class _Archive:
         fields = {"WARC-Type": row._type, "WARC-Record-ID": name, "WARC-Date": date}
         if isinstance(row._url, str):
             fields["WARC-Target-URI"] = _line(row._url)
-        if not pd.isna(row._key):
-            fields["WARC-Page-ID"] = str(int(row._key))
+        if isinstance(row._key, str):
+            fields["WARC-Page-ID"] = row._key
         fields["WARC-Payload-Digest"] = f"sha1:{row._digest}"
         fields["Content-Type"] = "application/http;msgtype=response"
         block = http.encode() + payload
         if row._type == "revisit":
             fields["WARC-Profile"] = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-            if not pd.isna(row._refers):
-                fields["WARC-Refers-To-Page-ID"] = str(int(row._refers))
+            if isinstance(row._refers, str):
+                fields["WARC-Refers-To-Page-ID"] = row._refers
         data = gzip.compress(record(fields, block), level, mtime=0)
         self.member.write(data)
         told = {"offset": str(self.size), "length": str(len(data)), "digest": f"sha1:{row._digest}", "recordId": name}
@@ -235,14 +235,15 @@ def write_archives(
         .drop("_n")
     )
     again = F.col("_first").isNotNull() & (F.col("_row") != F.col("_first._row"))
+    # Keys travel as text, for pandas turns whole numbers beside NULLs into floating ones.
     told = read.join(response, "_digest", "left").select(
-        "_key",
+        F.col("_key").cast("string").alias("_key"),
         "_url",
         F.when(~again, F.col("_payload")).alias("_payload"),
         "_bytes",
         "_digest",
         F.when(again, "revisit").otherwise("response").alias("_type"),
-        F.when(again, F.col("_first._key")).alias("_refers"),
+        F.when(again, F.col("_first._key").cast("string")).alias("_refers"),
     )
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -250,7 +251,6 @@ def write_archives(
         store.create_dir(path, recursive=True)
         archive = None
         for batch in batches:
-            batch = batch.astype({"_key": "Int64", "_refers": "Int64"})
             for row in _rows(batch):
                 archive = archive or _Archive(root)
                 archive.add(row, date, level)

@@ -24,7 +24,7 @@ def test_round_trip_and_revisits(spark):
     big, small = "é" * 600, "s" * 999
     data = [(i, f"http://x/{i}", big) for i in range(40)] + [(100 + i, None, small) for i in range(3)]
     data += [(7, "http://again", "z" * 2000), (8, "a\r\nb", "z" * 2000), (300, "u", None), (301, "u", ""), (None, "n", "q")]
-    data += [(9, "http://same", "t" * 1500)] * 2
+    data += [(9, "http://same", "t" * 1500)] * 2 + [(2**60 + 1, "wide", "w")]
     got, archives = answers(spark, data, archive_bytes=2000)
     assert len(got) == len(data) and archives.count() > 1
     by = {}
@@ -39,6 +39,7 @@ def test_round_trip_and_revisits(spark):
     again = next(x for x in by[7] if x["payload_bytes"] == 2000)
     assert again["refers_to"] == 8 and by[300][0]["payload_bytes"] == by[301][0]["payload_bytes"] == 0
     assert by[None][0]["payload"] == b"q" and by[100][0]["url"] is None
+    assert by[2**60 + 1][0]["payload"] == b"w"
     same = sorted((x["record_type"], x["refers_to"]) for x in by[9] if x["payload_bytes"] == 1500)
     assert same == [("response", None), ("revisit", 9)]
 

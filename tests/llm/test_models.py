@@ -37,11 +37,11 @@ def test_quality_held_out_accuracy_and_edges(spark):
     data = [(i, prose(r, r.randint(10, 80)) if i % 4 else junk(r, r.randint(10, 80)), int(i % 4 > 0)) for i in range(600)]
     docs = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string")
     labels = spark.createDataFrame([(i, y) for i, _, y in data], "doc_id long, quality int")
-    odd = spark.createDataFrame([(None, "x"), (9000, None), (9001, ""), (9002, " \t"), (9003, "a " * 100_000), (9001, "")], docs.schema)
+    odd = spark.createDataFrame([(None, "x"), (9000, None), (9001, ""), (9002, " \t"), (9003, "a " * 100_000), (9001, ""), (2**60 + 1, "y")], docs.schema)
     labels = labels.union(spark.createDataFrame([(None, 1), (1, None), (2, 0), (2, 1)], labels.schema))
     got = quality.score_quality(docs.union(odd).withColumn("score", F.lit(1)), labels).collect()
     by = {g["doc_id"]: g for g in got}
-    assert len(got) == 606 and all(0 <= g["score"] <= 1 and g["predicted"] == int(g["score"] >= 0.3) for g in got)
+    assert len(got) == 607 and 2**60 + 1 in by and all(0 <= g["score"] <= 1 and g["predicted"] == int(g["score"] >= 0.3) for g in got)
     assert all(g["held_out"] == (held(g["doc_id"], 5) == 0) for g in got)
     test = [(by[i]["predicted"], y) for i, _, y in data if held(i, 5) == 0]
     assert len(test) > 80 and np.mean([p == y for p, y in test]) > 0.95
@@ -168,7 +168,7 @@ def ppm_brute(train, text, order):
 def test_scores_equal_brute_force(spark, order):
     r = random.Random(order)
     data = [(i, "".join(r.choice("abé \nAB") for _ in range(r.randint(0, 40)))) for i in range(60)]
-    data += [(100, None), (None, "ab"), (101, "zzz 天"), (7, "again under an id"), (7, "again under an id")]
+    data += [(100, None), (None, "ab"), (2**60 + 1, "b"), (101, "zzz 天"), (7, "again under an id"), (7, "again under an id")]
     docs = spark.createDataFrame(data, "doc_id long, text string").withColumn("block", F.lit(1)).withColumn("learns", F.lit(0))
     got = ppm.score_texts(docs, order=order, block_bytes=700).collect()
     enc = lambda t: (t or "").encode()

@@ -75,7 +75,7 @@ def test_pack_documents_round_trip(spark):
     r = random.Random(1)
     words = ["alpha", "beta", "über", "天气", "\n", "12"]
     data = [(i % 50, " ".join(r.choice(words) for _ in range(r.randint(0, 900)))) for i in range(60)]
-    data += [(None, None), (1000, ""), (1001, "word " * 30_000), (1000, "")]
+    data += [(None, None), (2**60 + 1, "wide"), (1000, ""), (1001, "word " * 30_000), (1000, "")]
     docs = spark.createDataFrame(data, "doc_id long, text string").withColumn("piece", F.lit("old"))
     packed = packing.pack_documents(docs, capacity=512).cache()
     encode = packing.encoder("byte_bpe_50k")
