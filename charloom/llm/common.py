@@ -16,6 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def discard(staged: DataFrame) -> None:
+    """Delete the folder of a staged table that nothing reads any more."""
+    jvm, conf = staged.sparkSession.sparkContext._jvm, staged.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rpartition("/")[0] for f in staged.inputFiles()}:
+        if folder.rpartition("/")[2].startswith("charloom-"):
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def word_count(text: Column) -> Column:
     """Number of words split at ASCII white space; 0 for NULL."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
