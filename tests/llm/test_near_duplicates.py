@@ -158,6 +158,23 @@ def test_links_equal_brute_force(spark, dim, bad):
     assert itq.near_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("dim", "common"), [(64, 0.0), (64, 0.69), (32, 0.0), (32, 0.5)])
+def test_links_at_the_threshold_are_met_whatever_the_vectors(spark, dim, common):
+    # Pairs of a cosine of 0.95 to 0.96 among vectors with a common direction: brute force over all.
+    r = np.random.default_rng(dim)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    x = unit(np.sqrt(1 - common) * unit(r.normal(size=(3000, dim))) + np.sqrt(common) * unit(r.normal(size=dim)))
+    away = r.normal(size=(1500, dim))
+    away = unit(away - (away * x[:1500]).sum(1, keepdims=True) * x[:1500])
+    c = r.uniform(0.9501, 0.96, size=(1500, 1))
+    x = np.concatenate([x, c * x[:1500] + np.sqrt(1 - c * c) * away])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {g["vec_id"]: g["n_links"] for g in itq.near_vectors(df).collect()}
+    link = (unit(x) @ unit(x).T >= 0.95) & ~np.eye(len(x), dtype=bool)
+    assert link.sum() >= 3000 and all(got[i] <= n for i, n in enumerate(link.sum(1)))
+    assert sum(got.values()) >= 0.995 * link.sum()
+
+
 @pytest.mark.parametrize("shard_rows", [100, 10_000])
 def test_neighbours_against_brute_force(spark, monkeypatch, shard_rows):
     monkeypatch.setattr(hnsw, "QUERY_BLOCK", 3)
