@@ -105,7 +105,10 @@ def train_ftrl(
 
 
 def train(docs: DataFrame, labels: DataFrame, *, key: str, text: str, label: str, bits: int, per_class: int) -> np.ndarray:
-    """Weights from a bounded, documented sample: features are made where the texts are, one task updates."""
+    """Weights from a bounded, documented sample: features are made where the texts are, one task updates.
+
+    Sampled rows count alike at every size; what the shares take from the ratio of the classes goes to the constant.
+    """
     sample = labelled_sample(docs, labels, label, per_class, key=key, text=text)
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -124,11 +127,13 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str, text: str, label: str
     def learn(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["index", "value", "label"])  # the same order whatever the layout
         rows = [
-            (np.frombuffer(i, "<i4").astype(np.int64), np.frombuffer(v, "<f4"), int(y), min(1 / s, 20.0))
-            for i, v, y, s in zip(part["index"], part["value"], part["label"], part["share"], strict=True)
+            (np.frombuffer(i, "<i4").astype(np.int64), np.frombuffer(v, "<f4"), int(y), 1.0)
+            for i, v, y in zip(part["index"], part["value"], part["label"], strict=True)
         ]
-        top = max((r[3] for r in rows), default=1.0)
-        w = train_ftrl([(i, v, y, s / top if top > 4 else s) for i, v, y, s in rows], bits)
+        w = train_ftrl(rows, bits)
+        share = part.groupby("label")["share"].first()
+        if {0, 1} <= set(share.index):
+            w[0] += np.log(share[0] / share[1])
         used = np.flatnonzero(w)
         return pd.DataFrame({"index": used.astype("int64"), "weight": w[used].astype("float64")})
 
@@ -157,7 +162,7 @@ def score_quality(
     A text is a sparse vector of hashed n-grams over the whole text, its score the logistic of a dot product
     with the trained weights, which are ``2**bits`` numbers and so may be broadcast. Only the text enters a
     score. Labels are learnt from keys that are not held out (``fold``; NULL keys are held out), from at most
-    about ``per_class`` documents of each class, weighted back to the class sizes.
+    about ``per_class`` documents of each class; the constant brings the sample's ratio of classes back to that of all labels.
 
     NULL, empty and blank texts get the score of the constant; without usable labels all scores are 0.5. Rows
     that repeat are scored alike; other columns do not matter. An empty table gives an empty result.

@@ -60,6 +60,30 @@ def test_labels_of_held_out_rows_do_not_teach(spark):
     assert first == second
 
 
+def test_quality_scores_depend_on_the_ratio_of_classes_and_not_on_their_size(spark, monkeypatch):
+    r = random.Random(9)
+    # Texts that do not tell the classes apart: a score is the share of the class.
+    data = [(i, " ".join(r.choice(["and", "the", "over", "river"]) for _ in range(r.randint(3, 30))), int(i % 7 == 0)) for i in range(2100)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in data], "doc_id long, quality int")
+    sampled = quality.labelled_sample
+
+    def scores(size, per_class):
+        # The same sample of classes ``size`` times as large has shares of one in ``size``.
+        def larger(*a, **k):
+            return sampled(*a, **k).withColumn("share", F.col("share") / size)
+
+        monkeypatch.setattr(quality, "labelled_sample", larger)
+        return {g["doc_id"]: g["score"] for g in quality.score_quality(docs, labels, per_class=per_class).collect()}
+
+    small, large = scores(1, 250), scores(5000, 250)
+    assert all(large[k] == pytest.approx(s, abs=1e-6) for k, s in small.items())
+    # A sample of as many rows of both classes knows that one has six times the rows of the other, log-odds of 1.8.
+    odds = lambda got: np.mean([math.log(s / (1 - s)) for s in got.values()])
+    assert odds(scores(1, 10_000)) == pytest.approx(odds(large), abs=0.6)
+    assert odds(large) < -1.2
+
+
 def test_features_are_unit_vectors_and_ftrl_learns():
     make = quality.Features(12)
     index, value = make("Aa bb bb 12")
