@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from charloom.llm import hnsw, itq, line_dedup, minhash, mixing, packing, ppm, quality, toxicity, warc
+from charloom.llm import hnsw, itq, line_dedup, minhash, mixing, packing, phrases, ppm, quality, toxicity, warc
 from charloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +96,8 @@ def op5_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_itq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return itq.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(table(spark, sf_dir, "documents").select("lang", "text"))

@@ -85,6 +85,35 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < top THEN 'rev
 FROM r
 """
 
+PHRASES = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+g AS (
+  SELECT lang, k, unnest([array_to_string(words[i:i + k - 1], ' ') FOR i IN range(1, len(words) - k + 2)]) AS gram
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS k)),
+f AS (SELECT lang, k, gram, count(*) AS f FROM g GROUP BY ALL),
+sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k AS size, gram, string_split(gram, ' ') AS words, f AS a FROM f WHERE k > 1 AND f >= 30),
+cuts AS (SELECT *, unnest(range(1, size)) AS pos FROM c),
+s AS (
+  SELECT c.lang, c.gram, c.a, c.pos, l.f AS l, r.f AS r, (2000000::HUGEINT * c.a // (l.f + r.f)::HUGEINT)::BIGINT AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.gram = array_to_string(c.words[1:c.pos], ' ')
+  JOIN f r ON r.lang = c.lang AND r.gram = array_to_string(c.words[c.pos + 1:], ' ')),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, pos) = 1),
+inside AS (
+  SELECT DISTINCT x.lang, x.gram FROM c x
+  JOIN (SELECT lang, a, size, unnest([array_to_string(words[i:i + n - 1], ' ') FOR i IN range(1, size - n + 2)]) AS part
+    FROM c, (SELECT unnest([2, 3]) AS n) WHERE n < size) y
+    ON y.lang = x.lang AND y.part = x.gram AND 100::HUGEINT * y.a >= 80::HUGEINT * x.a),
+o AS (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.gram) AS rank,
+    b.gram AS phrase, a, l, r, score
+  FROM best b ANTI JOIN inside i ON i.lang = b.lang AND i.gram = b.gram)
+SELECT o.lang, rank, phrase, a, l, r, n, score FROM o JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
 
 def all_sql() -> dict[str, str]:
-    return {"op1_warc": WARC, "op3_mix_sources": MIX, "op4_line_dedup": LINES}
+    return {"op1_warc": WARC, "op3_mix_sources": MIX, "op4_line_dedup": LINES, "op13_phrase_mining": PHRASES}
