@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from charloom.llm import hnsw, itq, line_dedup, minhash, mixing, packing, phrases, ppm, quality, toxicity, warc
+from charloom.llm import align, hnsw, itq, langcodes, line_dedup, minhash, mixing, packing, phrases, ppm, quality, toxicity, warc
 from charloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +101,13 @@ def op6_itq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.mine_phrases(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+@query
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langcodes.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
