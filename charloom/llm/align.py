@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -17,8 +17,8 @@ from charloom.llm.common import discard
 from charloom.llm.packing import encoder
 from charloom.session import stage
 
-#: Text bytes of one block of documents, and bytes of id tuples whose alignments a worker remembers.
-BLOCK_BYTES, MEMO_BYTES = 12 << 20, 24 << 20
+#: Characters of one block of documents, and windows whose alignments a worker remembers from block to block.
+BLOCK_CHARS, MEMO_WINDOWS = 4 << 20, 100_000
 BYTE_LEVEL, PIECES = "byte_bpe_50k", "piece_bpe_32k.model"
 _SPACE = "▁"
 
@@ -78,92 +78,171 @@ class Tokenizers:
             a = self.encode_a(spaced)
         b = self.pieces.encode(text)
         raw = spaced.encode("utf-8", "surrogatepass")
-        return (a, b) if self.a.spells(a, raw) and self.b.spells(b, raw) else None
+        return (a, b) if self.b.spells(b, raw) and self.a.spells(a, raw) else None
 
 
-def groups_of(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[str, int, int, Counter]:
-    """Alignment of one window: its groups spelt out, their number, the links, and how often each pair of ids is linked.
+class _Numbers(dict):
+    """Numbers for keys as they come; ``fresh`` has the keys that got one since it was last emptied."""
 
-    A group ends where a token of each side ends.
+    def __init__(self) -> None:
+        self.fresh: list = []
+
+    def __missing__(self, key):
+        n = self[key] = len(self)
+        self.fresh.append(key)
+        return n
+
+
+def _ends(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the ascending offsets ``a`` are in ``b``."""
+    return b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a
+
+
+def _counted(group: np.ndarray, ids: np.ndarray, size: int, groups: int) -> tuple[np.ndarray, ...]:
+    """Distinct ids of each group with how often it has them, and where each group's begin."""
+    both, n = np.unique(group * size + ids, return_counts=True)
+    of = both // size
+    return of, both % size, n, np.searchsorted(of, np.arange(groups + 1))
+
+
+def _spans(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers from each ``start`` on, ``n`` of them, one span after the other."""
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+@dataclass
+class Windows:
+    """Alignments of windows: groups spelt out, numbers of groups and links, and linked pairs with how often each is.
+
+    ``cuts`` has where each window's pairs begin.
     """
-    common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-    cut_a, cut_b = np.searchsorted(ends_a, common) + 1, np.searchsorted(ends_b, common) + 1
-    spelt, links, pairs = [], 0, Counter()
-    left_a = left_b = 0
-    ids_a, ids_b = a.tolist(), b.tolist()
-    for right_a, right_b in zip(cut_a.tolist(), cut_b.tolist(), strict=True):
-        one, two = ids_a[left_a:right_a], ids_b[left_b:right_b]
-        spelt.append(f"{','.join(map(str, one))}|{','.join(map(str, two))}")
-        links += len(one) * len(two)
-        times = Counter(two).items()
-        for x, n in Counter(one).items():
-            for y, m in times:
-                pairs[x << 32 | y] += n * m
-        left_a, left_b = right_a, right_b
-    return ";".join(spelt), len(spelt), links, pairs
+
+    spelt: list[str]
+    groups: np.ndarray
+    links: np.ndarray
+    cuts: np.ndarray
+    pairs: np.ndarray
+    times: np.ndarray
+
+    def __add__(self, other: Windows) -> Windows:
+        cuts = np.concatenate([self.cuts, self.cuts[-1] + other.cuts[1:]])
+        both = (np.concatenate([getattr(self, c), getattr(other, c)]) for c in ("groups", "links"))
+        return Windows(
+            self.spelt + other.spelt, *both, cuts, np.concatenate([self.pairs, other.pairs]), np.concatenate([self.times, other.times])
+        )
+
+
+def no_windows() -> Windows:
+    none = np.zeros(0, np.int64)
+    return Windows([], none, none, np.zeros(1, np.int64), none, none)
 
 
 class Aligner:
     """Windows between anchors, each aligned once and remembered by its two tuples of ids.
 
     An anchor is an offset where tokens of both sides start with a space. Both sides end a token before it, so the
-    groups of a text are those of its windows one after the other.
+    groups of a text are those of its windows one after the other. The new windows of a block are aligned side by side.
     """
 
     def __init__(self, tokenizers: Tokenizers):
         self.t = tokenizers
+        a, b = tokenizers.a.tokens, tokenizers.b.tokens
+        # An id as it is spelt before another one of its side, and at the end of its side of a group.
+        self.names = [f"{i}{end}" for n, ends in ((len(a), ",|"), (len(b), ",;")) for end in ends for i in range(n)]
+        self.width = np.array([len(n) for n in self.names], np.int64)
         self.forget()
 
     def forget(self) -> None:
-        self.memo: dict[tuple[bytes, bytes], int] = {}
-        self.bytes = 0
-        self.spelt: list[str] = []
-        self.counts: list[tuple[int, int]] = []
-        self.pairs: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
-
-    def _window(self, key: tuple[bytes, bytes]) -> int:
-        a, b = np.frombuffer(key[0], np.int32), np.frombuffer(key[1], np.int32)
-        spelt, groups, links, pairs = groups_of(a, b, np.cumsum(self.t.a.length[a]), np.cumsum(self.t.b.length[b]))
-        self.spelt.append(spelt)
-        self.counts.append((groups, links))
-        self.pairs.append(np.fromiter(pairs, np.int64, len(pairs)))
-        self.times.append(np.fromiter(pairs.values(), np.int64, len(pairs)))
-        self.bytes += len(key[0]) + len(key[1])
-        self.memo[key] = len(self.spelt) - 1
-        return len(self.spelt) - 1
-
-    def __call__(self, text: str | None) -> tuple[int, int, int, int, str, np.ndarray, np.ndarray]:
-        """``(n_a, n_b, n_groups, n_links, sha256, pairs, times)`` of a text; pairs are distinct and in order."""
+        self.memo = _Numbers()
+        self.windows = no_windows()
+
+    def align(self, keys: list[bytes]) -> Windows:
+        """Alignments of windows, given as the ids of side A and then those of side B, which count on from A's."""
+        if not keys:
+            return no_windows()
+        size_a, size_b = len(self.t.a.tokens), len(self.t.b.tokens)
+        ids = np.frombuffer(b"".join(keys), np.int32).astype(np.int64)
+        side_b = ids >= size_a
+        window = np.repeat(np.arange(len(keys)), [len(k) >> 2 for k in keys])
+        a, b, window = ids[~side_b], ids[side_b] - size_a, window[~side_b]
+        end_a, end_b = np.cumsum(self.t.a.length[a]), np.cumsum(self.t.b.length[b])
+        # A group ends where both sides do; the end of a window is such a place.
+        last_a, last_b = _ends(end_a, end_b), _ends(end_b, end_a)
+        of_a, of_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        groups = int(last_a.sum())
+        window = window[last_a]
+        n_a, n_b = np.bincount(of_a, minlength=groups), np.bincount(of_b, minlength=groups)
+        # Ids in the order in which they are spelt: side A of a group, then side B.
+        name = np.empty(len(a) + len(b), np.int64)
+        name[np.arange(len(a)) + (np.cumsum(n_b) - n_b)[of_a]] = a + size_a * last_a
+        name[np.arange(len(b)) + np.cumsum(n_a)[of_b]] = 2 * size_a + b + size_b * last_b
+        spelt = "".join(map(self.names.__getitem__, name.tolist()))
+        tokens = np.bincount(window, n_a + n_b, len(keys)).astype(np.int64)
+        upto = np.concatenate([[0], np.cumsum(self.width[name])])[np.concatenate([[0], np.cumsum(tokens)])].tolist()
+        # Distinct ids first, so that a long group of few ids gives few pairs.
+        group, x, k, _ = _counted(of_a, a, size_a, groups)
+        _, y, m, starts = _counted(of_b, b, size_b, groups)
+        n = (starts[1:] - starts[:-1])[group]
+        other = _spans(starts[group], n)
+        sizes = np.bincount(window[group], n, len(keys)).astype(np.int64)
+        return Windows(
+            [spelt[i : j - 1] for i, j in zip(upto, upto[1:], strict=False)],
+            np.bincount(window, minlength=len(keys)),
+            np.bincount(window, n_a * n_b, len(keys)).astype(np.int64),
+            np.concatenate([[0], np.cumsum(sizes)]),
+            np.repeat(x, n) << 32 | y[other],
+            np.repeat(k, n) * m[other],
+        )
+
+    def cut(self, text: str | None) -> tuple[int, int, list[int]]:
+        """Tokens of either side, and the numbers of the windows of a text."""
         found = self.t(text)
         if found is None:
-            return 0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return 0, 0, []
         a, b = np.array(found[0], np.int32), np.array(found[1], np.int32)
         start_a, start_b = (np.cumsum(v.length[x]) - v.length[x] for v, x in ((self.t.a, a), (self.t.b, b)))
-        anchors = np.intersect1d(start_a[self.t.a.marked[a]], start_b[self.t.b.marked[b]], assume_unique=True)
-        raw_a, raw_b = a.tobytes(), b.tobytes()
-        # Byte offsets of the windows in the two tuples of ids; the first token starts with the space of the text.
-        at_a = [*(4 * np.searchsorted(start_a, anchors)).tolist(), len(raw_a)]
-        at_b = [*(4 * np.searchsorted(start_b, anchors)).tolist(), len(raw_b)]
-        keys = zip([raw_a[i:j] for i, j in zip(at_a, at_a[1:], strict=False)], [raw_b[i:j] for i, j in zip(at_b, at_b[1:], strict=False)], strict=True)
-        known, window = self.memo.get, self._window
-        numbers = [n if (n := known(key)) is not None else window(key) for key in keys]
-        distinct, often = np.unique(np.array(numbers), return_counts=True)
-        parts = [self.pairs[n] for n in distinct.tolist()]
-        times = np.concatenate([self.times[n] for n in distinct.tolist()]) * np.repeat(often, [len(p) for p in parts])
-        pairs, place = np.unique(np.concatenate(parts), return_inverse=True)
-        groups = links = 0
-        for n, k in zip(distinct.tolist(), often.tolist(), strict=True):
-            groups += self.counts[n][0] * k
-            links += self.counts[n][1] * k
-        digest = hashlib.sha256(";".join(map(self.spelt.__getitem__, numbers)).encode()).hexdigest()
-        return len(a), len(b), groups, links, digest, pairs, np.bincount(place, times, len(pairs)).astype(np.int64)
+        at_a, at_b = np.flatnonzero(self.t.a.marked[a]), np.flatnonzero(self.t.b.marked[b])
+        shared_a, shared_b = _ends(start_a[at_a], start_b[at_b]), _ends(start_b[at_b], start_a[at_a])
+        # The first token of either side starts with the space before the text, so the first anchor is 0.
+        from_a, from_b = (np.append(at[shared], size) for at, shared, size in ((at_a, shared_a, len(a)), (at_b, shared_b, len(b))))
+        ids = np.empty(len(a) + len(b), np.int32)
+        ids[np.arange(len(a)) + np.repeat(from_b[:-1], np.diff(from_a))] = a
+        ids[np.arange(len(b)) + np.repeat(from_a[1:], np.diff(from_b))] = b + len(self.t.a.tokens)
+        raw, cuts = ids.tobytes(), (4 * (from_a + from_b)).tolist()
+        keys = [raw[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
+        return len(a), len(b), list(map(self.memo.__getitem__, keys))
+
+    def __call__(self, texts: list[str | None]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
+        """``(n_a, n_b, n_groups, n_links, sha256, at, times)`` of each text of a block, its distinct pairs, and how many
+        texts hold each; ``at`` are places in that list."""
+        if len(self.memo) > MEMO_WINDOWS:
+            self.forget()
+        found = [self.cut(t) for t in texts]
+        self.windows += self.align(self.memo.fresh)
+        self.memo.fresh = []
+        w = self.windows
+        numbers = np.array([n for f in found for n in f[2]], np.int64)
+        text = np.repeat(np.arange(len(texts)), [len(f[2]) for f in found])
+        groups, links = (np.bincount(text, c[numbers], len(texts)).astype(np.int64).tolist() for c in (w.groups, w.links))
+        listed, place = np.unique(w.pairs, return_inverse=True)
+        n = (w.cuts[1:] - w.cuts[:-1])[numbers]
+        entry = _spans(w.cuts[numbers], n)
+        own, at = np.unique(np.repeat(text, n) * len(listed) + place[entry], return_inverse=True)
+        times = np.bincount(at, w.times[entry], len(own)).astype(np.int64)
+        of, pair = np.divmod(own, max(1, len(listed)))
+        used, pair = np.unique(pair, return_inverse=True)
+        cuts = np.searchsorted(of, np.arange(len(texts) + 1)).tolist()
+        rows = []
+        for (a, b, windows), g, k, i, j in zip(found, groups, links, cuts, cuts[1:], strict=False):
+            digest = hashlib.sha256(";".join(map(w.spelt.__getitem__, windows)).encode()).hexdigest() if windows else ""
+            rows.append((a, b, g, k, digest, pair[i:j].astype(np.int32), times[i:j]))
+        return rows, listed[used], np.bincount(pair, minlength=len(used))
 
 
 _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
-def aligned_blocks(docs: DataFrame, key: str, text: str, block_bytes: int, tokenizers: dict) -> DataFrame:
+def aligned_blocks(docs: DataFrame, key: str, text: str, block_chars: int, tokenizers: dict) -> DataFrame:
     """Rows of documents and of their blocks.
 
     A document has its digest, and its pairs as places in its block's list (``at``, ``times``). The row of a block,
@@ -172,29 +251,24 @@ def aligned_blocks(docs: DataFrame, key: str, text: str, block_bytes: int, token
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, number, size = TaskContext.get().partitionId(), 0, 0
-        align, held = Aligner(Tokenizers(**tokenizers)), []
+        align, keys, texts = Aligner(Tokenizers(**tokenizers)), [], []
 
         def frame() -> pd.DataFrame:
             name = f"{part}-{number}"
-            listed, place = np.unique(np.concatenate([np.zeros(0, np.int64), *[h[6] for h in held]]), return_inverse=True)
-            cuts = np.cumsum([0, *[len(h[6]) for h in held]])
-            rows = [
-                (name, h[0], *h[1:6], place[i:j].astype(np.int32), h[7], None, None)
-                for h, i, j in zip(held, cuts, cuts[1:], strict=False)
-            ]
-            rows.append((name, None, 0, 0, 0, 0, None, None, None, listed, np.bincount(place, minlength=len(listed))))
+            found, listed, holding = align(texts)
+            rows = [(name, k, *f, None, None) for k, f in zip(keys, found, strict=True)]
+            rows.append((name, None, 0, 0, 0, 0, None, None, None, listed, holding))
             return pd.DataFrame(rows, columns=names)
 
         for batch in batches:
             for k, body in zip(batch[key], batch["_text"], strict=True):
-                held.append((k, *align(body)))
+                keys.append(k)
+                texts.append(body)
                 size += len(body or "") + 64
-                if size >= block_bytes:
+                if size >= block_chars:
                     yield frame()
-                    held, size, number = [], 0, number + 1
-                    if align.bytes > MEMO_BYTES:
-                        align.forget()
-        if held:
+                    keys, texts, size, number = [], [], 0, number + 1
+        if keys:
             yield frame()
 
     names = ["block", key, *_COUNTS, "groups_sha256", "at", "times", "pairs", "holding"]
@@ -208,7 +282,7 @@ def aligned_blocks(docs: DataFrame, key: str, text: str, block_bytes: int, token
 
 
 def align_tokens(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES, **tokenizers: str
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", block_chars: int = BLOCK_CHARS, **tokenizers: str
 ) -> DataFrame:
     """How the tokens of a byte-level vocabulary (A) and of a piece vocabulary (B) cover each whole text.
 
@@ -227,7 +301,7 @@ def align_tokens(
     matter. An empty table gives an empty result.
     """
     kind = docs.schema[key].dataType
-    blocks = stage(aligned_blocks(docs, key, text, block_bytes, tokenizers), "aligned")
+    blocks = stage(aligned_blocks(docs, key, text, block_chars, tokenizers), "aligned")
     held = blocks.where(F.col("groups_sha256").isNull()).select(
         "block", F.posexplode(F.arrays_zip("pairs", "holding")).alias("place", "p")
     )

@@ -66,13 +66,13 @@ def plain(rows):
     return out
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 30, 500])
-def test_alignment_equals_a_plain_version(spark, block_bytes, monkeypatch):
-    monkeypatch.setattr(align, "MEMO_BYTES", block_bytes >> 3)
+@pytest.mark.parametrize("block_chars", [1 << 30, 500])
+def test_alignment_equals_a_plain_version(spark, block_chars, monkeypatch):
+    monkeypatch.setattr(align, "MEMO_WINDOWS", block_chars >> 3)
     rows = texts()
     keys = [2**60 + i if i % 7 else None for i in range(len(rows))]
     df = spark.createDataFrame(list(zip(keys, rows, range(len(rows)), strict=True)), "doc_id long, text string, block int")
-    got = align.align_tokens(df.repartition(3), block_bytes=block_bytes).collect()
+    got = align.align_tokens(df.repartition(3), block_chars=block_chars).collect()
     names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     assert sorted(((g["doc_id"] or 0), *[g[c] for c in names]) for g in got) == sorted(
         (k or 0, *w) for k, w in zip(keys, plain(rows), strict=True)
@@ -88,13 +88,16 @@ def test_empty_table(spark):
 
 def test_windows_join_to_the_groups_of_the_whole_text():
     t = align.Tokenizers()
-    one = align.Aligner(t)
-    for text in texts():
-        if t(text) is None:
-            continue
-        a, b = (align.np.array(x, align.np.int32) for x in t(text))
-        spelt, groups, links, pairs = align.groups_of(a, b, align.np.cumsum(t.a.length[a]), align.np.cumsum(t.b.length[b]))
-        got = one(text)
-        assert got[2:4] == (groups, links) and got[4] == hashlib.sha256(spelt.encode()).hexdigest()
-        assert dict(zip(got[5].tolist(), got[6].tolist())) == dict(pairs)
-    assert len(one.memo) < sum(len(x.split(" ")) for x in texts() if x)
+    cut, rows = align.Aligner(t), [x for x in texts() if t(x)]
+    found, listed, holding = cut(rows)
+    for text, (_, _, groups, links, digest, at, times) in zip(rows, found, strict=True):
+        a, b = t(text)
+        whole = align.Aligner(t).align([align.np.array([*a, *(x + len(t.a.tokens) for x in b)], align.np.int32).tobytes()])
+        assert (groups, links) == (whole.groups[0], whole.links[0])
+        assert digest == hashlib.sha256(whole.spelt[0].encode()).hexdigest()
+        want = Counter()
+        for p, n in zip(whole.pairs.tolist(), whole.times.tolist(), strict=True):
+            want[p] += n
+        assert dict(zip(listed[at].tolist(), times.tolist(), strict=True)) == want
+    assert holding.sum() == sum(len(f[5]) for f in found)
+    assert len(cut.memo) < sum(len(x.split(" ")) for x in rows)
