@@ -52,6 +52,16 @@ def counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s[at], np.diff(np.append(at, len(s)))
 
 
+def placed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and the place of each value among them."""
+    order = np.argsort(values, kind="stable")
+    s = values[order]
+    fresh = np.concatenate([[True], s[1:] != s[:-1]]) if len(s) else np.zeros(0, bool)
+    place = np.empty(len(s), np.int64)
+    place[order] = np.cumsum(fresh) - 1
+    return s[fresh], place
+
+
 def tokens(text: bytes) -> list[bytes]:
     """Words without ASCII white space, A-Z lower-cased, and the end as the empty word."""
     return [*text.lower().split(), b""]
@@ -293,26 +303,22 @@ def score_texts(
 
     def run(block: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
         texts = _bytes(block["text"])
-        grams = counted(windows(texts, order)[0])[0]
+        seen, starts = windows(texts, order)
+        grams, place = placed(seen)
         of, lp = parts_of_grams(grams, parts), np.zeros(len(grams))
-        named = parts_of_words({w for t in texts for w in tokens(t)}, parts)
+        split = [tokens(t) for t in texts]
+        named = parts_of_words(set().union(*split), parts)
         counts: dict[bytes, int] = {}
         for p, lengths, numbers in zip(table["part"], table["lengths"], table["counts"], strict=True):
             lp[of == p] = unpack_numbers(lengths, "<f4")
             counts.update(zip(named[p], unpack_numbers(numbers, "<i8").tolist(), strict=True))
-        rows = []
-        for t in texts:
-            w, _ = windows([t], order)
-            c = np.fromiter(map(counts.__getitem__, tokens(t)), np.float64)
-            rows.append(
-                (
-                    len(c),
-                    int((c > 0).sum()),
-                    float(np.log10((c + 1) / (total + distinct + 1)).sum()),
-                    float(lp[np.searchsorted(grams, w)].sum()),
-                )
-            )
-        n, k, base, score = zip(*rows, strict=True)
+        n = np.array([len(x) for x in split])
+        c = np.fromiter((counts[w] for x in split for w in x), np.float64, n.sum())
+        # Each text has its end as a word and as a symbol, so no run below is empty.
+        first = np.cumsum(n) - n
+        k = np.add.reduceat(c > 0, first, dtype=np.int64)
+        base = np.add.reduceat(np.log10((c + 1) / (total + distinct + 1)), first)
+        score = np.add.reduceat(lp[place], starts)
         return pd.DataFrame(
             {
                 key: block[key],
