@@ -25,7 +25,7 @@ _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 def shape(word: str) -> str:
     """The form of a word: runs of upper case, lower case and digits as X, x, 0; other characters stay."""
-    out = "".join("X" if c.isupper() else "x" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64])
+    out = "".join("X" if c.isupper() else "x" if c.isalpha() else "0" if c.isdigit() else c for c in word)
     return _RUNS.sub(r"\1", out)
 
 
