@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from charloom.functions import hooks
 from charloom.functions import predicates as P
 from charloom.functions import text as T
-from charloom.operators import corpus, holdout, langid, ngrams, predict, quotas, scoring
+from charloom.operators import corpus, holdout, langid, ngrams, predict, quotas, scoring, smoothing
 from charloom.operators.positions import with_rank
 from charloom.plans import corpora, modelling
 from charloom.session import dealt, stage, staging_path
@@ -28,6 +28,7 @@ LANGS = ["en", "es", "fr", "de"]
 TOPIC_WORDS = ["module", "payload", "telemetry", "oxygen", "airlock", "retion", "belich", "thatin"]
 MAX_TOTAL = 390
 SHARD_TOTAL = 42
+LEARNING_ROUNDS = 5
 PAIRS = {"en-es": ("en", "es"), "fr-de": ("fr", "de")}
 
 _QUERIES: dict[str, Query] = {}
@@ -610,6 +611,29 @@ def ngram_probs_backoff(spark, sf):
     return _probs(spark, sf, "backoff")
 
 
+@query
+def ngram_probs_kneser_ney(spark, sf):
+    """Seen grams of three characters under modified Kneser-Ney smoothing."""
+    counts = model_counts(spark, sf, 3)
+    model = smoothing.kneser_ney(counts, 3)
+    probs = smoothing.kneser_ney_probs(model, counts.where(F.length("g") == 3))
+    return probs.select("g", F.round("p", 6).alias("p"))
+
+
+def learnt_weights(spark, sf, counts):
+    """Weights of the orders, learnt on the benchmark texts in a set number of rounds."""
+    held = ngrams.full_gram_counts(table(spark, sf, "benchmark"), 3)
+    return smoothing.deleted_interpolation(held, counts, 3, rounds=LEARNING_ROUNDS, tolerance=-1)
+
+
+@query
+def interpolation_weights(spark, sf):
+    """Learnt weight of each order (0: uniform) per bucket of evidence."""
+    learnt = learnt_weights(spark, sf, model_counts(spark, sf, 3)).weights
+    rows = [(b, o, w) for b, each in sorted(learnt.items()) for o, w in enumerate(each)]
+    return spark.createDataFrame(rows, "bucket int, o int, weight double").withColumn("weight", F.round("weight", 6))
+
+
 @query
 def cross_entropy(spark, sf):
     """Loss of the benchmark texts under the model of the documents."""
@@ -935,5 +959,25 @@ def perplexity(spark, sf):
     probs = ngrams.ngram_probs(
         counts, 3, ngrams.vocabulary_size(counts), "interp", queries=held
     )
+    return _role_perplexity(held, probs)
+
+
+def _role_perplexity(held, probs):
     rows = ngrams.perplexity(ngrams.cross_entropy(held.join(probs, "g", "left"), ["role"]))
     return rows.select("role", "n", F.round("loss", 6).alias("loss"), F.round("ppl", 5).alias("ppl"))
+
+
+@query
+def perplexity_kneser_ney(spark, sf):
+    """The same under modified Kneser-Ney smoothing."""
+    model = smoothing.kneser_ney(model_counts(spark, sf, 3), 3)
+    held = stage(ngrams.full_gram_counts(table(spark, sf, "conversations"), 3, by=["role"]), "heldout")
+    return _role_perplexity(held, smoothing.kneser_ney_probs(model, held))
+
+
+@query
+def perplexity_learnt_weights(spark, sf):
+    """The same under interpolation with weights learnt on the benchmark texts."""
+    counts = model_counts(spark, sf, 3)
+    held = stage(ngrams.full_gram_counts(table(spark, sf, "conversations"), 3, by=["role"]), "heldout")
+    return _role_perplexity(held, smoothing.interpolated_probs(counts, 3, learnt_weights(spark, sf, counts), held))

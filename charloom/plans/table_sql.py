@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from charloom.functions.text import WS_RANGES
-from charloom.plans.table_queries import MAX_TOTAL, SHARD_TOTAL, TOPIC_WORDS
+from charloom.plans.table_queries import LEARNING_ROUNDS, MAX_TOTAL, SHARD_TOTAL, TOPIC_WORDS
 
 WS = f"[{WS_RANGES}]"
 LANG_RANK = "CASE lang WHEN 'en' THEN 0 WHEN 'es' THEN 1 WHEN 'fr' THEN 2 WHEN 'de' THEN 3 END"
@@ -212,12 +212,75 @@ ev3 AS (SELECT *, CASE WHEN length(g) = 3 AND t3 > 0 THEN 0.7::DOUBLE * c3 / t3
       ELSE (c3 + 1)::DOUBLE / (t3 + v) END AS addk FROM ev2)"""
 
 
+def kneser_ney(held: str) -> str:
+    """``kn_p(..., p)`` for the grams of ``{held}(g, ...)`` under ``model`` by modified Kneser-Ney smoothing."""
+    t = ", ".join(f"(count(*) FILTER (a = {j}))::DOUBLE AS t{j}" for j in (1, 2, 3, 4))
+    d = ", ".join(
+        f"least(greatest(CASE WHEN t{j} > 0 THEN {j} - {j + 1} * y * t{j + 1} / t{j} ELSE y END, 0), {j}) AS d{j}" for j in (1, 2, 3)
+    )
+    return f"""
+kn_g AS (SELECT ctx || ch AS g, ctx, length(ctx) + 1 AS o, cnt FROM model),
+kn_l AS (SELECT substr(g, 2) AS s, count(*) AS lefts, sum(cnt) AS inside FROM kn_g WHERE o > 1 GROUP BY ALL),
+kn_a AS (SELECT g, ctx, o, CASE WHEN o = 3 THEN cnt ELSE coalesce(lefts, 0) + (cnt > coalesce(inside, 0))::INT END AS a
+  FROM kn_g LEFT JOIN kn_l ON s = g),
+kn_t AS (SELECT o, {t} FROM kn_a GROUP BY o),
+kn_d AS (SELECT o, {d} FROM (SELECT *, CASE WHEN t1 > 0 THEN t1 / (t1 + 2 * t2) ELSE 0.5::DOUBLE END AS y FROM kn_t)),
+kn_m AS (SELECT g, ctx, a, CASE WHEN a = 1 THEN d1 WHEN a = 2 THEN d2 ELSE d3 END AS d FROM kn_a JOIN kn_d USING (o)),
+kn_c AS (SELECT ctx, sum(a)::DOUBLE AS total, sum(d) / sum(a)::DOUBLE AS back FROM kn_m GROUP BY ctx),
+kn AS (SELECT g, (a - d) / total AS own FROM kn_m JOIN kn_c USING (ctx)),
+kn_e AS (SELECT h.*, (SELECT count(*) FROM model WHERE ctx = '')::DOUBLE AS v,
+    k1.own AS o1, k2.own AS o2, k3.own AS o3, (SELECT back FROM kn_c WHERE ctx = '') AS b1, b2.back AS b2, b3.back AS b3
+  FROM {held} h LEFT JOIN kn k1 ON k1.g = right(h.g, 1)
+  LEFT JOIN kn k2 ON length(h.g) >= 2 AND k2.g = right(h.g, 2)
+  LEFT JOIN kn_c b2 ON length(h.g) >= 2 AND b2.ctx = substr(h.g, length(h.g) - 1, 1)
+  LEFT JOIN kn k3 ON length(h.g) = 3 AND k3.g = h.g
+  LEFT JOIN kn_c b3 ON length(h.g) = 3 AND b3.ctx = substr(h.g, 1, 2)),
+kn_p AS (SELECT *, coalesce(o3, 0) + coalesce(b3, 1) * (coalesce(o2, 0) + coalesce(b2, 1) * (coalesce(o1, 0) + b1 / v)) AS p
+  FROM kn_e)"""
+
+
+def parts(name: str, src: str) -> str:
+    """``{name}`` with what each order says of a gram (``q0 .. q3``) and the gram's bucket, from evidence rows ``{src}``."""
+    return f"""
+{name}_1 AS (SELECT *, 1 / v::DOUBLE AS q0, c1 / t1::DOUBLE AS q1 FROM {src}),
+{name}_2 AS (SELECT *, CASE WHEN length(g) >= 2 AND t2 > 0 THEN c2 / t2::DOUBLE ELSE q1 END AS q2 FROM {name}_1),
+{name} AS (SELECT *, CASE WHEN length(g) = 3 AND t3 > 0 THEN c3 / t3::DOUBLE ELSE q2 END AS q3,
+  CASE WHEN length(g) = 3 AND t3 > 0 THEN length(t3::VARCHAR) ELSE 0 END AS bucket FROM {name}_2)"""
+
+
+MIXED = "a0 * q0 + a1 * q1 + a2 * q2 + a3 * q3"
+
+
+def learnt_weights(name: str, src: str) -> str:
+    """``{name}(bucket, a0 .. a3)`` after the set rounds of expectation-maximisation over ``{src}(cnt, q0 .., bucket)``."""
+    equal = ", ".join(f"0.25::DOUBLE AS a{o}" for o in range(4))
+    rounds = [f"{name}_0 AS (SELECT DISTINCT bucket, {equal} FROM {src})"]
+    for r in range(1, LEARNING_ROUNDS + 1):
+        shares = ", ".join(f"sum(cnt * a{o} * q{o} / p) / sum(cnt)::DOUBLE AS a{o}" for o in range(4))
+        out = name if r == LEARNING_ROUNDS else f"{name}_{r}"
+        rounds.append(f"""{out} AS MATERIALIZED (SELECT bucket, {shares}
+  FROM (SELECT *, {MIXED} AS p FROM {src} JOIN {name}_{r - 1} USING (bucket)) GROUP BY bucket)""")
+    return ",\n".join(rounds)
+
+
 def full_grams(name: str, pos: str, keep: str = "") -> str:
     k = f"{keep}, " if keep else ""
     return f"""
 {name} AS (SELECT {k}coalesce(p2, '') || coalesce(p1, '') || ch AS g, count(*) AS cnt FROM {pos} GROUP BY ALL)"""
 
 
+BENCHMARK_GRAMS = f"""{DOCUMENT_MODEL}, held_src AS (SELECT item_id AS id, text AS t FROM benchmark),
+{chars("held_pos", "held_src")}, {full_grams("held", "held_pos")}"""
+
+CONVERSATION_GRAMS = f"""
+held_src AS (SELECT row_number() OVER () AS id, role, text AS t FROM conversations),
+{chars("held_pos", "held_src", "role")}, {full_grams("held", "held_pos", "role")}"""
+
+ROLE_PERPLEXITY = """SELECT role, n, round(loss, 6) AS loss,
+  round(CASE WHEN loss < 50 THEN exp(loss) ELSE 'inf'::DOUBLE END, 5) AS ppl FROM losses"""
+
+CONVERSATION_EVIDENCE = f"WITH {CONVERSATION_GRAMS}, {evidence('held', 'model')} SELECT * FROM ev"
+
 def quota_sql(rows: str, q: int, total: int, cols: str, text: str = "text") -> str:
     """``cols`` of the first ``q`` rows per language, cut to ``total`` in language order."""
     return f"""
@@ -430,6 +493,23 @@ def all_sql() -> dict[str, str]:
         "ngram_probs_backoff": f"""WITH {DOCUMENT_MODEL},
           q AS (SELECT ctx || ch AS g FROM model WHERE length(ctx) = 2), {evidence("q", "model")}
           SELECT g, round(backoff, 6) AS p FROM ev3""",
+        "ngram_probs_kneser_ney": f"""WITH {DOCUMENT_MODEL},
+          q AS (SELECT ctx || ch AS g FROM model WHERE length(ctx) = 2), {kneser_ney("q")}
+          SELECT g, round(p, 6) AS p FROM kn_p""",
+        "interpolation_weights": f"""WITH {BENCHMARK_GRAMS}, {evidence("held", "model")}, {parts("em", "ev")},
+          {learnt_weights("w", "em")}
+          SELECT bucket::INTEGER AS bucket, o::INTEGER AS o, round([a0, a1, a2, a3][o + 1], 6) AS weight
+          FROM w, (SELECT unnest([0, 1, 2, 3]) AS o)""",
+        "perplexity_kneser_ney": f"""WITH {DOCUMENT_MODEL}, {CONVERSATION_GRAMS}, {kneser_ney("held")},
+          losses AS (SELECT role, sum(cnt)::BIGINT AS n, sum(-ln(p) * cnt) / sum(cnt) AS loss FROM kn_p GROUP BY role)
+          {ROLE_PERPLEXITY}""",
+        "perplexity_learnt_weights": f"""WITH {BENCHMARK_GRAMS}, {evidence("held", "model")}, {parts("em", "ev")},
+          {learnt_weights("w", "em")},
+          asked AS ({CONVERSATION_EVIDENCE}), {parts("told", "asked")},
+          mixed AS (SELECT role, cnt, CASE WHEN a0 IS NULL THEN (q0 + q1 + q2 + q3) / 4 ELSE {MIXED} END AS p
+            FROM told LEFT JOIN w USING (bucket)),
+          losses AS (SELECT role, sum(cnt)::BIGINT AS n, sum(-ln(p) * cnt) / sum(cnt) AS loss FROM mixed GROUP BY role)
+          {ROLE_PERPLEXITY}""",
         "cross_entropy": f"""WITH {DOCUMENT_MODEL}, held_src AS (SELECT item_id AS id, text AS t FROM benchmark),
           {chars("held_pos", "held_src")}, {full_grams("held", "held_pos")}, {evidence("held", "model")}
           SELECT sum(cnt)::BIGINT AS n, round(sum(-ln(interp) * cnt) / sum(cnt), 6) AS loss FROM ev3""",
