@@ -6,7 +6,7 @@ sums do not depend on the order of addition, so a score is the same on any clust
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,6 +22,8 @@ GRAM = 3
 SCALE = 1000
 #: Rows of a profile table that may be sent to every executor, about 40 bytes each for four languages.
 SHARED_GRAMS = 1_000_000
+#: Characters that are looked up at a time.
+RUN_CHARS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -69,16 +71,48 @@ def train_language_profiles(
     return LanguageProfiles(known, table, table.count())
 
 
-def _codes(text: str) -> np.ndarray:
-    """The trigrams of a text as integers."""
-    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+def _codes(points: np.ndarray) -> np.ndarray:
+    """The trigrams of a run of code points as integers."""
+    c = points.astype(np.int64)
     return (c[:-2] << 42) | (c[1:-1] << 21) | c[2:] if len(c) >= GRAM else np.zeros(0, np.int64)
 
 
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def _runs(texts: list[str | None]) -> Iterator[list[str]]:
+    """The texts in runs of about ``RUN_CHARS`` characters; a NULL text is an empty one."""
+    run, size = [], 0
+    for t in texts:
+        run.append(t or "")
+        size += len(run[-1])
+        if size >= RUN_CHARS:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
+def _gains(texts: list[str], known: np.ndarray, gains: np.ndarray) -> np.ndarray:
+    """Summed weights of each text's trigrams, a column per language: one look-up for all texts."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    codes = _codes(_points("".join(texts)))
+    start = np.cumsum(sizes) - sizes
+    end = np.maximum(start, start + sizes - GRAM + 1)  # trigrams that reach into the next text are left out
+    if not len(codes) or not len(known):
+        return np.zeros((len(texts), gains.shape[1]), np.int64)
+    at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+    found = np.where((known[at] == codes)[:, None], gains[at], 0)
+    upto = np.concatenate([np.zeros((1, found.shape[1]), np.int64), np.cumsum(found, axis=0)])
+    # The last texts may be shorter than a trigram and start beyond the last one.
+    return upto[np.minimum(end, len(codes))] - upto[np.minimum(start, len(codes))]
+
+
 def _scored(profiles: LanguageProfiles, text: Column) -> Column:
     """``(n_grams, detected)`` of a text where it stands; for profiles that may be sent to every executor."""
     rows = profiles.table.toPandas()  # at most SHARED_GRAMS rows
-    codes = np.array([_codes(g)[0] for g in rows["g"]], dtype=np.int64)
+    codes = np.array([_codes(_points(g))[0] for g in rows["g"]], dtype=np.int64)
     order = np.argsort(codes)
     weights = rows[[f"w{i}" for i in range(len(profiles.langs))]].to_numpy(np.int64)[order]
     shared = profiles.table.sparkSession.sparkContext.broadcast((codes[order], weights, profiles.langs))
@@ -86,45 +120,50 @@ def _scored(profiles: LanguageProfiles, text: Column) -> Column:
     @F.pandas_udf("n_grams bigint, detected string")
     def score(texts: pd.Series) -> pd.DataFrame:
         known, gains, langs = shared.value
-        out = []
-        for t in texts:
-            grams = _codes(t) if t else _codes("")
-            at = np.minimum(np.searchsorted(known, grams), max(0, len(known) - 1))
-            total = gains[at[known[at] == grams]].sum(0) if len(known) and len(grams) else np.zeros(0)
-            best = int(total.argmax()) if len(total) and total.max() > 0 else None
-            out.append((len(grams), None if best is None else langs[best]))
+        out: list[tuple[int, str | None]] = []
+        for run in _runs(texts.tolist()):
+            total = _gains(run, known, gains)
+            best = total.argmax(1) if len(langs) else np.zeros(len(run), int)
+            for t, k, row in zip(run, best.tolist(), total, strict=True):
+                out.append((max(0, len(t) - GRAM + 1), langs[k] if len(langs) and row[k] > 0 else None))
         return pd.DataFrame(out, columns=["n_grams", "detected"])
 
     return score(strip_ws(text))
 
 
-def _joined_scores(df: DataFrame, profiles: LanguageProfiles, keys: Sequence[str], text: str) -> DataFrame:
-    """The same by joins, for profiles of any size: ``(keys, n_grams, detected)``."""
-    runs = char_windows(df, GRAM, strip_ws(F.col(text)), keys)
-    grams = runs.select(*keys, joined(0, GRAM).alias("g"))
+def _joined_scores(rows: DataFrame, profiles: LanguageProfiles, text: str) -> DataFrame:
+    """The same by joins, for profiles of any size: ``(_row, n_grams, detected)`` of rows numbered by ``_row``."""
+    runs = char_windows(rows, GRAM, strip_ws(F.col(text)), ["_row"])
+    grams = runs.select("_row", joined(0, GRAM).alias("g"))
     weights = [f"w{i}" for i in range(len(profiles.langs))]
     folded = (
         grams.join(profiles.table, "g", "left")
-        .groupBy(*keys)
+        .groupBy("_row")
         .agg(F.count(F.lit(1)).alias("n_grams"), *[F.coalesce(F.sum(w), F.lit(0)).alias(w) for w in weights])
     )
     best = F.greatest(*weights, F.lit(0)) if weights else F.lit(0)
     won = [F.when((F.col(w) == best) & (best > 0), F.lit(x)) for w, x in zip(weights, profiles.langs, strict=True)]
-    return folded.select(*keys, "n_grams", F.coalesce(*won, F.lit(None).cast("string")).alias("detected"))
+    return folded.select("_row", "n_grams", F.coalesce(*won, F.lit(None).cast("string")).alias("detected"))
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """Staged with a number of its own per row, so that rows of one key are scored one by one."""
+    return stage(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
 
 
 def detect_language(
     df: DataFrame, profiles: LanguageProfiles, key: str | Sequence[str], text: str = "text"
 ) -> DataFrame:
-    """``(key, n_grams, detected)`` for the texts that have a trigram; ``key`` is one unique column or several.
+    """``(key, n_grams, detected)`` for the texts that have a trigram, row by row; ``key`` is one column or several.
 
-    Ties go to the first language; a text without a known trigram has none. Profiles are bounded by the
-    alphabets and not by the corpus; up to ``SHARED_GRAMS`` they go to the executors and a text is scored in
-    its scan task, without an exchange. Larger ones meet the trigrams in a join.
+    Ties go to the first language; a text without a known trigram has none. Profiles follow the alphabets and not the
+    length of the corpus; a profile of at most ``SHARED_GRAMS`` trigrams goes to the executors and a text is scored in
+    its scan task, without an exchange. A larger one is no broadcast and meets the trigrams in a join; answers are the same.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if profiles.rows > SHARED_GRAMS:
-        return _joined_scores(df, profiles, keys, text)
+        rows = _numbered(df.select(*keys, text))
+        return rows.join(_joined_scores(rows, profiles, text), "_row").select(*keys, "n_grams", "detected")
     scored = df.select(*keys, _scored(profiles, F.col(text)).alias("_s"))
     return scored.select(*keys, "_s.n_grams", "_s.detected").where("n_grams > 0")
 
@@ -132,8 +171,8 @@ def detect_language(
 def with_detected_language(
     df: DataFrame, profiles: LanguageProfiles, key: str | Sequence[str], text: str = "text"
 ) -> DataFrame:
-    """Add ``detected``; NULL for texts under three characters. Only large profiles need the unique key."""
+    """Add ``detected``; NULL for texts under three characters. Rows are scored one by one, also those that share a ``key``."""
     if profiles.rows > SHARED_GRAMS:
-        keys = [key] if isinstance(key, str) else list(key)
-        return df.join(_joined_scores(df, profiles, keys, text).drop("n_grams"), keys, "left")
+        rows = _numbered(df)
+        return rows.join(_joined_scores(rows, profiles, text).drop("n_grams"), "_row", "left").drop("_row")
     return df.withColumn("detected", _scored(profiles, F.col(text))["detected"])

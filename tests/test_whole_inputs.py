@@ -31,6 +31,31 @@ def test_detection_with_keys_that_restart(spark, monkeypatch, profiles, shared):
     assert {(r["pos"], r["n_grams"], r["detected"]) for r in plain} == {(1, 5, "fr"), (2, 12, "fr")}
 
 
+@pytest.mark.parametrize("shared", [langid.SHARED_GRAMS, 0])
+@pytest.mark.parametrize("run", [1, 20, 1 << 18])
+def test_detection_answers_row_by_row(spark, monkeypatch, profiles, shared, run):
+    monkeypatch.setattr(langid, "SHARED_GRAMS", shared)
+    texts = ["le chat", "the others", "le chat", None, "", "ab", "zzz", "日本語の", "the house and the river"]
+    df = spark.createDataFrame([(i % 2 if i < 7 else None, t) for i, t in enumerate(texts)], "k long, text string").coalesce(1)
+    found = langid.detect_language(df, profiles, "k").collect()
+    want = [(0, 5, "fr"), (1, 8, "en"), (0, 5, "fr"), (0, 1, None), (None, 2, None), (None, 21, "en")]
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, want))
+    named = langid.with_detected_language(df, profiles, "k").collect()
+    assert sorted(str((r["k"], r["text"], r["detected"])) for r in named) == sorted(
+        str((i % 2 if i < 7 else None, t, {0: "fr", 1: "en", 2: "fr", 8: "en"}.get(i))) for i, t in enumerate(texts)
+    )
+    # One look-up for many texts gives what each gives alone.
+    rows = profiles.table.toPandas()
+    codes = langid.np.array([langid._codes(langid._points(g))[0] for g in rows["g"]])
+    order = langid.np.argsort(codes)
+    weights = rows[["w0", "w1"]].to_numpy()[order]
+    plain = [t or "" for t in texts]
+    whole = langid._gains(plain, codes[order], weights)
+    assert (whole == langid.np.vstack([langid._gains([t], codes[order], weights) for t in plain])).all()
+    monkeypatch.setattr(langid, "RUN_CHARS", run)
+    assert [t for r in langid._runs(texts) for t in r] == plain
+
+
 def test_detection_in_the_scan_task_moves_no_text(spark, profiles):
     df = spark.createDataFrame([(1, "le chat")], "pos long, text string")
     plan = langid.with_detected_language(df, profiles, "pos")._jdf.queryExecution().executedPlan().toString()
