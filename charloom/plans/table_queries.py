@@ -29,6 +29,7 @@ TOPIC_WORDS = ["module", "payload", "telemetry", "oxygen", "airlock", "retion",
 MAX_TOTAL = 390
 SHARD_TOTAL = 42
 LEARNING_ROUNDS = 5
+CHATS_PER_FILE = 1000
 PAIRS = {"en-es": ("en", "es"), "fr-de": ("fr", "de")}
 
 _QUERIES: dict[str, Query] = {}
@@ -214,6 +215,25 @@ def read_conversation_json(spark, sf):
     )
 
 
+@query
+def read_conversation_array(spark, sf):
+    """The conversations as JSON-array files, read in byte ranges; the numbers between the objects do not count."""
+    turn = F.struct(F.col("role").alias("from"), F.col("text").alias("value"))
+    turns = F.array_sort(F.collect_list(F.struct("turn", turn.alias("t"))))
+    chats = table(spark, sf, "conversations").groupBy("conv_id").agg(F.transform(turns, lambda x: x["t"]).alias("conversations"))
+    item = F.to_json(F.struct(F.col("conv_id").cast("string").alias("id"), "conversations"))
+    ordered = F.array_sort(F.collect_list(F.struct("conv_id", item.alias("item"))))
+    boxes = chats.groupBy(F.floor(F.col("conv_id") / CHATS_PER_FILE).alias("box")).agg(
+        F.concat(F.lit("[0, "), F.array_join(F.transform(ordered, lambda x: x["item"]), ", 0, "), F.lit("]")).alias("value")
+    )
+    path = staging_path(spark, "arrays")
+    stored = stage(boxes, "boxes")
+    stored.repartition("box").write.partitionBy("box").text(path)
+    names = [f"{path}/box={r['box']}" for r in stored.select("box").orderBy("box").collect()]
+    rows = files.read_conversation_json(spark, names)
+    return rows.select("pos", "id", T.strip_ws(corpus.flatten_turns(F.col("conversations"))).alias("text"))
+
+
 @query
 def read_instruction_pairs(spark, sf):
     path = staging_path(spark, "pairs")

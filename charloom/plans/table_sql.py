@@ -365,6 +365,9 @@ def all_sql() -> dict[str, str]:
         "read_conversation_json": f"""WITH {FLAT} SELECT row_number() OVER (ORDER BY conv_id) - 1 AS pos,
             conv_id::VARCHAR AS id, coalesce(text, '') AS text
           FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN flat USING (conv_id)""",
+        "read_conversation_array": f"""WITH {FLAT} SELECT row_number() OVER (ORDER BY conv_id) - 1 AS pos,
+            conv_id::VARCHAR AS id, coalesce(text, '') AS text
+          FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN flat USING (conv_id)""",
         "read_instruction_pairs": f"WITH {INSTRUCTIONS} SELECT * FROM numbered",
         "read_parallel_text": """SELECT CASE WHEN lang IN ('en', 'fr') THEN 'en-fr' ELSE 'es-de' END AS pair, lang,
             row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos,

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from charloom.functions.predicates import non_blank
 from charloom.functions.text import decode_utf8_lossy, strip_ws
+from charloom.operators.positions import with_rank
 from charloom.session import stage
+from charloom.sources.json_array import SPLIT_BYTES, read_json_array
 
 log = logging.getLogger(__name__)
 
@@ -110,50 +112,38 @@ def drop_malformed_json(lines: DataFrame, value: str = "value") -> DataFrame:
     return lines.where(F.try_parse_json(F.col(value)).isNotNull())
 
 
+def _turns(item: Column) -> list[Column]:
+    """``id`` and ``conversations`` of an object; values that are not strings become NULL."""
+    turns = F.try_variant_get(item, "$.conversations", "array<variant>")
+    named = F.transform(
+        F.filter(turns, lambda t: F.startswith(F.schema_of_variant(t), F.lit("OBJECT"))),
+        lambda t: F.struct(*[_string_or_null(F.try_variant_get(t, f"$.{x}", "variant")).alias(x) for x in ("from", "value")]),
+    )
+    return [F.try_variant_get(item, "$.id", "string").alias("id"), named.alias("conversations")]
+
+
 def read_conversation_json(
-    spark: SparkSession, paths: Sequence[str], lines: bool = False
+    spark: SparkSession, paths: Sequence[str], lines: bool = False, split_bytes: int = SPLIT_BYTES
 ) -> DataFrame:
-    """``(pos, file_rank, id, conversations)`` from files given in order; ``pos`` counts over all of them.
+    """``(pos, file_rank, id, conversations)`` from files given in order; ``pos`` counts their objects over all of them.
 
-    A JSON-array file cannot be split and is one task; large inputs come as JSON lines (``lines=True``), where
-    ``pos`` counts physical lines. Items that are not objects are dropped, values that are not strings become NULL.
+    Files are JSON arrays, read in byte ranges of ``split_bytes`` by the ``json_array`` source, or JSON lines (``lines=True``).
+    Items that are no objects are left out and not counted; values and turns of another kind become NULL or are dropped. A file
+    that is no whole array, and an object that does not parse, raise an error; of JSON lines, malformed ones are left out.
     """
-    schema = "id string, conversations array<struct<`from`: variant, value: variant>>"
-    parts = []
-    for rank, path in enumerate(paths):
-        if lines:
-            raw = read_lines(spark, path).select("pos", F.from_json("text", schema).alias("_item"))
-            df = raw.select("pos", "_item.*")
-        else:
-            # Item by item, for one that is no object would make the reader's whole file NULL.
-            items = F.posexplode(F.from_json("value", "array<variant>")).alias("pos", "_item")
-            turn = lambda t: F.struct(*[F.try_variant_get(t, f"$.{x}", "variant").alias(x) for x in ("from", "value")])
-            turns = F.try_variant_get("_item", "$.conversations", "array<variant>")
-            df = (
-                spark.read.option("wholetext", "true").text(path).select(items)
-                .where(F.startswith(F.schema_of_variant("_item"), F.lit("OBJECT")))
-                .select(
-                    F.col("pos").cast("bigint").alias("pos"),
-                    F.try_variant_get("_item", "$.id", "string").alias("id"),
-                    F.transform(turns, turn).alias("conversations"),
-                )
-            )
-        parts.append(df.withColumn("file_rank", F.lit(rank)))
-    merged = reduce(lambda a, b: a.unionByName(b), parts)
-    # One row per file: how many items the files before it have.
-    sizes = merged.groupBy("file_rank").agg((F.max("pos") + 1).alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("file_rank")) - F.col("_n")
-    merged = merged.join(sizes.select("file_rank", before.alias("_before")), "file_rank")
-    merged = merged.withColumn("pos", F.col("pos") + F.col("_before"))
-    turns = F.transform(
-        F.filter("conversations", lambda t: t.isNotNull()),
-        lambda t: F.struct(
-            _string_or_null(t["from"]).alias("from"), _string_or_null(t["value"]).alias("value")
-        ),
-    )
-    return merged.where(F.col("id").isNotNull() | F.col("conversations").isNotNull()).select(
-        "pos", "file_rank", "id", turns.alias("conversations")
-    )
+    if not lines:
+        items = read_json_array(spark, paths, split_bytes)
+        broken = F.raise_error(F.concat(F.lit("malformed JSON object at position "), F.col("pos").cast("string")))
+        sound = F.when(F.try_parse_json("item").isNull(), broken.cast("string")).otherwise(F.col("item"))
+        parsed = items.select("pos", "file_rank", F.try_parse_json(sound).alias("_item"))
+        return parsed.select("pos", "file_rank", *_turns(F.col("_item")))
+    parts = [
+        read_lines(spark, path).select("pos", F.lit(rank).alias("file_rank"), F.try_parse_json("text").alias("_item"))
+        for rank, path in enumerate(paths)
+    ]
+    merged = reduce(lambda a, b: a.unionByName(b), parts).where(F.startswith(F.schema_of_variant("_item"), F.lit("OBJECT")))
+    ranks = with_rank(merged.select("file_rank", "pos"), [], ["file_rank", "pos"], name="_n")
+    return merged.join(ranks, ["file_rank", "pos"]).select(F.col("_n").alias("pos"), "file_rank", *_turns(F.col("_item")))
 
 
 def _string_or_null(v: Column) -> Column:
