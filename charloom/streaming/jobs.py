@@ -11,7 +11,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from charloom.functions.predicates import min_chars, non_blank
 from charloom.operators.positions import group_stats, rank_window_filter
-from charloom.operators.predict import NgramModel, predict
+from charloom.operators.predict import NgramModel, fill_guesses
 from charloom.plans.corpora import WEB_MIN_CHARS, capped_text
 
 Recipe = Callable[[DataFrame], DataFrame]
@@ -106,6 +106,31 @@ def stream_language_quota(
     )
 
 
+def stream_answers(
+    stream: DataFrame, model: NgramModel, fallback: str, when_empty: str, text: str = "text"
+) -> DataFrame:
+    """The arriving lines without their text, with ``pred``: stream-static joins and nothing else, so no state.
+
+    A line is joined with the ranked characters of each of its suffixes, one left join per suffix length. The
+    static side has one row per context. Contexts of one character are bounded by Unicode and broadcast, the empty context
+    is one row and comes in as a literal; the others carry no hint, so the size of the model decides.
+    """
+    value = F.coalesce(F.col(text), F.lit(""))
+    others = [c for c in stream.columns if c != text]
+    none = F.array().cast("array<string>")
+    rows = stream.select(*others, F.right(value, F.lit(model.n - 1)).alias("_key"), (value == "").alias("_empty"))
+    tops = []
+    for o in range(model.n - 1, 0, -1):
+        known = model.topk.where(F.length("ctx") == o).select(F.col("ctx").alias(f"_ctx{o}"), F.col("tops").alias(f"_tops{o}"))
+        suffix = F.when(F.length("_key") >= o, F.right("_key", F.lit(o)))
+        rows = rows.join(F.broadcast(known) if o == 1 else known, suffix == F.col(f"_ctx{o}"), "left")
+        tops.append(F.coalesce(f"_tops{o}", none))
+    base = model.topk.where("ctx = ''").select("tops").first()
+    tops.append(F.array(*[F.lit(c) for c in base["tops"]]) if base else none)
+    pred = F.when(F.col("_empty"), F.lit(when_empty)).otherwise(fill_guesses(F.concat(*tops), fallback))
+    return rows.select(*others, pred.alias("pred"))
+
+
 def stream_predict(
     stream: DataFrame,
     model: NgramModel,
@@ -114,18 +139,17 @@ def stream_predict(
     fallback: str,
     when_empty: str,
 ) -> StreamingQuery:
-    """One guess per arriving line, appended to parquet files.
+    """One guess per arriving line, appended to parquet files: a plain append query.
 
-    Each micro-batch asks the static model once per distinct suffix of the batch.
+    The file sink logs what each batch has written, so a batch that runs again after a failure adds nothing twice.
     """
-
-    def guess(batch: DataFrame, batch_id: int) -> None:
-        guesses = predict(batch, model, fallback, when_empty).select("pos", "pred")
-        guesses.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
     return (
-        stream.writeStream.foreachBatch(guess)
+        stream_answers(stream, model, fallback, when_empty)
+        .select("pos", "pred")
+        .writeStream.format("parquet")
+        .option("path", path)
         .option("checkpointLocation", checkpoint)
+        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

@@ -237,6 +237,28 @@ def test_stream_predict_equals_batch(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "o")).select("pos", "pred").collect())) == sorted(map(tuple, want.collect()))
 
 
+@pytest.mark.parametrize("n", [1, 2, 4])
+def test_stream_predict_replays_without_doubles(spark, tmp_path, n):
+    stream = arriving(spark, tmp_path, batches())
+    rows = spark.read.parquet(str(tmp_path / "in"))
+    model = predict.NgramModel(stage(ngrams.ngram_topk(ngrams.order_counts(ngrams.full_gram_counts(rows, n), n)), "topk"), n)
+    where = (str(tmp_path / "o"), str(tmp_path / "c"))
+    first = streams.stream_predict(stream, model, *where, " .eta", "eta")
+    first.awaitTermination()
+    plan = first._jsq.explainInternal(True)
+    assert "ForeachBatch" not in plan and "StateStore" not in plan
+    # The last batch was written but not committed: it runs again.
+    done = sorted((p for p in (tmp_path / "c" / "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    for name in (done[-1].name, f".{done[-1].name}.crc"):
+        (tmp_path / "c" / "commits" / name).unlink(missing_ok=True)
+    again = streams.stream_predict(stream, model, *where, " .eta", "eta")
+    again.awaitTermination()
+    assert done[-1].exists()
+    want = predict.predict(rows, model, " .eta", "eta").select("pos", "pred")
+    got = spark.read.parquet(str(tmp_path / "o")).select("pos", "pred")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_staging_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
