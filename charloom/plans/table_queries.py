@@ -21,6 +21,7 @@ from charloom.session import dealt, stage, staging_path
 from charloom.sinks import lines as sinks
 from charloom.sources import files
 from charloom.streaming import jobs as streams
+from charloom.streaming import quota_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -829,6 +830,15 @@ def stream_language_quota(spark, sf):
     return accepted.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def stream_quota_state(spark, sf):
+    """The accepted rows of the quota kept as keyed state."""
+    path = staging_path(spark, "stream")
+    rows = document_stream(spark, sf).select("pos", "lang")
+    quota_state.stream_quota_state(rows, f"{path}/out", f"{path}/ckpt", 60).awaitTermination()
+    return spark.read.parquet(f"{path}/out")
+
+
 @query
 def stream_predict(spark, sf):
     path = staging_path(spark, "stream")

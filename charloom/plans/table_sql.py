@@ -522,6 +522,9 @@ def all_sql() -> dict[str, str]:
           losses AS (SELECT role, sum(cnt)::BIGINT AS n, sum(-ln(interp) * cnt) / sum(cnt) AS loss FROM ev3 GROUP BY role)
           SELECT role, n, round(loss, 6) AS loss,
             round(CASE WHEN loss < 50 THEN exp(loss) ELSE 'inf'::DOUBLE END, 5) AS ppl FROM losses""",
+        "stream_quota_state": """SELECT pos, lang FROM (
+            SELECT lang, doc_id AS pos, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rn FROM documents)
+          WHERE rn <= 60""",
         "language_quota": f"""SELECT lang, pos FROM (
             SELECT lang, doc_id AS pos, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rn FROM documents)
           WHERE rn <= {QUOTA}""",
