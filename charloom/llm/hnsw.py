@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from charloom.llm.vectors import usable
+from charloom.llm.vectors import by_length, usable
 from charloom.session import stage
 
 #: Distinct vectors of a graph, links of a node (twice that on the ground layer), and the width of a search.
@@ -219,10 +221,18 @@ def nearest(
     whatever their number, each with its graph stored as flat neighbour arrays. Queries go to every shard in blocks
     of about ``QUERY_BLOCK``; each pair of a shard and a block is a task's group, and the best of all shards are merged.
 
-    What takes no part is said at ``usable``; such a query gives no rows. Rows that repeat a key count once. An
+    Vectors of each length have graphs of their own, and a query's candidates are those of its length. What takes no part
+    is said at ``usable``; such a query gives no rows. Rows that repeat a key count once. An
     empty table gives an empty result; other columns do not matter.
     """
     clean = stage(usable(vectors.withColumn(key, F.col(key).cast("long")), key, vector), "vectors")
+    found = [_nearest(part, every, k, shard_rows, links, beam) for part in by_length(clean)]
+    none = clean.select(F.col("key").alias("query_id"), F.lit(0).alias("rank"), "key", F.lit(0.0).alias("score")).limit(0)
+    return (reduce(lambda a, b: a.unionByName(b), found) if found else none).withColumnRenamed("key", key)
+
+
+def _nearest(clean: DataFrame, every: int, k: int, shard_rows: int, links: int, beam: int) -> DataFrame:
+    """``(query_id, rank, key, score)`` among vectors of one length."""
     of_copies = Window.partitionBy("vec").orderBy("key")
     few = clean.withColumn("_n", F.row_number().over(of_copies)).where(F.col("_n") <= k + 1)
     classes = few.groupBy("vec").agg(F.array_sort(F.collect_list("key")).alias("keys"))
@@ -261,5 +271,5 @@ def nearest(
     return (
         found.withColumn("rank", rank)
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", F.col("key").alias(key), "score")
+        .select("query_id", "rank", "key", "score")
     )

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from charloom.llm.common import block_pairs, components
-from charloom.llm.vectors import usable
+from charloom.llm.vectors import by_length, usable
 from charloom.session import stage
 
 #: Vectors that the rotations are learnt from, most bits of one rotation, bits of the code that prunes a bucket.
@@ -167,24 +169,30 @@ def near_vectors(
       task is a number of links and a smallest neighbour for each vector, not the pairs. A pair counts in the first
       table that finds it.
 
-    What takes no part is said at ``usable``; such rows have no link and their own key as component. Rows that
+    Vectors of each length are compared among themselves, with rotations and tables of their own. What takes no part is said
+    at ``usable``; such rows have no link and their own key as component. Rows that
     repeat a key get one answer. An empty table gives an empty result; other columns do not matter.
     """
     typed = vectors.withColumn(key, F.col(key).cast("long"))
     clean = stage(usable(typed, key, vector), "vectors")
+    found = [_near(part, threshold, sample) for part in by_length(clean)]
+    none = clean.select("key", F.col("key").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    return _answer(typed, key, reduce(lambda a, b: a.unionByName(b), found) if found else none)
+
+
+def _near(clean: DataFrame, threshold: float, sample: int) -> DataFrame:
+    """``(key, component_id, n_links)`` of vectors of one length."""
     classes = stage(
         clean.groupBy("vec").agg(F.min("key").alias("id"), F.count(F.lit(1)).alias("n")).select("id", "n", "vec"), "classes"
     )
     size = classes.count()
-    if not size:
-        return _answer(typed, key, clean.select("key", F.col("key").alias("component_id"), F.lit(0).cast("long").alias("n_links")))
     part = min(1.0, sample / size)
     drawn = classes.where(F.pmod(F.xxhash64("id", F.lit("itq")), F.lit(1 << 20)) <= part * (1 << 20))
     # A bounded sample, in an order of its own; the smallest id stands in for an empty one.
     taught = [r[1] for r in sorted(drawn.select("id", "vec").collect())] or [classes.orderBy("id").first()["vec"]]
     width = min(MOST_WIDTH, max(0, round(np.log2(size / BUCKET_ROWS))))
     learnt = Tables.learn(np.array(taught), threshold, width)
-    shared = vectors.sparkSession.sparkContext.broadcast(learnt)
+    shared = clean.sparkSession.sparkContext.broadcast(learnt)
 
     @F.pandas_udf("code long, keys array<int>")
     def signs(vec: pd.Series) -> pd.DataFrame:
@@ -223,7 +231,7 @@ def near_vectors(
             (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         )
     )
-    return _answer(typed, key, clean.join(by_class, "vec").select("key", "component_id", "n_links"))
+    return clean.join(by_class, "vec").select("key", "component_id", "n_links")
 
 
 def _answer(rows: DataFrame, key: str, answers: DataFrame) -> DataFrame:

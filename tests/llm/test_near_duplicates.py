@@ -220,3 +220,21 @@ def test_graph_search_recall():
     d = ((q[:, None] - x[None]) ** 2).sum(2)
     want = np.argsort(d, 1)[:, :10]
     assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(found, want, strict=True)]) > 0.95
+
+
+def test_vectors_of_every_length_take_part(spark):
+    r = np.random.default_rng(3)
+    data = [(i, r.normal(size=3).tolist()) for i in range(300, 305)] + [(200, [1.0, 2.0]), (7, [1.0, 2.0]), (8, [2.0, 4.0]), (100, [-1.0, 2.0])]
+    data += [(400, [5.0]), (500, [float("nan"), 1.0])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = {g["vec_id"]: (g["n_links"], g["component_id"], g["kept"]) for g in itq.near_vectors(df.repartition(3)).collect()}
+    assert got[200] == (2, 7, False) and got[7] == (2, 7, True) and got[8] == (2, 7, False)
+    assert got[100] == (0, 100, True) and got[400] == (0, 400, True) and got[500] == (0, 500, True) and len(got) == len(data)
+    near = sorted(map(tuple, hnsw.nearest(df.repartition(3)).select("query_id", "rank", "vec_id", "score").collect()))
+    rows = {k: np.array(v) for k, v in data if k != 500}
+    want = []
+    for q in (100, 200, 300, 400):
+        others = sorted((float(np.sqrt(((rows[q] - v) ** 2).sum())), k) for k, v in rows.items() if k != q and len(v) == len(rows[q]))
+        want += [(q, i + 1, k, s) for i, (s, k) in enumerate(others[:10])]
+    assert [x[:3] for x in near] == [x[:3] for x in want]
+    assert [x[3] for x in near] == pytest.approx([x[3] for x in want])
