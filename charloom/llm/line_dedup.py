@@ -13,34 +13,77 @@ def _trimmed(line: Column) -> Column:
     return F.btrim(line, F.lit(" \t\n\x0b\f\r"))
 
 
-def _windows(min_words: int) -> Column:
-    """The smallest runs of lines with ``min_words`` words, from each line on and up to each line.
+def _reach(counts: Column, min_words: int) -> Column:
+    """Words and lines from the start of ``counts`` until ``min_words`` words are reached."""
+    start = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("n"))
 
-    An array of ``(s, n)``: first line and number of lines. Every line has a word at least, so a run never
-    looks further than ``min_words`` lines.
-    """
-    at = F.sequence(F.lit(1), F.size("_words"))
+    def step(acc: Column, words: Column) -> Column:
+        more = F.struct((acc["sum"] + words).alias("sum"), (acc["n"] + 1).alias("n"))
+        return F.when(acc["sum"] >= min_words, acc).otherwise(more)
+
+    return F.aggregate(counts, start, step)
 
-    def reach(counts: Column) -> Column:
-        start = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("n"))
 
-        def step(acc: Column, words: Column) -> Column:
-            more = F.struct((acc["sum"] + words).alias("sum"), (acc["n"] + 1).alias("n"))
-            return F.when(acc["sum"] >= min_words, acc).otherwise(more)
+def _window(first: Column, n: Column) -> Column:
+    """``(s, n, m)``: first line, number of lines, and the line whose hash is the least of the window."""
+    part = F.slice("_hashes", first, n)
+    least = first + F.array_position(part, F.array_min(part)).cast("int") - 1
+    return F.struct(first.alias("s"), n.alias("n"), least.alias("m"))
 
-        return F.aggregate(counts, start, step)
 
-    def forward(i: Column) -> Column:
-        r = reach(F.slice("_words", i, min_words))
-        return F.when(r["sum"] >= min_words, F.struct(i.alias("s"), r["n"].alias("n")))
+def _winnow(cut: DataFrame, min_words: int) -> DataFrame:
+    """The selected lines of each text: ``(_at, _print, _from, _context, _windows)``.
 
-    def backward(i: Column) -> Column:
-        first = F.greatest(i - min_words + 1, F.lit(1))
-        r = reach(F.reverse(F.slice("_words", first, i - first + 1)))
-        return F.when(r["sum"] >= min_words, F.struct((i - r["n"] + 1).alias("s"), r["n"].alias("n")))
+    ``cut`` has the hashes and word counts of a text's lines. A window is a smallest run with ``min_words`` words, from
+    a line on (``_fwd``) or up to a line (``_bwd``); every line has a word at least, so none is longer than
+    ``min_words`` lines. A window selects the first of its least hashes. A selected line is one row, with the lines
+    that its windows reach over (``_context``, from line ``_from``) and those windows as ``(s, n)``.
+    """
+    at = F.sequence(F.lit(1), F.size("_words"))
 
-    both = F.concat(F.transform(at, forward), F.transform(at, backward))
-    return F.when(F.size("_words") > 0, F.array_distinct(F.filter(both, lambda w: w.isNotNull())))
+    def ahead(i: Column) -> Column:
+        return _reach(F.slice("_words", i, min_words), min_words)
+
+    def behind(i: Column) -> Column:
+        low = F.greatest(i - min_words + 1, F.lit(1))
+        return _reach(F.reverse(F.slice("_words", low, i - low + 1)), min_words)
+
+    def forward(r: Column, i: Column) -> Column:
+        return F.when(r["sum"] >= min_words, _window(i + 1, r["n"]))
+
+    def backward(r: Column, i: Column) -> Column:
+        # Most runs up to a line are also the run from their own first line.
+        first = i + 2 - r["n"]
+        twice = F.element_at("_ahead", first)["n"] == r["n"]
+        return F.when((r["sum"] >= min_words) & ~twice, _window(first, r["n"]))
+
+    def selected(i: Column) -> Column:
+        # The windows that hold line i start or end less than ``min_words`` lines away.
+        low = F.greatest(i - min_words + 1, F.lit(1))
+        before = F.slice("_fwd", low, F.least(i, F.size("_fwd")) - low + 1)
+        after = F.slice("_bwd", i, F.least(F.lit(min_words), F.size("_bwd")))
+        mine = F.filter(F.concat(before, after), lambda w: w["m"] == i)
+        return F.struct(i.alias("at"), F.transform(mine, lambda w: F.struct(w["s"].alias("s"), w["n"].alias("n"))).alias("w"))
+
+    def with_context(x: Column) -> Column:
+        start = F.array_min(F.transform(x["w"], lambda w: w["s"]))
+        end = F.array_max(F.transform(x["w"], lambda w: w["s"] + w["n"] - 1))
+        return F.struct(
+            x["at"].alias("_at"),
+            F.element_at("_hashes", x["at"]).alias("_print"),
+            start.alias("_from"),
+            F.slice("_hashes", start, end - start + 1).alias("_context"),
+            x["w"].alias("_windows"),
+        )
+
+    both = cut.withColumn("_ahead", F.transform(at, ahead)).withColumn("_behind", F.transform(at, behind))
+    both = both.withColumn("_fwd", F.transform("_ahead", forward)).withColumn("_bwd", F.transform("_behind", backward))
+    chosen = F.transform(F.concat("_fwd", "_bwd"), lambda w: w["m"])
+    lines = F.array_distinct(F.filter(chosen, lambda m: m.isNotNull()))
+    picked = both.withColumn("_picked", F.transform(F.transform(lines, selected), with_context))
+    # ``explode`` would have the whole expression evaluated once more below, as a filter for texts with any selected line.
+    placed = picked.select("_key", "_text", F.explode_outer("_picked").alias("_p"))
+    return placed.where(F.col("_p").isNotNull()).select("_key", "_text", "_p.*")
 
 
 def line_dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_words: int = 50) -> DataFrame:
@@ -51,14 +94,16 @@ def line_dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_
     whichever document it is; later places lose the lines of the run, but for lines that belong to the first
     place itself when the two overlap. Shorter repeats stay.
 
-    * *Winnowing.* Each smallest window of ``min_words`` words selects the minimum of its line hashes. Two texts
-      that share a run of that many words share a whole window, and so its minimum: a fingerprint that occurs at
-      one place only rules out its windows, and most lines of a corpus go with that one count.
-    * *Positions.* Windows with a shared fingerprint meet the first place of the same window. One minimum per
-      window with map-side combine, then a join back: a passage that a third of all documents share gives one
-      row per place and no pairs.
-    * *Extension.* Windows reach forward from each line and backward to each line, so the windows of a run of
-      any length cover all of its lines.
+    * *Winnowing.* Each smallest window of ``min_words`` words selects the line with the least hash. Neighbouring
+      windows mostly select the same line, so only every few lines are stored. Two texts that share a run of that
+      many words share a whole window, and so its selected line: a fingerprint that occurs at one place only rules
+      out its windows, and most lines of a corpus go with that one count.
+    * *Positions.* The places of a shared fingerprint are met by what surrounds them: one minimum per window with
+      map-side combine, then a join back. A passage that a third of all documents share gives one row per place and
+      window and no pairs, and a line that is frequent in itself matches nothing unless its surroundings agree.
+    * *Extension.* A selected line is compared together with the lines before and after it, in every window that
+      selected it. The windows reach forward from each line and backward to each line, so those of one match join up
+      and cover all lines of its run, whatever its length; the lines of all of them are deleted together.
 
     Returns the columns of ``docs`` with the new text, and ``_lines`` and ``_removed`` (non-blank lines before,
     lines deleted). A changed text is its remaining lines joined by line feeds. NULL and empty texts stay as
@@ -74,30 +119,29 @@ def line_dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_
         .withColumn("_words", F.transform("_all", lambda x: F.regexp_count(x, F.lit(WORD))))
         .withColumn("_hashes", F.transform("_all", lambda x: F.xxhash64(x)))
     )
+    selected = stage(_winnow(cut, min_words), "fingerprints")
+    # A fingerprint that has one place in the whole corpus rules out its windows.
+    print_place = F.struct("_key", "_text", "_at")
+    prints = (
+        selected.groupBy("_print")
+        .agg(F.min(print_place).alias("_first"), F.max(print_place).alias("_last"))
+        .where(~F.col("_first").eqNullSafe(F.col("_last")))
+        .select("_print")
+    )
     # Two hashes of the window make a chance match of different windows as rare as with 96 bits.
-    part = F.slice("_hashes", F.col("_w.s"), F.col("_w.n"))
-    windows = stage(
-        cut.withColumn("_w", F.explode(_windows(min_words))).select(
+    part = F.slice("_context", F.col("_w.s") - F.col("_from") + 1, F.col("_w.n"))
+    windows = (
+        selected.join(prints, "_print", "left_semi")
+        .withColumn("_w", F.explode("_windows"))
+        .select(
             "_key",
             "_text",
             F.col("_w.s").alias("_s"),
             F.col("_w.n").alias("_n"),
-            F.array_min(part).alias("_print"),
-            (F.col("_w.s") + F.array_position(part, F.array_min(part)).cast("int") - 1).alias("_at"),
             F.xxhash64(part).alias("_h1"),
             F.hash(part).alias("_h2"),
-        ),
-        "windows",
-    )
-    # A fingerprint that has one place in the whole corpus rules out its windows.
-    print_place = F.struct("_key", "_text", "_at")
-    prints = (
-        windows.groupBy("_print")
-        .agg(F.min(print_place).alias("_first"), F.max(print_place).alias("_last"))
-        .where(~F.col("_first").eqNullSafe(F.col("_last")))
-        .select("_print")
+        )
     )
-    windows = windows.join(prints, "_print", "left_semi")
     place = F.struct("_key", "_text", "_s")
     shared = (
         windows.groupBy("_h1", "_h2")

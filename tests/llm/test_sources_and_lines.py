@@ -135,3 +135,30 @@ def test_line_dedup_keeps_the_first_place_when_a_run_overlaps_itself(spark):
     line = " ".join(f"a{i}" for i in range(20))
     docs = spark.createDataFrame([(1, "\n".join([line] * 6))], "doc_id long, text string")
     assert line_dedup.line_dedup(docs).first()["text"] == "\n".join([line] * 3)
+
+
+def test_winnowing_selects_the_least_line_of_every_window(spark):
+    """Every smallest window is at its least line, once, and most lines are selected by none."""
+    r = random.Random(11)
+    counts = [r.randint(1, 12) for _ in range(300)]
+    hashes = [r.randint(-9, 9) if r.random() < 0.3 else r.getrandbits(60) for _ in counts]
+    cut = spark.createDataFrame([(1, 2, counts, hashes), (3, 4, [3], [5])], "_key int, _text long, _words array<int>, _hashes array<long>")
+    got = line_dedup._winnow(cut, 50).collect()
+    assert {x["_key"] for x in got} == {1}
+    want = {}
+    for i in range(300):
+        for step, at in ((1, range(i, 300)), (-1, range(i, -1, -1))):
+            total = 0
+            for j in at:
+                total += counts[j]
+                if total >= 50:
+                    s, e = min(i, j), max(i, j)
+                    least = hashes.index(min(hashes[s : e + 1]), s, e + 1)
+                    want.setdefault(least + 1, set()).add((s + 1, e - s + 1))
+                    break
+    assert {x["_at"]: {(w["s"], w["n"]) for w in x["_windows"]} for x in got} == want
+    assert sum(len(x["_windows"]) for x in got) == sum(map(len, want.values())) and len(got) < 150
+    for x in got:
+        assert x["_print"] == hashes[x["_at"] - 1]
+        end = max(w["s"] + w["n"] - 1 for w in x["_windows"])
+        assert x["_context"] == hashes[x["_from"] - 1 : end]
