@@ -29,7 +29,7 @@ from charloom.operators.predict import NgramModel, byte_model, fill_guesses, pre
 from charloom.operators.positions import with_rank
 from charloom.operators.scoring import score_join
 from charloom.session import stage
-from charloom.sinks.lines import write_predictions
+from charloom.sinks.committed import write_predictions
 from charloom.sources.files import read_lines
 
 FALLBACK = " .eta"

@@ -18,6 +18,7 @@ from charloom.operators import corpus, holdout, langid, ngrams, predict, quotas,
 from charloom.operators.positions import with_rank
 from charloom.plans import corpora, modelling
 from charloom.session import dealt, stage, staging_path
+from charloom.sinks import committed
 from charloom.sinks import lines as sinks
 from charloom.sources import files
 from charloom.streaming import jobs as streams
@@ -294,12 +295,25 @@ def write_language_split(spark, sf):
     return sinks.write_language_split(docs(spark, sf), staging_path(spark, "split"), "docs", ["doc_id"])
 
 
+@query
+def write_split_manifest(spark, sf):
+    """Rows, bytes and first and last document of each split, as the commit recorded them."""
+    manifest = committed.write_language_split(docs(spark, sf), staging_path(spark, "split"), "docs", ["doc_id"])
+    first, last = (F.get_json_object(c, "$.doc_id").cast("bigint") for c in ("first", "last"))
+    return manifest.groupBy("split").agg(
+        F.sum("rows").alias("n"),
+        F.sum("bytes").alias("n_bytes"),
+        F.min(first).alias("first_doc"),
+        F.max(last).alias("last_doc"),
+    )
+
+
 @query
 def write_predictions(spark, sf):
     path = staging_path(spark, "preds")
     _, pred = answers(spark, sf)
     pred = pred.withColumn("pred", F.translate("pred", "\r\n", "__"))
-    sinks.write_predictions(corpus_rows(spark, sf).select("pos"), pred, path, default="eta")
+    committed.write_predictions(corpus_rows(spark, sf).select("pos"), pred, path, default="eta")
     return files.read_lines(spark, path).select("pos", F.col("text").alias("pred"))
 
 

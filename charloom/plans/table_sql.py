@@ -386,6 +386,10 @@ def all_sql() -> dict[str, str]:
             regexp_replace(text, '\\r\\n|[\\r\\n]', ' ', 'g') AS text FROM documents""",
         "write_language_split": f"""SELECT CASE WHEN is_english THEN 'docs_english' ELSE 'docs_non_english' END AS split,
             n FROM ({SPLIT_ASCII})""",
+        "write_split_manifest": f"""SELECT CASE WHEN {ascii_english("text")} THEN 'docs_english' ELSE 'docs_non_english' END AS split,
+            count(*) AS n, sum(strlen(regexp_replace({strip("text")}, '\\r\\n|[\\r\\n]', ' ', 'g')) + 1)::BIGINT AS n_bytes,
+            min(doc_id) AS first_doc, max(doc_id) AS last_doc
+          FROM documents WHERE {filled("text")} GROUP BY 1""",
         "write_predictions": """SELECT doc_id AS pos, CASE WHEN doc_id % 5 = 0 THEN 'eta'
             ELSE translate(substr(text, doc_id % 7 + 1, 4), chr(13) || chr(10), '__') END AS pred FROM documents""",
         "write_if_absent": NUMBERED_DOCS,

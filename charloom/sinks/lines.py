@@ -87,17 +87,3 @@ def write_splits(
     )
     written = df.sparkSession.read.schema("value string, split string").text(directory)
     return written.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
-
-
-def write_predictions(
-    inputs: DataFrame, preds: DataFrame, path: str, key: str = "pos", default: str = ""
-) -> int:
-    """One guess per input line in input order; fails unless as many lines as inputs were written."""
-    rows = inputs.select(key).join(preds.select(key, "pred"), key, "left")
-    rows = rows.withColumn("pred", F.coalesce("pred", F.lit(default)))
-    write_lines(rows, path, [key], text="pred")
-    written = inputs.sparkSession.read.text(path).count()
-    expected = inputs.count()
-    if written != expected:
-        raise ValueError(f"{written} predictions written for {expected} inputs")
-    return written

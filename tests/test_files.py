@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import gzip
 import json
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from charloom.functions import predicates as P
 from charloom.operators import ngrams, predict, quotas
 from charloom.plans import corpora
 from charloom.session import stage, staging_root
+from charloom.sinks import committed
 from charloom.sinks import lines as sinks
 from charloom.sources import files
 from charloom.streaming import jobs as streams
@@ -156,10 +159,54 @@ def test_language_split_counts(spark, tmp_path):
 def test_predictions_one_per_input(spark, tmp_path):
     inputs = spark.range(5).select(F.col("id").alias("pos"))
     preds = spark.createDataFrame([(0, "abc"), (3, "d e")], "pos bigint, pred string")
-    assert sinks.write_predictions(inputs, preds, str(tmp_path / "p"), default="eta") == 5
+    assert committed.write_predictions(inputs, preds, str(tmp_path / "p"), default="eta") == 5
     assert lines_of(files.read_lines(spark, str(tmp_path / "p"))) == ["abc", "eta", "eta", "d e", "eta"]
     with pytest.raises(ValueError):
-        sinks.write_predictions(inputs, preds.union(preds), str(tmp_path / "q"))
+        committed.write_predictions(inputs, preds.union(preds), str(tmp_path / "q"))
+
+
+def test_committed_lines_manifest(spark, tmp_path):
+    data = [(i, None if i == 5 else f"a\r\n{i}", ["x", "y", None][i % 3]) for i in range(300)]
+    df = spark.createDataFrame(data, "pos bigint, text string, side string").repartition(7)
+    path = str(tmp_path / "o")
+    rows = committed.write_committed(df, path, ["pos"], split=F.col("side"), partitions=4).collect()
+    for side in ("", "x", "y"):
+        mine = [r for r in rows if r["split"] == side]
+        want = [d for d in data if (d[2] or "") == side]
+        assert len(mine) == 4 and sum(r["rows"] for r in mine) == len(want)
+        text = b"".join((tmp_path / "o" / r["file"]).read_bytes() for r in mine)
+        assert text.decode().splitlines() == [(d[1] or "").replace("\r\n", " ") for d in want]
+        assert len(text) == sum(r["bytes"] for r in mine)
+        edges = [(json.loads(r["first"])["pos"], json.loads(r["last"])["pos"]) for r in mine]
+        assert edges[0][0] == want[0][0] and edges[-1][1] == want[-1][0]
+        assert all(a[1] < b[0] for a, b in zip(edges, edges[1:]))
+    assert (tmp_path / "o" / "_SUCCESS").exists() and not list((tmp_path / "o").glob("_pending*"))
+    with pytest.raises(FileExistsError):
+        committed.write_committed(df, path, ["pos"])
+    empty = str(tmp_path / "e")
+    assert committed.write_committed(df.limit(0), empty, ["pos"]).count() == 0
+    assert committed.write_committed(df, str(tmp_path / "r"), ["pos"], partitions=3).agg(F.sum("rows")).first()[0] == 300
+
+
+def test_committed_lines_count_accepted_attempts_only(tmp_path):
+    """An attempt that wrote and was not accepted leaves neither rows nor files; an abort leaves nothing."""
+    writer = committed.LinesWriter(str(tmp_path / "o"), "j")
+    batch = pa.RecordBatch.from_pydict({"split": ["", "b", ""], "key": ["1", "2", "3"], "line": ["u", "v", "w"]})
+    old, committed.TaskContext = committed.TaskContext, SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0))
+    try:
+        writer.write(iter([batch]))
+        second = writer.write(iter([batch, batch]))
+        other = committed.LinesWriter(str(tmp_path / "a"), "j")
+        other.abort([other.write(iter([batch]))])
+    finally:
+        committed.TaskContext = old
+    writer.commit([None, second])
+    names = sorted(p.relative_to(tmp_path / "o").as_posix() for p in (tmp_path / "o").rglob("*") if p.is_file())
+    assert names == ["_SUCCESS", "_manifest/files.json", "part-000000-j.txt", "split=b/part-000000-j.txt"]
+    listed = [json.loads(x) for x in (tmp_path / "o/_manifest/files.json").read_text().splitlines()]
+    assert [(e["split"], e["rows"], e["first"], e["last"]) for e in listed] == [("", 4, "1", "3"), ("b", 2, "2", "2")]
+    assert (tmp_path / "o/part-000000-j.txt").read_text() == "u\nw\nu\nw\n"
+    assert not [p for p in (tmp_path / "a").rglob("*") if p.is_file()]
 
 
 def test_write_if_absent(spark, tmp_path):
