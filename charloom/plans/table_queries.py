@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from charloom.functions import hooks
 from charloom.functions import predicates as P
 from charloom.functions import text as T
-from charloom.operators import corpus, holdout, langid, ngrams, predict, quotas, scoring, smoothing
+from charloom.operators import corpus, holdout, langid, ngrams, predict, quotas, scoring, smoothing, topics
 from charloom.operators.positions import with_rank
 from charloom.plans import corpora, modelling
 from charloom.session import dealt, stage, staging_path
@@ -28,6 +28,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 LANGS = ["en", "es", "fr", "de"]
 TOPIC_WORDS = ["module", "payload", "telemetry", "oxygen", "airlock", "retion", "belich", "thatin"]
+#: Everyday phrases of the languages at hand, some within others.
+TOPIC_PHRASES = {
+    "place": ["in the", "on the", "at the", "in"],
+    "origin": ["of the", "from the", "de la", "of"],
+    "copula": ["it is", "is the", "el es", "elle est"],
+}
+TOPIC_WEIGHTS = {"place": 0.5, "origin": 0.25, "copula": 0.75}
 MAX_TOTAL = 390
 SHARD_TOTAL = 42
 LEARNING_ROUNDS = 5
@@ -493,6 +500,23 @@ def domain_weight(spark, sf):
     return rows.select("doc_id", "weight")
 
 
+@query
+def topic_hits(spark, sf):
+    """Documents and occurrences per language and topic, for topics of several words."""
+    found = topics.topic_hits(docs(spark, sf), TOPIC_PHRASES)
+    return (
+        found.select("lang", F.explode("topic_hits").alias("topic", "n"))
+        .groupBy("lang", "topic")
+        .agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("n_hits"))
+    )
+
+
+@query
+def topic_weight(spark, sf):
+    rows = topics.topic_filter(docs(spark, sf), TOPIC_PHRASES, mode="weight", weights=TOPIC_WEIGHTS)
+    return rows.select("doc_id", "weight")
+
+
 # --- joins ----------------------------------------------------------------------------------------
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from charloom.functions.text import WS_RANGES
-from charloom.plans.table_queries import LEARNING_ROUNDS, MAX_TOTAL, SHARD_TOTAL, TOPIC_WORDS
+from charloom.plans.table_queries import LEARNING_ROUNDS, MAX_TOTAL, SHARD_TOTAL, TOPIC_PHRASES, TOPIC_WEIGHTS, TOPIC_WORDS
 
 WS = f"[{WS_RANGES}]"
 LANG_RANK = "CASE lang WHEN 'en' THEN 0 WHEN 'es' THEN 1 WHEN 'fr' THEN 2 WHEN 'de' THEN 3 END"
@@ -37,6 +37,16 @@ def has_topic(x: str) -> str:
     return f"list_has_any(string_split_regex(lower({x}), '[^\\p{{L}}\\p{{N}}]+'), [{WORDS}])"
 
 
+PHRASE_ROWS = ", ".join(
+    f"('{t}', {p.split()}, {TOPIC_WEIGHTS[t]}::DOUBLE)" for t, phrases in TOPIC_PHRASES.items() for p in phrases
+)
+TOPICAL = f"""phrases(topic, p, weight) AS (VALUES {PHRASE_ROWS}),
+word_lists AS (SELECT doc_id, lang,
+    list_filter(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS w FROM documents),
+word_rows AS (SELECT doc_id, lang, w, unnest(range(1, len(w) + 1)) AS i FROM word_lists),
+found AS (SELECT doc_id, lang, topic, weight, count(*) AS n FROM word_rows JOIN phrases
+    ON w[i] = p[1] AND (len(p) = 1 OR w[i + 1] = p[2]) GROUP BY ALL)"""
+
 DECOMPOSED = "replace(replace(text, chr(233), 'e' || chr(769)), chr(252), 'u' || chr(776))"
 
 INSTRUCTIONS = """
@@ -439,6 +449,9 @@ def all_sql() -> dict[str, str]:
         "domain_filter": f"SELECT doc_id, lang FROM documents WHERE NOT {has_topic('text')}",
         "domain_weight": f"""SELECT doc_id, CASE WHEN {has_topic("text")} THEN 0.25::DOUBLE ELSE 1::DOUBLE END AS weight
           FROM documents""",
+        "topic_hits": f"""WITH {TOPICAL} SELECT lang, topic, count(*) AS n_docs, sum(n)::BIGINT AS n_hits FROM found GROUP BY ALL""",
+        "topic_weight": f"""WITH {TOPICAL}, least_of AS (SELECT doc_id, min(weight) AS weight FROM found GROUP BY ALL)
+          SELECT doc_id, coalesce(weight, 1::DOUBLE) AS weight FROM documents LEFT JOIN least_of USING (doc_id)""",
         "domain_semi": f"SELECT doc_id, lang FROM documents WHERE {has_topic('text')}",
         "domain_anti": f"SELECT doc_id, lang FROM documents WHERE NOT {has_topic('text')}",
         "score_join": f"WITH {ANSWERS} SELECT pos, gold, pred, hit FROM scored",
