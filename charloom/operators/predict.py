@@ -61,10 +61,15 @@ def token_model(counts: DataFrame, n: int, k: int = 3) -> NgramModel:
     So a word start counts as its first letter and whitespace is never guessed. ``counts`` has orders up to
     ``n + 1``. Sums are compared to nine digits, and equal ones go by character.
     """
-    chars = marginalise_first_char(token_candidates(counts.where(F.length("g") <= n + 1), TOKEN_CHARS), ["ctx"])
+    return NgramModel(rank_first_chars(token_candidates(counts.where(F.length("g") <= n + 1), TOKEN_CHARS), k), n)
+
+
+def rank_first_chars(candidates: DataFrame, k: int = 3) -> DataFrame:
+    """``(ctx, tops)`` from ``(ctx, token, logprob)``: the ``k`` best first characters of each context."""
+    chars = marginalise_first_char(candidates, ["ctx"])
     best = topk_per_row(chars.withColumn("_score", F.round("logprob", 9)), ["ctx"], "_score", [F.col("ch")], k, "_rank")
     ranked = F.array_sort(F.collect_list(F.struct("_rank", "ch")))
-    return NgramModel(best.groupBy("ctx").agg(F.transform(ranked, lambda e: e["ch"]).alias("tops")), n)
+    return best.groupBy("ctx").agg(F.transform(ranked, lambda e: e["ch"]).alias("tops"))
 
 
 def _suffixes(inputs: DataFrame, length: int, text: str) -> DataFrame:

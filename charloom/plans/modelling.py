@@ -7,8 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from charloom.functions.predicates import is_english, non_blank
+from charloom.functions.predicates import is_english, is_english_ascii, non_blank
 from charloom.functions.text import collapse_ws, fold_guess
+from charloom.operators import tokens
 from charloom.operators.holdout import head_holdout, random_holdout
 from charloom.operators.langid import train_language_profiles, with_detected_language
 from charloom.operators.ngrams import (
@@ -25,7 +26,16 @@ from charloom.operators.ngrams import (
     smoothed_score,
     vocabulary_size,
 )
-from charloom.operators.predict import NgramModel, byte_model, fill_guesses, predict, route_predict, token_model
+from charloom.operators.predict import (
+    BYTE_FALLBACK,
+    TOKEN_FALLBACK,
+    NgramModel,
+    byte_model,
+    fill_guesses,
+    predict,
+    route_predict,
+    token_model,
+)
 from charloom.operators.positions import with_rank
 from charloom.operators.scoring import score_join
 from charloom.session import stage
@@ -109,6 +119,43 @@ def dense_success(docs: DataFrame, n: int = 3, key: str = "doc_id") -> DataFrame
     )
 
 
+def token_path(train: DataFrame, n: int, size: int, max_len: int = 4) -> NgramModel:
+    """The token path with a vocabulary of the ``size`` most frequent strings of the same lines."""
+    chosen = tokens.token_vocabulary(train_counts(train, max_len), size, max_len)
+    return tokens.token_model(train, [r["token"] for r in chosen.collect()], n)
+
+
+def dense_routed_success(
+    docs: DataFrame, n: int = 3, vocabulary: int = tokens.VOCABULARY, key: str = "doc_id"
+) -> DataFrame:
+    """Hits over every position of the held-out lines along the routed path, per language and path.
+
+    English lines, by the ASCII share, take the byte model and the others a token model with tokens of varying
+    length, each trained on the training lines of its side. Positions are aggregated to grams before any join.
+    """
+    lines = evaluation_lines(docs, key).withColumn("is_english", is_english_ascii(F.col("text")))
+    train = lines.where(F.col("split") == "train")
+    test = lines.where(F.col("split") == "test")
+    held = stage(full_gram_counts(test, n, by=["lang", "is_english"]), "heldout")
+    pairs = held.select(
+        "lang", "is_english", "cnt", context(F.col("g")).alias("key"), last_char(F.col("g")).alias("gold")
+    )
+    english = byte_model(train_counts(train.where(F.col("lang") == "en"), n), n)
+    others = token_path(train.where(F.col("lang") != "en"), n, vocabulary)
+    sides = []
+    for side, model, fallback in ((True, english, BYTE_FALLBACK), (False, others, TOKEN_FALLBACK)):
+        mine = pairs.where(F.col("is_english") == side)
+        found = ngram_backoff_lookup(mine, model.topk, n)
+        ranked = F.coalesce("guesses", F.array().cast("array<string>"))
+        sides.append(mine.join(found, "key", "left").withColumn("pred", fold_guess(fill_guesses(ranked, fallback))))
+    pred, gold = F.col("pred"), F.lower("gold")
+    return sides[0].unionByName(sides[1]).groupBy("lang", "is_english").agg(
+        F.sum("cnt").alias("n"),
+        F.sum(F.when(F.contains(pred, gold), F.col("cnt")).otherwise(0)).alias("hits"),
+        F.sum(F.when(F.substring(pred, 1, 1) == gold, F.col("cnt")).otherwise(0)).alias("top1_hits"),
+    )
+
+
 def job_train_eval(
     docs: DataFrame,
     n: int = 3,

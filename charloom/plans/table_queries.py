@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from charloom.functions import hooks
 from charloom.functions import predicates as P
 from charloom.functions import text as T
-from charloom.operators import corpus, holdout, langid, ngrams, predict, quotas, scoring, smoothing, topics
+from charloom.operators import corpus, holdout, langid, ngrams, predict, quotas, scoring, smoothing, tokens, topics
 from charloom.operators.positions import with_rank
 from charloom.plans import corpora, modelling
 from charloom.session import dealt, stage, staging_path
@@ -28,6 +28,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 LANGS = ["en", "es", "fr", "de"]
 TOPIC_WORDS = ["module", "payload", "telemetry", "oxygen", "airlock", "retion", "belich", "thatin"]
+#: Strings of varying length in the vocabulary of the token queries.
+TOKEN_VOCABULARY = 300
 #: Everyday phrases of the languages at hand, some within others.
 TOPIC_PHRASES = {
     "place": ["in the", "on the", "at the", "in"],
@@ -632,6 +634,30 @@ def marginalise_first_char(spark, sf):
     return rows.select("ctx", "ch", (F.round("logprob", 6) + F.lit(0.0)).alias("logprob"))
 
 
+def _document_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    chosen = tokens.token_vocabulary(model_counts(spark, sf, 4), TOKEN_VOCABULARY)
+    return tokens.token_counts(docs(spark, sf), [r["token"] for r in chosen.collect()], 3)
+
+
+@query
+def token_vocabulary(spark, sf):
+    return tokens.token_vocabulary(model_counts(spark, sf, 4), TOKEN_VOCABULARY)
+
+
+@query
+def token_counts(spark, sf):
+    """Tokens by longest match after contexts of up to two characters."""
+    return _document_tokens(spark, sf)
+
+
+@query
+def marginalise_tokens(spark, sf):
+    """First characters after each context, summed over tokens of varying length."""
+    counts = stage(_document_tokens(spark, sf), "tokens")
+    rows = ngrams.marginalise_first_char(tokens.token_logprobs(counts), ["ctx"])
+    return rows.select("ctx", "ch", (F.round("logprob", 6) + F.lit(0.0)).alias("logprob"))
+
+
 @query
 def ngram_counts_3(spark, sf):
     return ngrams.ngram_counts(docs(spark, sf), 3)
@@ -1018,6 +1044,12 @@ def dense_success(spark, sf):
     return modelling.dense_success(docs(spark, sf))
 
 
+@query
+def dense_routed_success(spark, sf):
+    """Every held-out position along the routed path, whose token side has tokens of varying length."""
+    return modelling.dense_routed_success(docs(spark, sf), vocabulary=TOKEN_VOCABULARY)
+
+
 @query
 def perplexity(spark, sf):
     """Perplexity of the conversations under the interpolated model of the documents, per role."""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from charloom.functions.text import WS_RANGES
-from charloom.plans.table_queries import LEARNING_ROUNDS, MAX_TOTAL, SHARD_TOTAL, TOPIC_PHRASES, TOPIC_WEIGHTS, TOPIC_WORDS
+from charloom.plans.table_queries import LEARNING_ROUNDS, MAX_TOTAL, SHARD_TOTAL, TOKEN_VOCABULARY, TOPIC_PHRASES, TOPIC_WEIGHTS, TOPIC_WORDS
 
 WS = f"[{WS_RANGES}]"
 LANG_RANK = "CASE lang WHEN 'en' THEN 0 WHEN 'es' THEN 1 WHEN 'fr' THEN 2 WHEN 'de' THEN 3 END"
@@ -122,7 +122,13 @@ def token_tops(name: str, pos: str) -> str:
   UNION ALL SELECT p3 || p2, p1 || ch FROM {pos} WHERE i >= 4
   UNION ALL SELECT '', ch FROM {name}_last
   UNION ALL SELECT p1, ch FROM {name}_last WHERE i >= 2
-  UNION ALL SELECT p2 || p1, ch FROM {name}_last WHERE i >= 3) GROUP BY ALL),
+  UNION ALL SELECT p2 || p1, ch FROM {name}_last WHERE i >= 3) GROUP BY ALL),{first_char_tops(name)}"""
+
+
+def first_char_tops(name: str) -> str:
+    """``(ctx, tops)`` from the counted tokens ``{name}_n``."""
+    token = strip("token")
+    return f"""
 {name}_lp AS (SELECT ctx, token, ln(cnt / (sum(cnt) OVER (PARTITION BY ctx))::DOUBLE) AS lp FROM {name}_n),
 {name}_ok AS (SELECT ctx, substr({token}, 1, 1) AS ch, lp FROM (
     SELECT *, row_number() OVER (PARTITION BY ctx ORDER BY lp DESC, token) AS rk FROM {name}_lp)
@@ -134,6 +140,23 @@ def token_tops(name: str, pos: str) -> str:
   WHERE rk <= 3 GROUP BY ctx)"""
 
 
+def longest_match(name: str, src: str, size: int) -> str:
+    """``{name}_n``: tokens of ``src(id, t)`` by longest match after contexts of 0 to 2 characters, ``(ctx, token, cnt)``."""
+    return f"""{chars(name + "_gram", src)},
+{name}_vocab AS (SELECT token, count(*) AS cnt FROM (
+  SELECT p1 || ch AS token FROM {name}_gram WHERE i >= 2 UNION ALL SELECT p2 || p1 || ch FROM {name}_gram WHERE i >= 3
+  UNION ALL SELECT p3 || p2 || p1 || ch FROM {name}_gram WHERE i >= 4)
+  GROUP BY token ORDER BY count(*) DESC, token LIMIT {size}),
+{name}_pattern AS (SELECT string_agg(regexp_escape(token), '|' ORDER BY length(token) DESC, token) || '|(?s:.)' AS pattern
+  FROM {name}_vocab),
+{name}_cut AS (SELECT id, regexp_extract_all(t, pattern) AS w FROM {src}, {name}_pattern WHERE t <> ''),
+{name}_flat AS (SELECT id, unnest(w) AS token, generate_subscripts(w, 1) AS i FROM {name}_cut),
+{name}_full AS (SELECT right(coalesce(lag(token, 2) OVER o, '') || coalesce(lag(token) OVER o, ''), 2) AS ctx, token
+  FROM {name}_flat WINDOW o AS (PARTITION BY id ORDER BY i)),
+{name}_n AS (SELECT right(ctx, k) AS ctx, token, count(*) AS cnt
+  FROM {name}_full JOIN (VALUES (0), (1), (2)) o(k) ON k <= length(ctx) GROUP BY ALL)"""
+
+
 def lookup(name: str, src: str, key: str, text: str, top: str, fallback: str = "") -> str:
     """Three guesses per row of ``src``: longest context first, then shorter ones, then ``fallback``."""
     return f"""
@@ -449,6 +472,30 @@ def all_sql() -> dict[str, str]:
         "domain_filter": f"SELECT doc_id, lang FROM documents WHERE NOT {has_topic('text')}",
         "domain_weight": f"""SELECT doc_id, CASE WHEN {has_topic("text")} THEN 0.25::DOUBLE ELSE 1::DOUBLE END AS weight
           FROM documents""",
+        "token_vocabulary": f"""WITH tok_src AS (SELECT doc_id AS id, text AS t FROM documents),
+          {longest_match("tok", "tok_src", TOKEN_VOCABULARY)} SELECT token, cnt FROM tok_vocab""",
+        "token_counts": f"""WITH tok_src AS (SELECT doc_id AS id, text AS t FROM documents),
+          {longest_match("tok", "tok_src", TOKEN_VOCABULARY)} SELECT ctx, token, cnt FROM tok_n""",
+        "marginalise_tokens": f"""WITH tok_src AS (SELECT doc_id AS id, text AS t FROM documents),
+          {longest_match("tok", "tok_src", TOKEN_VOCABULARY)}, {first_char_tops("tok")}
+          SELECT ctx, ch, round(lp, 6) + 0::DOUBLE AS logprob FROM tok_sum""",
+        "dense_routed_success": f"""WITH {HELDOUT},
+          en_src AS (SELECT id, t FROM train WHERE lang = 'en'), ot_src AS (SELECT id, t FROM train WHERE lang <> 'en'),
+          {counts("en_model", "en_src")}, {tops("en_top", "en_model", "strlen(ch) = 1 AND ascii(ch) BETWEEN 32 AND 127")},
+          {longest_match("ot_top", "ot_src", TOKEN_VOCABULARY)}, {first_char_tops("ot_top")},
+          flagged AS (SELECT id, t, lang, {ascii_english("t")} AS is_english FROM test),
+          {chars("held_pos", "flagged", "lang, is_english")},
+          keyed AS (SELECT lang, is_english, coalesce(p2, '') || coalesce(p1, '') AS key, ch AS gold, count(*) AS cnt
+            FROM held_pos GROUP BY ALL),
+          en_keys AS (SELECT DISTINCT key FROM keyed WHERE is_english), {lookup("en_guess", "en_keys", "key", "key", "en_top", " .eta")},
+          ot_keys AS (SELECT DISTINCT key FROM keyed WHERE NOT is_english),
+          {lookup("ot_guess", "ot_keys", "key", "key", "ot_top", "天气快不错吗")},
+          graded AS (SELECT keyed.*, lower(guesses) AS pred FROM keyed JOIN en_guess USING (key) WHERE is_english
+            UNION ALL SELECT keyed.*, lower(guesses) FROM keyed JOIN ot_guess USING (key) WHERE NOT is_english)
+          SELECT lang, is_english, sum(cnt)::BIGINT AS n,
+            coalesce(sum(cnt) FILTER (contains(substr(pred, 1, 3), lower(gold))), 0)::BIGINT AS hits,
+            coalesce(sum(cnt) FILTER (substr(pred, 1, 1) = lower(gold)), 0)::BIGINT AS top1_hits
+          FROM graded GROUP BY ALL""",
         "topic_hits": f"""WITH {TOPICAL} SELECT lang, topic, count(*) AS n_docs, sum(n)::BIGINT AS n_hits FROM found GROUP BY ALL""",
         "topic_weight": f"""WITH {TOPICAL}, least_of AS (SELECT doc_id, min(weight) AS weight FROM found GROUP BY ALL)
           SELECT doc_id, coalesce(weight, 1::DOUBLE) AS weight FROM documents LEFT JOIN least_of USING (doc_id)""",
