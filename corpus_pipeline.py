@@ -3,8 +3,9 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as Parquet and read again as
 the next stage's ``docs``. All but the last return the columns of ``documents``.
 
-NULL ids, texts and sources, empty texts and further columns of any name pass through every stage as values like others; an
-empty table gives an empty one. Rows that repeat both id and text are treated alike, so both dedup stages keep all of them.
+NULL ids and sources and further columns of any name are values like others; an empty table gives an empty one. Texts that
+are NULL or have no word are no duplicates of anything; they go at mixing, which takes words and finds none. Rows that
+repeat both id and text are treated alike, so both dedup stages keep all of them.
 """
 
 from __future__ import annotations
