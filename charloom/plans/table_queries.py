@@ -860,11 +860,11 @@ def empty_input_guess(spark, sf):
 
 
 def document_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents as arriving files, whether the table is one file or a folder of them."""
     schema = table(spark, sf, "documents").schema
     return (
         spark.readStream.schema(schema)
-        .option("pathGlobFilter", "documents*.parquet")
-        .parquet(sf)
+        .parquet(f"{sf}/documents*.parquet")
         .select(F.col("doc_id").alias("pos"), "lang", "text")
     )
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from charloom.functions import predicates as P
 from charloom.operators import ngrams, predict, quotas
-from charloom.plans import corpora
+from charloom.plans import corpora, table_queries
 from charloom.session import stage, staging_root
 from charloom.sinks import committed
 from charloom.sinks import lines as sinks
@@ -312,3 +312,26 @@ def test_staging_folder_comes_from_the_session(spark):
         assert staging_root(spark) == configured.rstrip("/")
     else:
         assert staging_root(spark) == spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+@pytest.mark.parametrize("folder", [True, False])
+def test_stream_queries_read_a_table_of_one_file_or_many(spark, tmp_path, folder):
+    """The documents arrive alike whether ``documents.parquet`` is one file or a folder of parts."""
+    rows = [(pos, lang, "s", text) for part in batches() for pos, lang, text in part]
+    df = spark.createDataFrame(rows, "doc_id bigint, lang string, source string, text string")
+    sf = tmp_path / "sf"
+    if folder:
+        df.repartition(3).write.parquet(str(sf / "documents.parquet"))
+    else:
+        df.coalesce(1).write.parquet(str(tmp_path / "one"))
+        sf.mkdir()
+        (part,) = (tmp_path / "one").glob("*.parquet")
+        (sf / "documents.parquet").write_bytes(part.read_bytes())
+    asked = table_queries.all_queries()
+    got = {q: asked[q](spark, str(sf)).collect() for q in asked if q.startswith("stream_")}
+    want = streams.web_clean(df.select(F.col("doc_id").alias("pos"), "lang", "text"))
+    assert sorted(map(tuple, got["stream_clean"])) == sorted(map(tuple, want.collect()))
+    assert sum(r["n"] for r in got["stream_split_counts"]) == 60
+    assert {r["lang"]: r["n"] for r in got["stream_language_quota"]} == {"en": 45, "fr": 15}
+    for name in ("stream_quota_state", "stream_predict"):
+        assert sorted(r["pos"] for r in got[name]) == sorted(r[0] for r in rows), name
