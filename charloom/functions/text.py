@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -44,6 +46,9 @@ NFC_STABLE_RANGES = (
     r"\x{3041}-\x{3096}\x{30a1}-\x{30fa}\x{4e00}-\x{9fff}\x{ac00}-\x{d7a3}\x{ff01}-\x{ff5e}"
 )
 
+# Bytes of a batch that are Python strings at a time.
+NFC_BYTES = 1 << 20
+
 # Byte token ids start after the special ids.
 BYTE_TOKEN_OFFSET = 4
 
@@ -58,11 +63,22 @@ def collapse_ws(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, _WS_TO_COLLAPSE, " "))
 
 
-@F.arrow_udf(StringType())
-def _nfc_batch(text: pa.Array) -> pa.Array:
+def _composed(text: pa.Array) -> Iterator[pa.Array]:
+    """A batch in NFC, in parts: about ``NFC_BYTES`` of it at a time become Python strings, however large it is."""
     # Not Arrow's own utf8_normalize: its NFC form leaves the letters taken apart.
-    composed = [None if t is None else unicodedata.normalize("NFC", t) for t in text.to_pylist()]
-    return pa.array(composed, pa.string())
+    start = size = 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False)):
+        size += int(n)
+        if size >= NFC_BYTES or i + 1 == len(text):
+            part = text.slice(start, i + 1 - start).to_pylist()
+            yield pa.array([None if t is None else unicodedata.normalize("NFC", t) for t in part], pa.string())
+            start, size = i + 1, 0
+
+
+@F.arrow_udf(StringType())
+def _nfc_batch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for text in batches:
+        yield from _composed(text)
 
 
 def nfc(text: Column) -> Column:

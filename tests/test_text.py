@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import sys
+import tracemalloc
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -189,3 +191,24 @@ def test_python_hooks(spark):
     assert [r["tokens"] for r in tokens.orderBy("id").collect()] == [[97, 98, 99], [195, 169], [32], []]
     long = spark.createDataFrame([("x" * 900,)], "text string")
     assert len(tokenize_batches(long, lambda texts: [t.encode() for t in texts], max_len=10).first()["tokens"]) == 256
+
+
+def test_nfc_holds_a_small_part_of_a_batch_as_python_strings():
+    """A batch may be thousands of long texts; its strings are made and dropped a part at a time."""
+    texts = [None, "", "e\u0301", *["e\u0301\u4e00 " * 2000] * 1500, None]
+    batch = pa.array(texts, pa.string())
+    tracemalloc.start()
+    got = [len(part) for part in T._nfc_batch.func(iter([batch, pa.array([], pa.string())]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(got) == len(texts) and len(got) > 10 and peak < batch.nbytes / 2
+    parts = [t for part in T._nfc_batch.func(iter([batch])) for t in part.to_pylist()]
+    assert parts == [None if t is None else unicodedata.normalize("NFC", t) for t in texts]
+
+
+def test_nfc_of_batches_that_come_back_in_parts(spark):
+    """Every row keeps its own text where a batch is answered in parts."""
+    text = F.concat(F.repeat(F.lit("e\u0301"), F.lit(3000)), F.col("id"))
+    rows = spark.range(0, 2000, 1, 2).select("id", F.when(F.col("id") % 5 > 0, text).alias("t"))
+    got = rows.select("id", T.nfc(F.col("t")).alias("c")).collect()
+    assert len(got) == 2000 and all(r["c"] == ("\u00e9" * 3000 + str(r["id"]) if r["id"] % 5 else None) for r in got)
