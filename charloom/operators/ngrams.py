@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from charloom.functions.predicates import printable_candidate
 from charloom.functions.text import strip_ws
+from charloom.operators.runs import count_in_runs, grams
 
 LOSS_LIMIT = 50.0
 BACKOFF = 0.4
@@ -55,18 +56,14 @@ def next_char_pairs(df: DataFrame, n: int, text: str = "text", keep: Sequence[st
 
 
 def ngram_counts(df: DataFrame, n: int, text: str = "text", by: Sequence[str] = ()) -> DataFrame:
-    """``(by, ctx, ch, cnt)``. Frequent grams collapse before the shuffle."""
-    return next_char_pairs(df, n, text, by).groupBy(*by, "ctx", "ch").agg(
-        F.count(F.lit(1)).alias("cnt")
-    )
+    """``(by, ctx, ch, cnt)``. Frequent grams collapse before the shuffle, a run of texts at a time."""
+    counts = count_in_runs(df, F.col(text), by, ["g"], grams(n, heads=False))
+    return counts.select(*by, context(F.col("g")).alias("ctx"), last_char(F.col("g")).alias("ch"), "cnt")
 
 
 def full_gram_counts(df: DataFrame, n: int, text: str = "text", by: Sequence[str] = ()) -> DataFrame:
     """``(by, g, cnt)``: each position once, with as much context as it has, up to ``n - 1``."""
-    runs = char_windows(df, n, F.col(text), by, heads=True)
-    return (
-        runs.select(*by, joined(0, n).alias("g")).groupBy(*by, "g").agg(F.count(F.lit(1)).alias("cnt"))
-    )
+    return count_in_runs(df, F.col(text), by, ["g"], grams(n, heads=True))
 
 
 def order_counts(full: DataFrame, n: int, by: Sequence[str] = ()) -> DataFrame:

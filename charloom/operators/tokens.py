@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from charloom.operators.predict import NgramModel, rank_first_chars
+from charloom.operators.runs import count_in_runs, tokens_in_context
 from charloom.session import stage
 
 VOCABULARY = 5000
@@ -66,21 +67,10 @@ def longest_match(text: Column, tokens: Sequence[str]) -> Column:
 def token_counts(df: DataFrame, tokens: Sequence[str], n: int, text: str = "text", by: Sequence[str] = ()) -> DataFrame:
     """``(by, ctx, token, cnt)``: each token of the texts after every context of 0 to ``n - 1`` characters that it has.
 
-    Each token is counted once with all its context, which collapses before the shuffle; shorter contexts are summed
-    from those counts.
+    The texts are cut as by :func:`longest_match`. Each token is counted once with all its context, which collapses before
+    the shuffle, a run of texts at a time; shorter contexts are summed from those counts.
     """
-    # A token has a character at least, so the n - 1 tokens before hold the whole context.
-    cut = df.select(*by, longest_match(F.col(text), tokens).alias("_tokens"))
-    cut = cut.select(
-        *by,
-        F.concat(F.array_repeat(F.lit(""), n - 1), "_tokens").alias("_padded"),
-        F.size("_tokens").alias("_n"),
-    )
-    shifted = [F.slice("_padded", i + 1, F.col("_n")).alias(f"t{i}") for i in range(n)]
-    # The plain generators have a copy of their whole input moved into a filter below.
-    runs = cut.select(*by, F.inline_outer(F.arrays_zip(*shifted))).where(F.col(f"t{n - 1}").isNotNull())
-    before = F.right(F.concat(*[F.col(f"t{i}") for i in range(n - 1)]), F.lit(n - 1)) if n > 1 else F.lit("")
-    full = runs.groupBy(*by, before.alias("_ctx"), F.col(f"t{n - 1}").alias("token")).agg(F.count(F.lit(1)).alias("cnt"))
+    full = count_in_runs(df, F.col(text), by, ["_ctx", "token"], tokens_in_context(tokens, n))
     lengths = F.sequence(F.lit(0), F.length("_ctx"))
     return (
         full.select(*by, F.explode(F.transform(lengths, lambda k: F.right("_ctx", k))).alias("ctx"), "token", "cnt")
