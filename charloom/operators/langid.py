@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from charloom.functions.text import strip_ws
 from charloom.operators.ngrams import char_windows, joined
+from charloom.operators.runs import count_in_runs, grams
 from charloom.session import stage
 
 GRAM = 3
@@ -49,11 +50,7 @@ def train_language_profiles(
     Only the sizes reach the driver, a number per language.
     """
     labelled = df.where(F.col(lang).isin(list(langs))).withColumn("lang", F.col(lang))
-    runs = char_windows(labelled, GRAM, strip_ws(F.col(text)), ["lang"])
-    counts = stage(
-        runs.select("lang", joined(0, GRAM).alias("g")).groupBy("lang", "g").agg(F.count(F.lit(1)).alias("cnt")),
-        "grams",
-    )
+    counts = stage(count_in_runs(labelled, strip_ws(F.col(text)), ["lang"], ["g"], grams(GRAM, heads=False)), "grams")
     sizes = counts.groupBy("lang").agg(
         (F.sum("cnt") + F.count(F.lit(1))).alias("size"),
         _weight(F.lit(1), F.sum("cnt") + F.count(F.lit(1))).alias("unseen"),
