@@ -19,6 +19,8 @@ RUN_CHARS = 1 << 19
 SLICE_ROWS = 256
 #: Cells of a trie's table; a larger trie keeps its edges alone.
 TABLE_CELLS = 1 << 22
+#: Places from which the trie's table is walked at a time, so that they stay in a processor's cache.
+WALK = 1 << 13
 #: Stands between two texts of a run; no text holds a surrogate.
 GAP = 0xD800
 
@@ -145,37 +147,47 @@ class Cutter:
         self.edges, self.below = (np.array([e[i] for e in edges], np.int64) for i in range(2))
         self.table = None
         if self.inner * self.base <= TABLE_CELLS:
-            self.table = np.full(self.inner * self.base, -1, np.int32)
-            self.table[self.edges] = self.below
+            # Per node and character the next node, doubled, plus one if a token ends there; behind the last nothing follows.
+            self.table = np.full((self.inner + 1) * self.base, 2 * self.inner, np.int64)
+            self.table[self.edges] = 2 * np.minimum(self.below, self.inner) + self.ends[self.below]
 
-    def _followed(self, wanted: np.ndarray) -> np.ndarray:
-        """The nodes that edges lead to, -1 for no edge."""
+    def _lengths(self, ids: np.ndarray) -> np.ndarray:
+        """The length of the longest token from each place, 1 where none starts."""
+        length = np.ones(len(ids), np.int64)
         if self.table is not None:
-            return self.table[wanted]
-        edge = np.minimum(np.searchsorted(self.edges, wanted), len(self.edges) - 1)
-        return np.where(self.edges[edge] == wanted, self.below[edge], -1)
+            ahead = np.concatenate([ids, np.zeros(self.longest, np.int64)])
+            for start in range(0, len(ids), WALK):
+                own = length[start : start + WALK]
+                node = np.zeros(len(own), np.int64)
+                for depth in range(self.longest):
+                    node *= self.base
+                    node += ahead[start + depth : start + depth + len(own)]
+                    node = self.table[node]
+                    np.maximum(own, (node & 1) * (depth + 1), out=own)
+                    node >>= 1
+            return length
+        at = np.flatnonzero(ids)
+        node = np.zeros(len(at), np.int64)
+        for depth in range(self.longest):
+            wanted = node * self.base + ids[at + depth]
+            edge = np.minimum(np.searchsorted(self.edges, wanted), len(self.edges) - 1)
+            hit = self.edges[edge] == wanted
+            at, below = at[hit], self.below[edge[hit]]
+            length[at[self.ends[below]]] = depth + 1
+            on = below < self.inner
+            at, node = at[on], below[on]
+        return length
 
     def starts(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the tokens start, and how long they are. Behind the last text are as many gaps as a token is long."""
         number = np.zeros(max(int(points.max()), *self.chars, 0) + 1, np.int64)
         number[self.chars] = np.arange(1, self.base)
-        ids, length = number[points], np.ones(len(points), np.int32)
-        at = np.flatnonzero(ids)
-        node = np.zeros(len(at), np.int64)
-        for depth in range(self.longest):
-            below = self._followed(node * self.base + ids[at + depth])
-            hit = below >= 0
-            at, below = at[hit], below[hit]
-            whole = self.ends[below]
-            length[at[whole]] = depth + 1
-            on = below < self.inner
-            at, node = at[on], below[on].astype(np.int64)
-        steps, found, i = length.tolist(), [], 0
-        while i < len(steps):
-            found.append(i)
+        length = self._lengths(number[points])
+        steps, here, i = length.tolist(), bytearray(len(points)), 0
+        while i < len(here):
+            here[i] = 1
             i += steps[i]
-        places = np.array(found, np.int64)
-        places = places[points[places] != GAP]
+        places = np.flatnonzero((np.frombuffer(here, np.uint8) > 0) & (points != GAP))
         return places, length[places]
 
 

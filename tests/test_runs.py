@@ -40,6 +40,7 @@ def test_grams_of_a_run(monkeypatch, alphabet, n):
 def test_tokens_of_a_run(monkeypatch, alphabet, cells):
     monkeypatch.setattr(runs, "RUN_CHARS", 1000)
     monkeypatch.setattr(runs, "TABLE_CELLS", cells)
+    monkeypatch.setattr(runs, "WALK", 100)
     texts = some_texts(alphabet)
     for words in ({x for t in texts if len(t) > 4 for x in (t[:2], t[1:4], t[:4], t[3:4])}, set()):
         for n in (1, 3):
