@@ -5,8 +5,8 @@ from __future__ import annotations
 import pickle
 import re
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,23 +18,34 @@ from charloom.llm.common import fold, labelled_sample, shield, unshield
 BITS = 18
 #: Labelled documents per class that are learnt from.
 SAMPLE_PER_CLASS = 2_000
-#: Characters of text that are tagged at a time, and words a worker remembers.
-CHUNK_CHARS, CACHE_WORDS = 2_000_000, 400_000
+#: Characters of text that are tagged at a time, words a worker remembers, and tokens that training takes at a time:
+#: whole texts, so a longer one is taken alone. They bound a worker's memory and leave no text or token out.
+CHUNK_CHARS, CACHE_WORDS, BLOCK_TOKENS = 400_000, 200_000, 1 << 16
 #: A word or word start marks toxic documents if it is in so many of them, and that much more often than elsewhere.
 MIN_MARKED, MIN_LIFT, MIN_PART_OF_BEST = 5, 20.0, 0.2
 TOKEN = re.compile(r"[^\W_]+")
 
 
-def word_keys(word: str) -> list[str]:
-    """What a token label can rest on: the word and its first 4 to 6 letters."""
-    w = word.lower()
-    return [f"w:{w}", *(f"{n}:{w[:n]}" for n in (4, 5, 6) if len(w) > n)]
+#: What a token label can rest on: the word in lower case (None) and, of longer words, their first letters.
+KEY_STARTS = (None, 4, 5, 6)
+
+
+def word_keys(words: Iterable[str], n: int | None) -> tuple[np.ndarray, int]:
+    """Per word the number of its key of one kind (``KEY_STARTS``), -1 without one; and the number of keys."""
+    ids: dict[str, int] = {}
+    lowered = (w.lower() for w in words)
+    found = array("i", (-1 if n is not None and len(w) <= n else ids.setdefault(w[:n], len(ids)) for w in lowered))
+    return np.array(found, np.int32), len(ids)
 
 
 def _hash(text: str) -> int:
     return zlib.crc32(text.encode("utf-8", "surrogatepass"))
 
 
+#: Features of a word.
+N_FEATURES = 7
+
+
 def word_features(word: str, bits: int = BITS) -> list[int]:
     """Hashed features of a token: word, starts of 3 to 6 letters, end of 3, and form."""
     w = word.lower()
@@ -132,18 +143,23 @@ class Model:
 
 
 class Vocabulary:
-    """Codes of words, with the hashed features of each."""
+    """Codes of words; the hashed features of new ones are kept until they are taken."""
 
     def __init__(self, bits: int = BITS):
-        self.bits, self.code, self.rows = bits, {}, []
+        self.bits, self.code, self.new = bits, {}, array("i")
 
-    def __call__(self, words: list[str]) -> list[int]:
+    def __call__(self, words: list[str]) -> np.ndarray:
         code = self.code
         for w in words:
             if w not in code:
                 code[w] = len(code)
-                self.rows.append(word_features(w, self.bits))
-        return [code[w] for w in words]
+                self.new.extend(word_features(w, self.bits))
+        return np.fromiter((code[w] for w in words), np.int32, len(words))
+
+    def take(self) -> np.ndarray:
+        """Features of the words met since the last call, a row each."""
+        rows, self.new = np.array(self.new, np.int32).reshape(-1, N_FEATURES), array("i")
+        return rows
 
 
 def _shifted(score: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,61 +170,86 @@ def _shifted(score: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return before, after
 
 
-def _emission(model: Model, table: np.ndarray, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    own, left, right = (w[table].sum(1) for w in (model.own, model.left, model.right))
-    before, _ = _shifted(left[codes], first)
-    _, after = _shifted(right[codes], first)
-    return own[codes] + before + after + model.bias
+def _sums(model: Model, table: np.ndarray) -> np.ndarray:
+    """What each word adds to its own token, to the one after it and to the one before it."""
+    out = np.zeros((3, len(table)))
+    for row, w in zip(out, (model.own, model.left, model.right), strict=True):
+        for feature in table.T:
+            row += w[feature]
+    return out
 
 
-def mark_tokens(texts: list[list[str]], toxic: np.ndarray) -> list[np.ndarray]:
+def _chain(model: Model, sums: np.ndarray, codes: np.ndarray, first: np.ndarray) -> Chain:
+    before, _ = _shifted(sums[1][codes], first)
+    _, after = _shifted(sums[2][codes], first)
+    return Chain(sums[0][codes] + before + after + model.bias, first, model.trans, model.start)
+
+
+def mark_tokens(words: list[str], codes: np.ndarray, sizes: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Token labels from document labels: in toxic documents, the words that tell them from the others.
 
-    A key (``word_keys``) marks if enough toxic documents have it and few others. Within one document the
-    marks that are rare beside its strongest one are left out, for copies of a document share all their words.
+    ``codes`` are the texts end to end, as numbers into ``words``, and ``sizes`` their lengths. A key (``word_keys``)
+    marks if enough toxic documents have it and few others. Within one document the marks that are rare beside its
+    strongest one are left out, for copies of a document share all their words.
     """
-    in_toxic, in_clean = Counter(), Counter()
-    keys: dict[str, list[str]] = {}
-    for words, t in zip(texts, toxic, strict=True):
-        found = set()
-        for w in set(words):
-            if w not in keys:
-                keys[w] = word_keys(w)
-            found.update(keys[w])
-        (in_toxic if t else in_clean).update(found)
+    ends = np.cumsum(sizes)
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    marks = {
-        k: n for k, n in in_toxic.items() if n >= MIN_MARKED and n / n1 >= MIN_LIFT * (in_clean[k] + 0.5) / n0
-    }
-    strength = {w: max((marks.get(k, 0) for k in ks), default=0) for w, ks in keys.items()}
-    out = []
-    for words, t in zip(texts, toxic, strict=True):
-        s = np.array([strength[w] for w in words]) if t and words else np.zeros(len(words))
-        out.append(((s > 0) & (s >= MIN_PART_OF_BEST * s.max(initial=0))).astype(np.int64))
+    strength = np.zeros(len(words), np.int64)
+    for n in KEY_STARTS:  # the keys of one kind at a time
+        key_of, count = word_keys(words, n)
+        having = np.zeros((2, count + 1), np.int64)  # the last is of words without a key
+        for end, size, t in zip(ends, sizes, toxic, strict=True):
+            having[int(t), np.unique(key_of[codes[end - size : end]])] += 1
+        clean, found = having[:, :count]
+        marks = np.where((found >= MIN_MARKED) & (found / n1 >= MIN_LIFT * (clean + 0.5) / n0), found, 0)
+        strength = np.maximum(strength, np.append(marks, 0)[key_of])
+    out = np.zeros(len(codes), np.uint8)
+    for end, size in zip(ends[toxic], sizes[toxic], strict=True):
+        s = strength[codes[end - size : end]]
+        out[end - size : end] = (s > 0) & (s >= MIN_PART_OF_BEST * s.max(initial=0))
     return out
 
 
+def blocks(sizes: np.ndarray, tokens: int) -> list[tuple[int, int]]:
+    """Runs of texts ``(from, to)`` with about so many tokens each; a longer text is a run of its own."""
+    out, begin, held = [], 0, 0
+    for at, size in enumerate(sizes):
+        if at > begin and held + size > tokens:
+            out.append((begin, at))
+            begin, held = at, 0
+        held += size
+    return [*out, (begin, len(sizes))]
+
+
 def train_chain(texts: list[str], toxic: np.ndarray, weight: np.ndarray, rounds: int = 25, bits: int = BITS) -> Model:
-    """Maximum likelihood by AdaGrad over all tokens of the sample, then the document's logistic."""
+    """Maximum likelihood by AdaGrad over all tokens of the sample, then the document's logistic.
+
+    A token is kept in 6 bytes. Each round goes through all of them, block by block (``BLOCK_TOKENS``), and sums
+    the blocks' gradients, so the messages of one block are in memory at a time.
+    """
     model, words = Model(bits), Vocabulary(bits)
     total = weight.sum()
     model.prior = float(weight[toxic].sum() / total) if total else 0.5
-    tokens = [TOKEN.findall(t) for t in texts]
-    marks = mark_tokens(tokens, toxic)
-    filled = [i for i, t in enumerate(tokens) if t]
-    if not filled or toxic.all() or not toxic.any():
+    coded = [words(TOKEN.findall(t)) for t in texts]
+    sizes = np.array([len(c) for c in coded], np.int64)
+    filled = np.flatnonzero(sizes)
+    if not len(filled) or toxic.all() or not toxic.any():
         model.doc = np.array([0.0, 0.0, 0.0, np.log((model.prior + 1e-6) / (1 - model.prior + 1e-6))])
         return model
-    codes = np.concatenate([words(tokens[i]) for i in filled])
-    y = np.concatenate([marks[i] for i in filled]).astype(float)
-    sizes = np.array([len(tokens[i]) for i in filled])
-    first = np.zeros(len(codes), bool)
-    first[np.cumsum(sizes)[:-1]] = True
-    first[0] = True
-    table, n = np.array(words.rows), len(codes)
+    codes = np.concatenate(coded)
+    del coded
+    y = mark_tokens(list(words.code), codes, sizes, toxic)
+    table, n = words.take(), len(codes)
+    del words
+    sizes = sizes[filled]
+    starts = np.cumsum(sizes) - sizes
+    first = np.zeros(n, bool)
+    first[starts] = True
+    parts = [(a, b, slice(starts[a], starts[b - 1] + sizes[b - 1])) for a, b in blocks(sizes, BLOCK_TOKENS)]
     seen = np.zeros((2, 2))
-    inner = np.flatnonzero(~first)
-    np.add.at(seen, (y[inner - 1].astype(int), y[inner].astype(int)), 1)
+    for _, _, part in parts:
+        mine = y[part]
+        seen += np.bincount((2 * mine[:-1] + mine[1:])[~first[part][1:]], minlength=4).reshape(2, 2)
     state = {k: np.full(np.shape(getattr(model, k)), 1e-8) for k in ("own", "left", "right", "bias", "trans", "start")}
 
     def step(name: str, g: np.ndarray | float, rate: float) -> None:
@@ -216,20 +257,28 @@ def train_chain(texts: list[str], toxic: np.ndarray, weight: np.ndarray, rounds:
         setattr(model, name, getattr(model, name) - rate * g / np.sqrt(state[name]))
 
     for _ in range(rounds):
-        chain = Chain(_emission(model, table, codes, first), first, model.trans, model.start)
-        d = (chain.marginals() - y) / n
-        before, after = _shifted(d, first)
-        for name, by_token in (("own", d), ("left", after), ("right", before)):
-            by_word = np.bincount(codes, by_token, len(table))
-            g = np.bincount(table.ravel(), np.repeat(by_word, table.shape[1]), 1 << bits)
+        sums = _sums(model, table)
+        by_word, pairs, bias, at = np.zeros(sums.shape), np.zeros((2, 2)), 0.0, 0.0
+        for _, _, part in parts:
+            mine, begins = codes[part], first[part]
+            chain = _chain(model, sums, mine, begins)
+            d = (chain.marginals() - y[part]) / n
+            before, after = _shifted(d, begins)
+            for row, by_token in zip(by_word, (d, after, before), strict=True):
+                row += np.bincount(mine, by_token, len(row))
+            pairs += chain.pairs(begins)
+            bias, at = bias + d.sum(), at + d[begins].sum()
+        for name, row in zip(("own", "left", "right"), by_word, strict=True):
+            g = sum(np.bincount(feature, row, 1 << bits) for feature in table.T)
             step(name, g + 1e-8 * getattr(model, name), 0.5)
-        step("bias", float(d.sum()), 0.2)
-        step("trans", (chain.pairs(first) - seen) / n, 0.2)
-        at = d[first].sum()
+        step("bias", float(bias), 0.2)
+        step("trans", (pairs - seen) / n, 0.2)
         step("start", np.array([-at, at]), 0.2)
-    p = Chain(_emission(model, table, codes, first), first, model.trans, model.start).marginals()
+    sums = _sums(model, table)
     x = np.tile(NO_TOKEN, (len(texts), 1))
-    x[filled] = doc_features(p, np.cumsum(sizes) - sizes)
+    for a, b, part in parts:
+        p = _chain(model, sums, codes[part], first[part]).marginals()
+        x[filled[a:b]] = doc_features(p, starts[a:b] - starts[a])
     w = weight / total
     for _ in range(2000):
         q = 1 / (1 + np.exp(-np.clip(x @ model.doc, -35, 35)))
@@ -267,10 +316,9 @@ class Tagger:
         self.sums = np.zeros((3, 0))
 
     def _weights(self) -> np.ndarray:
-        new = self.words.rows[self.sums.shape[1] :]
-        if new:
-            t, m = np.array(new), self.model
-            self.sums = np.concatenate([self.sums, np.stack([w[t].sum(1) for w in (m.own, m.left, m.right)])], 1)
+        new = self.words.take()
+        if len(new):
+            self.sums = np.concatenate([self.sums, _sums(self.model, new)], 1)
         return self.sums
 
     def __call__(self, texts: list[str | None], span_at: float = 0.5) -> tuple[np.ndarray, list[list[tuple]]]:
@@ -278,20 +326,17 @@ class Tagger:
         m = self.model
         if len(self.words.code) > CACHE_WORDS:
             self._forget()
-        found = [TOKEN.findall(t) if t else [] for t in texts]
+        coded = [self.words(TOKEN.findall(t) if t else []) for t in texts]
         x = np.tile(NO_TOKEN, (len(texts), 1))
         spans: list[list[tuple]] = [[] for _ in texts]
-        filled = [i for i, t in enumerate(found) if t]
+        filled = [i for i, c in enumerate(coded) if len(c)]
         if filled:
-            codes = np.concatenate([self.words(found[i]) for i in filled])
-            sizes = np.array([len(found[i]) for i in filled])
+            codes = np.concatenate(coded)
+            sizes = np.array([len(coded[i]) for i in filled])
             starts = np.cumsum(sizes) - sizes
             first = np.zeros(len(codes), bool)
             first[starts] = True
-            own, left, right = self._weights()[:, codes]
-            before, _ = _shifted(left, first)
-            _, after = _shifted(right, first)
-            p = Chain(own + before + after + m.bias, first, m.trans, m.start).marginals()
+            p = _chain(m, self._weights(), codes, first).marginals()
             x[filled] = doc_features(p, starts)
             hits = np.flatnonzero(p >= span_at)
             for d in np.unique(np.searchsorted(starts, hits, "right") - 1):

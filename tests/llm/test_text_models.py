@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -157,6 +158,81 @@ def test_toxicity_held_out_spans_and_edges(spark):
     assert toxicity.score_toxicity(docs.limit(0), labels).count() == 0
 
 
+def insults(seed, n, words):
+    """Texts with made-up words among common ones; every fourth is toxic."""
+    r = random.Random(seed)
+    common = ["and", "the", "river", "House", "walked", "over", "été", "x1"]
+    toxic = np.arange(n) % 4 == 0
+    texts = []
+    for t in toxic:
+        ws = [r.choice(common) if r.random() < 0.95 else f"w{r.randint(0, 9999)}" for _ in range(words)]
+        if t:
+            ws.insert(r.randint(0, words), r.choice(["Scumbag", "scumbags", "İdiotic", "idiot"]))
+        texts.append(" ".join(ws))
+    return texts, toxic
+
+
+def peak(call):
+    """MB that a call takes at its highest."""
+    tracemalloc.start()
+    try:
+        call()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_toxicity_training_and_tagging_take_bounded_memory():
+    texts, toxic = insults(1, 400, 1500)  # 600,000 tokens, which took 168 MB when their messages were all held at once
+    weight = np.ones(len(texts))
+    train = lambda: toxicity.train_chain(texts, toxic, weight, rounds=1, bits=10)
+    assert peak(train) < 40
+    model = toxicity.train_chain(texts[:40], toxic[:40], weight[:40], rounds=1, bits=10)
+    words = [" ".join(f"n{at}x{i}" for i in range(500)) for at in range(160)]
+    tag = toxicity.Tagger(model)
+    assert peak(lambda: tag(words)) < 32  # 80,000 words to remember, which took 48 MB with a list of features each
+
+
+def test_toxicity_blocks_do_not_change_the_model(monkeypatch):
+    texts, toxic = insults(2, 60, 40)
+    texts[5:7] = ["", "..."]
+    texts[9] = "the " * 700 + "Scumbag"
+    weight = np.where(toxic, 1.0, 2.0)
+    whole = toxicity.train_chain(texts, toxic, weight, bits=12)
+    monkeypatch.setattr(toxicity, "BLOCK_TOKENS", 90)
+    parts = toxicity.train_chain(texts, toxic, weight, bits=12)
+    for name in ("own", "left", "right", "bias", "trans", "start", "doc", "prior"):
+        assert getattr(parts, name) == pytest.approx(getattr(whole, name), rel=1e-6, abs=1e-8)
+    assert toxicity.blocks(np.array([3, 3, 9, 1, 2]), 6) == [(0, 2), (2, 3), (3, 5)]
+    assert toxicity.blocks(np.array([7]), 6) == [(0, 1)]
+
+
+def test_toxic_marks_equal_counting_by_text():
+    texts, toxic = insults(3, 120, 12)
+    texts[4] = ""
+    found = [toxicity.TOKEN.findall(t) for t in texts]
+    words = toxicity.Vocabulary(8)
+    codes, sizes = np.concatenate([words(f) for f in found]), np.array([len(f) for f in found])
+    assert words.take().shape == (len(words.code), 7) and words.take().shape == (0, 7)
+    got = toxicity.mark_tokens(list(words.code), codes, sizes, toxic)
+
+    def keys(word):
+        w = word.lower()
+        return {("w", w), *((n, w[:n]) for n in (4, 5, 6) if len(w) > n)}
+
+    count = [{}, {}]
+    for f, t in zip(found, toxic, strict=True):
+        for k in set().union(*map(keys, f)):
+            count[int(t)][k] = count[int(t)].get(k, 0) + 1
+    n1, n0 = int(toxic.sum()), int((~toxic).sum())
+    marks = {k: n for k, n in count[1].items() if n >= 5 and n / n1 >= 20 * (count[0].get(k, 0) + 0.5) / n0}
+    want = []
+    for f, t in zip(found, toxic, strict=True):
+        s = [max(marks.get(k, 0) for k in keys(w)) if t else 0 for w in f]
+        want += [int(x > 0 and x >= 0.2 * max(s)) for x in s]
+    assert got.tolist() == want and 20 < sum(want) < 60
+
+
 # --- scoring ----------------------------------------------------------------------------------------
 
 
