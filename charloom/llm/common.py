@@ -82,26 +82,22 @@ def block_pairs(
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """Connected components of undirected edges: ``(id, component)``, the smallest id reachable.
 
-    Alternates the large-star and small-star steps until the edges stop changing. Each step is one minimum
+    Alternates the large-star and small-star steps until the edges are stars. Each step is one minimum
     per node with map-side combine and a join back to the edges, so a node with very many links is combined
     before the shuffle; the edges of each round are written to the staging folder. Only nodes with a link
-    are returned. Number of rounds: about the logarithm of the longest chain.
+    are returned. Number of rounds: about the logarithm of the longest chain. Edges that are stars already take none,
+    and a look at the degrees, not one more round, tells that the last one was the last.
     """
     big, small = F.greatest(left, right), F.least(left, right)
     current = stage(
         edges.where(F.col(left) != F.col(right)).select(big.alias("u"), small.alias("v")).distinct(), "edges"
     )
 
-    def mark(e: DataFrame) -> tuple:
-        r = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        return r[0], r[1]
-
-    seen = mark(current)
-    while seen[0]:
+    while not _are_stars(current):
         both = current.select("u", "v").unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+        # Not more rows than edges; those that repeat go with the repeats of the small stars.
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         star = large.join(least, "u").select(
             F.explode(
@@ -112,16 +108,20 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
             ).alias("e")
         )
         current = stage(star.select("e.u", "e.v").where("u <> v").distinct(), "edges")
-        now = mark(current)
-        if now == seen:
-            break
-        seen = now
-    # Every node now points at the smallest id of its component.
-    star = current.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component"))
+    # Every node now points at the smallest id of its component, once.
+    star = current.select(F.col("u").alias("id"), F.col("v").alias("component"))
     roots = current.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return star.unionByName(roots)
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether distinct edges ``(u, v)``, ``u > v``, are stars around their smallest ids: no node has two ``v``, or is both."""
+    up = edges.select(F.col("u").alias("id"), F.lit(1).alias("_up"), F.lit(0).alias("_down"))
+    down = edges.select(F.col("v").alias("id"), F.lit(0).alias("_up"), F.lit(1).alias("_down"))
+    degrees = up.unionByName(down).groupBy("id").agg(F.sum("_up").alias("_up"), F.max("_down").alias("_down"))
+    return degrees.agg(F.count(F.when(F.col("_up") + F.col("_down") > 1, 1))).first()[0] == 0
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, per_class: int, *, key: str, text: str, held_out: int = 5
 ) -> DataFrame:

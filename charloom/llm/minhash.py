@@ -175,9 +175,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.where(shared * 100 >= union * percent).select("a", "b")
 
 
-def _open_rows(members: DataFrame, linked: DataFrame) -> DataFrame:
-    """Rows ``(band, h, node, size, part)`` of the buckets whose members are not yet all in one component."""
-    groups = components(linked).select(F.col("id").alias("node"), "component")
+def _open_rows(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows ``(band, h, node, size, part)`` of the buckets whose members are not yet all in one component of ``groups``."""
     # In a bucket of two the centre has met the other one.
     labelled = members.where("n > 2").join(groups, "node", "left")
     labelled = labelled.select("band", "h", "node", "size", F.coalesce("component", "node").alias("part"))
@@ -213,7 +212,7 @@ def _met(t: pa.Table, limits: list[tuple[int, int]]) -> Iterator[tuple[int, np.n
 
 
 def _block_links(rest: DataFrame, sketches: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Links between members of open buckets that join what was apart, confirmed on their full sets.
+    """Parts ``(a, b)`` that a link between members of open buckets joins, confirmed on the members' full sets.
 
     Block meets block, so no task has a whole large bucket. A first pass has signatures only and lets out the members
     that have someone to meet; a second pass has their sets, counts, and lets out a link when it joins two parts of
@@ -236,7 +235,7 @@ def _block_links(rest: DataFrame, sketches: DataFrame, sets: DataFrame, threshol
 
     def linking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _runs(batches, key):
-            nodes, parts = t.column("node").to_pylist(), t.column("part").to_pylist()
+            parts = t.column("part").to_pylist()
             held = t.column("set").combine_chunks()
             at, values = held.offsets.to_numpy(), held.values.to_numpy(zero_copy_only=False)
             sorted_sets = [np.sort(values[a:b]) for a, b in zip(at, at[1:], strict=False)]
@@ -256,7 +255,7 @@ def _block_links(rest: DataFrame, sketches: DataFrame, sets: DataFrame, threshol
                     x, y = sorted_sets[i], sorted_sets[j]
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     if both * 100 >= percent * (len(x) + len(y) - both):
-                        links.append((nodes[i], nodes[j]))
+                        links.append((parts[i], parts[j]))
                         root[a] = b
             if links:
                 a, b = zip(*links, strict=True)
@@ -268,7 +267,7 @@ def _block_links(rest: DataFrame, sketches: DataFrame, sets: DataFrame, threshol
     kinds = "band int, h long, _a int, _b int, _right boolean, node binary, part binary"
     some = stage(by_block(signed).mapInArrow(meeting, kinds), "meeting")
     whole = some.join(sketches.select("node", "signature"), "node").join(sets, "node")
-    return by_block(whole).mapInArrow(linking, "a binary, b binary").distinct()
+    return by_block(whole).mapInArrow(linking, "a binary, b binary")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
@@ -317,16 +316,10 @@ def near_duplicates(
     """
     texts = docs.select(F.col(key).alias("_key"), F.xxhash64(F.col(text)).alias("_text"), F.col(text).alias("text"))
     rows = stage(sketch(with_shingles(texts, "text", words)), "sketches")
-    # One row of each node carries it; ties are equal in all that matters.
+    # One row of each node carries it, that with the least key and text; ties are equal in all that matters.
     nodes = rows.where(F.col("node").isNotNull())
-    first = nodes.groupBy("node").agg(F.min(F.struct("_key", "_text")).alias("_first"))
-    sketches = stage(
-        nodes.join(first, "node")
-        .where(F.struct("_key", "_text").eqNullSafe(F.col("_first")))
-        .drop("_first")
-        .dropDuplicates(["node"]),
-        "nodes",
-    )
+    carried = F.min(F.struct("_key", "_text", "n_shingles", "signature")).alias("_first")
+    sketches = stage(nodes.groupBy("node").agg(carried).select("node", "_first.*"), "nodes")
     width = 2 * ROWS
     bands = F.array(*[F.xxhash64(F.substring("signature", 1 + i * width, width)) for i in range(BANDS)])
     size = F.greatest("n_shingles", F.lit(LEAST_SHINGLES)).alias("size")
@@ -344,13 +337,16 @@ def near_duplicates(
     tried = members.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     tried = stage(_surviving(tried, sketches, threshold), "tried")
     linked = stage(_verified(tried, sets, threshold), "linked")
-    rest = _open_rows(members, linked)
-    if not rest.isEmpty():
-        linked = linked.unionByName(stage(_block_links(rest, sketches, sets, threshold), "linked"))
     groups = components(linked).select(F.col("id").alias("node"), "component")
-
     lowest = nodes.groupBy("node").agg(F.min("_key").alias("low")).join(groups, "node", "left")
     lowest = lowest.withColumn("component", F.coalesce("component", "node"))
+    rest = _open_rows(members, groups)
+    if not rest.isEmpty():
+        # What is in one component already is one node of this smaller graph.
+        joined = components(_block_links(rest, sketches, sets, threshold))
+        whole = joined.select(F.col("id").alias("component"), F.col("component").alias("_whole"))
+        lowest = lowest.join(whole, "component", "left")
+        lowest = lowest.withColumn("component", F.coalesce("_whole", "component")).drop("_whole")
     by_group = lowest.groupBy("component").agg(F.min("low").alias("component_id"))
     answer = lowest.join(by_group, "component").select("node", "component_id")
     own = F.when(F.col("node").isNull(), F.col("_key")).otherwise(F.col("component_id"))

@@ -33,6 +33,19 @@ def test_components_of_chains_stars_and_cycles(spark):
     assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_take_no_round_that_changes_nothing(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(common, "stage", lambda df, name, real=common.stage: written.append(name) or real(df, name))
+    stars = [(i % 4, i) for i in range(10, 60)] + [(5, 6)]
+    assert dict(common.components(spark.createDataFrame(stars, "a long, b long")).collect()) == smallest_reachable(
+        {x for e in stars for x in e}, stars
+    )
+    assert len(written) == 1  # the edges as given
+    written.clear()
+    common.components(spark.createDataFrame([(1, 2), (2, 3), (1, 3)], "a long, b long"))
+    assert len(written) == 2  # and as one round leaves them
+
+
 def test_block_pairs_let_every_two_rows_meet_once(spark):
     df = spark.range(50).select("id", (F.col("id") % 2).alias("g"))
     dealt = common.block_pairs(df, ["g"], "id", block_rows=6).collect()
@@ -101,6 +114,30 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, words, block):
     assert all(g["kept"] == (g["doc_id"] == g["component_id"]) for g in got)
 
 
+def test_open_buckets_join_components_and_not_their_texts_again(spark, monkeypatch):
+    calls = []
+
+    def recorded(edges, real=common.components):
+        found = real(edges)
+        calls.append(([tuple(map(bytes, e)) for e in edges.collect()], {bytes(i): bytes(c) for i, c in found.collect()}))
+        return found
+
+    monkeypatch.setattr(minhash, "components", recorded)
+    r = random.Random(0)
+    data = []
+    for _ in range(6):  # edits of a text, some of them too far from the centre of their bucket
+        base = [f"w{r.randrange(4000)}" for _ in range(60)]
+        for _ in range(25):
+            data.append(" ".join(f"w{r.randrange(4000)}" if r.random() < 0.06 else w for w in base))
+    df = spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")
+    got = minhash.near_duplicates(df, words=1).collect()
+    want = text_groups(list(enumerate(data)), 1)
+    assert sorted((g["doc_id"], g["n_shingles"], g["component_id"]) for g in got) == sorted(want)
+    (links, parts), (more, _) = calls
+    assert more and len(more) < len(links)
+    assert all(parts.get(x, x) == x for e in more for x in e)
+
+
 def test_near_duplicates_of_long_and_of_no_texts(spark):
     long = " ".join(f"t{i}" for i in range(60_000))
     df = spark.createDataFrame([(2, long), (1, long + " end"), (3, "short")], "doc_id long, text string")
