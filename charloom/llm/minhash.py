@@ -121,14 +121,15 @@ def fewest_matches(threshold: float, miss: float = MISS) -> list[tuple[int, int]
     than ``miss`` of that lies at or above the threshold.
     """
     grid = (np.arange(20_000) + 0.5) / 20_000
-    out = []
-    for n in range(BATCH, HASHES + 1, BATCH):
-        m = np.arange(n + 1)[:, None]
-        density = m * np.log(grid) + (n - m) * np.log1p(-grid)
-        density = np.exp(density - density.max(1, keepdims=True))
-        above = density[:, grid >= threshold].sum(1) / density.sum(1)
-        out.append((n, int(np.argmax(above >= miss))))
-    return out
+    yes, no, above = np.log(grid), np.log1p(-grid), grid >= threshold
+
+    def part(m: int, n: int) -> float:
+        density = m * yes + (n - m) * no
+        density = np.exp(density - density.max())
+        return density[above].sum() / density.sum()
+
+    # One density at a time: those of all ``m`` together would take 100 MB of the driver.
+    return [(n, next((m for m in range(n + 1) if part(m, n) >= miss), 0)) for n in range(BATCH, HASHES + 1, BATCH)]
 
 
 def similar(left: np.ndarray, right: np.ndarray, limits: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -156,6 +157,15 @@ def test_pruning_keeps_pairs_at_the_threshold():
     assert len(minhash.similar(same, far, limits)[0]) < 0.001 * len(at)
 
 
+def test_limits_take_little_memory():
+    tracemalloc.start()
+    limits = minhash.fewest_matches(0.8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5e6
+    assert limits == [(36, 21), (72, 47), (108, 74), (144, 100), (180, 127), (216, 155), (252, 182)]
+
+
 # --- vectors ----------------------------------------------------------------------------------------
 
 
